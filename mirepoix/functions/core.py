@@ -29,38 +29,49 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
 
 
+def single_spaced(text: Column) -> Column:
+    """The words with one space between them."""
+    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+
+
 def strip_space(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
 
 
+# Unicode noncharacters, reserved for use inside a program: they mark the matches.
+_MATCH, _GROUP = "\ufdd0", "\ufdd1"
+
+
 def regex_sub_compute(
     text: Column, pattern: str, groups: Sequence[int], fn: Callable[..., Column]
 ) -> Column:
     """Replace every match of ``pattern`` by a value computed from its groups.
 
-    ``fn`` gets one column per entry of ``groups`` (0 is the whole match).
-    The text between matches comes from ``split``, the replacements from
-    ``regexp_extract_all``; both walk the same matches, so zipping them gives
-    the substituted text.
+    ``fn`` gets one column per entry of ``groups`` (0 is the whole match). One
+    ``regexp_replace`` puts marks around the wanted groups of each match; cut at
+    the marks, every second piece is a match. The pattern is compiled once per
+    task and runs once over the text.
     """
-    regex = F.lit(pattern)
-
-    def replaced(t: Column) -> Column:
-        found = [F.regexp_extract_all(t, regex, F.lit(g)) for g in groups]
-        if len(found) == 1:
-            values = F.transform(found[0], fn)
-        else:
-            zipped = F.arrays_zip(*[v.alias(f"g{i}") for i, v in enumerate(found)])
-            values = F.transform(
-                zipped, lambda m: fn(*[m.getField(f"g{i}") for i in range(len(groups))])
-            )
-        glued = F.zip_with(
-            F.split(t, pattern, -1), values, lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))
+    template = _MATCH + _GROUP.join(f"${g}" for g in groups) + _MATCH
+
+    def computed(piece: Column) -> Column:
+        if len(groups) == 1:
+            return fn(piece)
+        return let(
+            F.split(piece, _GROUP), lambda g: fn(*[F.get(g, i) for i in range(len(groups))])
         )
-        return F.array_join(glued, "")
 
-    return let(text, lambda t: F.when(t.rlike(pattern), replaced(t)).otherwise(t))
+    def rebuilt(marked: Column, original: Column) -> Column:
+        pieces = F.transform(
+            F.split(marked, _MATCH),
+            lambda p, i: F.when(i % 2 == 1, computed(p)).otherwise(p),
+        )
+        return F.when(marked.contains(_MATCH), F.array_join(pieces, "")).otherwise(original)
+
+    return let(
+        text, lambda t: let(F.regexp_replace(t, pattern, template), lambda m: rebuilt(m, t))
+    )
 
 
 def plain_number(value: Column) -> Column:
@@ -92,35 +103,55 @@ def quote_regex(text: Column) -> Column:
     return F.regexp_replace(text, r"([^\p{L}\p{N}_ ])", r"\\$1")
 
 
-def repeat_numbered(items: Column) -> Column:
-    """Number equal elements: ``[a, b, a]`` becomes ``[a 1, a 2, b 1]``.
+def no_strings() -> Column:
+    return F.array().cast("array<string>")
+
 
-    Turns a multiset into a set, so that the hash-based array functions can
-    intersect multisets in linear time. Sorting puts equal elements side by
-    side; only the run starts are looked up by index.
+def surplus(items: Column) -> Column:
+    """The second and later copies of every element, sorted."""
+    return let(
+        F.sort_array(items), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)))
+    )
+
+
+def number_copies(ordered: Column) -> Column:
+    """Number equal neighbours of a sorted list: ``[a, a, b]`` becomes ``[a 1, a 2, b 1]``.
+
+    Turns a multiset into a set, so that the hash-based array functions can be
+    used on it. Only the run starts are looked up by index, so it is linear.
     """
-    def numbered(s: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1),
-            lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)),
+    def runs(starts: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                starts,
+                lambda at, k: F.transform(
+                    F.sequence(F.lit(1), F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at),
+                    lambda j: F.concat(F.get(ordered, at), F.lit("\n"), j.cast("string")),
+                ),
+            )
         )
 
-        def runs(b: Column) -> Column:
-            return F.flatten(
-                F.transform(
-                    b,
-                    lambda at, k: F.transform(
-                        F.sequence(
-                            F.lit(1), F.coalesce(F.get(b, k + 1), F.size(s)) - at
-                        ),
-                        lambda j: F.concat(F.get(s, at), F.lit("\n"), j.cast("string")),
-                    ),
-                )
-            )
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(ordered) - 1),
+        lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+    )
+    return F.when(F.size(ordered) > 0, let(starts, runs)).otherwise(no_strings())
 
-        return let(starts, runs)
 
-    return let(
-        F.sort_array(items),
-        lambda s: F.when(F.size(s) > 0, numbered(s)).otherwise(F.array().cast("array<string>")),
-    )
+def common_count(a: Column, b: Column) -> Column:
+    """Size of the multiset intersection of two string arrays.
+
+    Distinct common elements are counted by hashing. What copies add is counted
+    on the surplus copies alone, and only if both sides have any.
+    """
+    def copies(x: Column, y: Column) -> Column:
+        return F.when(
+            (F.size(x) > 0) & (F.size(y) > 0),
+            F.size(F.array_intersect(number_copies(x), number_copies(y))),
+        ).otherwise(0)
+
+    repeated = (F.size(F.array_distinct(a)) < F.size(a)) & (
+        F.size(F.array_distinct(b)) < F.size(b))
+    return F.size(F.array_intersect(a, b)) + F.when(
+        repeated, let(surplus(a), lambda x: let(surplus(b), lambda y: copies(x, y)))
+    ).otherwise(0)

@@ -15,9 +15,10 @@ from pyspark.sql.types import DoubleType
 from mirepoix import lookups
 from mirepoix.functions.core import (
     as_column,
+    common_count,
     let,
+    no_strings,
     quote_regex,
-    repeat_numbered,
     split_words,
     strip_space,
 )
@@ -32,26 +33,32 @@ def bleu_tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(as_column(text)), F.lit(BLEU_TOKEN), F.lit(0))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """The n-grams of a token list, each as one text."""
-    if n == 1:
-        return tokens
+def longer_ngrams(grams: Column, tokens: Column, n: int) -> Column:
+    """n-grams from (n-1)-grams: each one extended by the next token."""
+    count = F.size(tokens) - (n - 1)
     return F.when(
-        F.size(tokens) >= n,
-        F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - (n - 1)),
-            lambda i: F.array_join(F.slice(tokens, i, n), " "),
+        count > 0,
+        F.zip_with(
+            F.slice(grams, F.lit(1), count), F.slice(tokens, F.lit(n), count),
+            lambda g, t: F.concat(g, F.lit(" "), t),
         ),
-    ).otherwise(F.array().cast("array<string>"))
-
-
-def clipped_matches(reference: Column, generated: Column, n: int) -> Column:
-    """How many generated n-grams the reference has, each at most as often as there."""
-    return F.size(
-        F.array_intersect(
-            repeat_numbered(ngrams(generated, n)), repeat_numbered(ngrams(reference, n))
+    ).otherwise(no_strings())
+
+
+def clipped_matches(reference: Column, generated: Column) -> Column:
+    """For n = 1 to 4: how many generated n-grams the reference has, each at most as often."""
+    def level(n: int, ref: Column, gen: Column, counts: list[Column]) -> Column:
+        counts = [*counts, common_count(gen, ref)]
+        if n == 4:
+            return F.array(*counts)
+        return let(
+            longer_ngrams(ref, reference, n + 1),
+            lambda r: let(
+                longer_ngrams(gen, generated, n + 1), lambda g: level(n + 1, r, g, counts)
+            ),
         )
-    )
+
+    return level(1, reference, generated, [])
 
 
 def bleu(reference: Column | str, generated: Column | str) -> Column:
@@ -60,32 +67,24 @@ def bleu(reference: Column | str, generated: Column | str) -> Column:
     No unigram match gives 0; a higher order without match counts 0.1 matches.
     The multisets of n-grams are intersected inside the row.
     """
-    def score(ref: Column, gen: Column) -> Column:
-        parts = F.array(*[
-            F.struct(
-                clipped_matches(ref, gen, n).alias("hits"),
-                F.greatest(F.lit(1), F.size(gen) - (n - 1)).alias("total"),
-            )
-            for n in (1, 2, 3, 4)
-        ])
-
-        def combined(p: Column) -> Column:
-            logs = F.transform(
-                p,
-                lambda x: F.log(
-                    F.when(x.getField("hits") > 0, x.getField("hits").cast("double"))
-                    .otherwise(F.lit(0.1)) / x.getField("total")
-                ) * 0.25,
-            )
-            total = F.aggregate(logs, F.lit(0.0), lambda a, x: a + x)
-            penalty = F.when(F.size(gen) > F.size(ref), F.lit(1.0)).otherwise(
-                F.exp(1 - F.size(ref) / F.size(gen))
-            )
-            return F.when(F.get(p, 0).getField("hits") == 0, F.lit(0.0)).otherwise(
-                penalty * F.exp(total)
-            )
+    def combined(hits: Column, ref: Column, gen: Column) -> Column:
+        logs = F.transform(
+            hits,
+            lambda h, i: F.log(
+                F.when(h > 0, h.cast("double")).otherwise(F.lit(0.1))
+                / F.greatest(F.lit(1), F.size(gen) - i)
+            ) * 0.25,
+        )
+        total = F.aggregate(logs, F.lit(0.0), lambda a, x: a + x)
+        penalty = F.when(F.size(gen) > F.size(ref), F.lit(1.0)).otherwise(
+            F.exp(1 - F.size(ref) / F.size(gen))
+        )
+        return F.when(F.get(hits, 0) == 0, F.lit(0.0)).otherwise(penalty * F.exp(total))
 
-        return F.when(F.size(gen) == 0, F.lit(0.0)).otherwise(let(parts, combined))
+    def score(ref: Column, gen: Column) -> Column:
+        return F.when(F.size(gen) == 0, F.lit(0.0)).otherwise(
+            let(clipped_matches(ref, gen), lambda h: combined(h, ref, gen))
+        )
 
     return let(
         bleu_tokens(reference), lambda r: let(bleu_tokens(generated), lambda g: score(r, g))
@@ -152,7 +151,7 @@ def extract_ingredients(text: Column | str) -> Column:
     section = strip_space(F.regexp_extract(as_column(text), lookups.INGREDIENT_SECTION, 1))
     return let(
         section,
-        lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(listed(s)),
+        lambda s: F.when(s == "", no_strings()).otherwise(listed(s)),
     )
 
 

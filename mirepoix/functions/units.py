@@ -7,6 +7,7 @@ number and a token unlike any unit take the short way.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,7 +19,7 @@ from mirepoix.functions.core import (
     let,
     plain_number,
     regex_sub_compute,
-    split_words,
+    single_spaced,
     whole_number,
 )
 
@@ -143,108 +144,145 @@ def _least_lcs(n: int, m: int) -> int:
     return 4 * (n + m) // 10 + 1
 
 
-def _subsequence(letters: str) -> str:
-    return "".join(f"[^{c}]*{c}" for c in letters)
+def _lengths(unit: str) -> list[int]:
+    """Token lengths at which a match with the unit is possible."""
+    m = len(unit)
+    return [n for n in range(1, 3 * m) if _least_lcs(n, m) <= min(n, m)]
+
 
+def _pieces(unit: str, missing: int) -> list[str]:
+    """With at most ``missing`` letters lost, one of these pieces is complete."""
+    cuts = [round(i * len(unit) / (missing + 1)) for i in range(missing + 2)]
+    return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
 
-def _may_match(unit: str) -> list[str]:
-    """Patterns one of which fits every token that matches the unit.
 
-    If at most d letters of the unit are missing from the token and the unit is
-    cut into d + 1 pieces, at least one piece is complete.
+def _unit_like() -> str:
+    """A pattern that every token similar to a unit fits, by token length.
+
+    Each alternative asks for the letters of one unit piece in order.
     """
-    m = len(unit)
-    by_missing: dict[int, list[int]] = {}
-    for n in range(1, 3 * m):
-        if _least_lcs(n, m) <= min(n, m):
-            by_missing.setdefault(m - _least_lcs(n, m), []).append(n)
-    patterns = []
-    for missing, lengths in by_missing.items():
-        cuts = [round(i * m / (missing + 1)) for i in range(missing + 2)]
-        pieces = {unit[a:b] for a, b in zip(cuts, cuts[1:])}
-        body = "|".join(_subsequence(p) for p in sorted(pieces))
-        patterns.append(f"(?=.{{{min(lengths)},{max(lengths)}}}$)(?:{body})")
-    return patterns
+    by_length: dict[int, set[str]] = {}
+    for unit, _ in _FUZZY_UNITS:
+        for n in _lengths(unit):
+            missing = len(unit) - _least_lcs(n, len(unit))
+            for piece in _pieces(unit, missing):
+                by_length.setdefault(n, set()).add("".join(f"[^ {c}]*{c}" for c in piece))
+    return "|".join(
+        f"(?=[^ ]{{{n}}}(?![^ ]))(?:{'|'.join(sorted(by_length[n]))})" for n in sorted(by_length)
+    )
+
+
+def _any_of(words: list[str]) -> str:
+    """Alternation of fixed words, grouped by first letter."""
+    groups: dict[str, list[str]] = {}
+    for w in words:
+        groups.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "|".join(
+        f"{re.escape(c)}(?:{'|'.join(sorted(rest, key=len, reverse=True))})"
+        for c, rest in sorted(groups.items())
+    )
+
+
+# Entries without a letter are never reached: such tokens stay as they are.
+_TERMS = {
+    **{u: u for u in UNITS},
+    **{k: v for k, v in lookups.TERM_CORRECTIONS.items() if any(c.isalpha() for c in k)},
+}
+_TOKENS = [k for k in _TERMS if " " not in k]
+
+# Tokens that may need a correction or may be a unit. All others are passed over
+# by the regex engine without touching an expression.
+CANDIDATE = rf"(?<![^ ])(?:(?:{_any_of(_TOKENS)})(?![^ ])|(?:{_unit_like()})[^ ]*)"
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-UNIT_LIKE = "^(?:" + "|".join(p for u, _ in _FUZZY_UNITS for p in _may_match(u)) + ")"
+def _sql_map(entries: dict[str, object]) -> str:
+    def written(value: object) -> str:
+        if isinstance(value, str):
+            return _sql_text(value)
+        return f"{value!r}D" if isinstance(value, float) else repr(value)
 
+    cells = [f"{_sql_text(k)}, {written(v)}" for k, v in entries.items()]
+    return f"map({', '.join(cells)})"
 
-def _indel_share(letters: Column, length: Column, unit: str) -> Column:
+
+def _unit_table() -> Column:
+    """The units for similarity, as one constant: name, place, lengths, letter bits."""
+    rows = []
+    for unit, place in _FUZZY_UNITS:
+        bits = {c: sum(1 << i for i, d in enumerate(unit) if d == c) for c in unit}
+        lengths = _lengths(unit)
+        rows.append(
+            f"named_struct('name', {_sql_text(unit)}, 'place', {place}, 'size', {len(unit)}, "
+            f"'lo', {min(lengths)}, 'hi', {max(lengths)}, 'full', {(1 << len(unit)) - 1}, "
+            f"'bits', {_sql_map(bits)})"
+        )
+    return F.expr(f"array({', '.join(rows)})")
+
+
+def _indel_share(letters: Column, unit: Column) -> Column:
     """Inserted plus deleted letters over the summed lengths of token and unit.
 
     The longest common subsequence is counted bit-parallel: one bit per unit
     letter, cleared once matched.
     """
-    m = len(unit)
-    full = (1 << m) - 1
-    bits = {c: sum(1 << i for i, d in enumerate(unit) if d == c) for c in unit}
-    bit_of = F.create_map(*[F.lit(x) for c, b in bits.items() for x in (c, b)])
-
     def step(state: Column, letter: Column) -> Column:
-        hit = state.bitwiseAND(F.coalesce(F.try_element_at(bit_of, letter), F.lit(0)))
-        return (state + hit).bitwiseOR(state - hit).bitwiseAND(F.lit(full))
+        bit = F.coalesce(F.try_element_at(unit.getField("bits"), letter), F.lit(0))
+        hit = state.bitwiseAND(bit)
+        return (state + hit).bitwiseOR(state - hit).bitwiseAND(unit.getField("full"))
 
-    left = F.bit_count(F.aggregate(letters, F.lit(full), step))
-    common = F.lit(m) - left
-    return (length + m - 2 * common) / (length + m)
+    left = F.bit_count(F.aggregate(letters, unit.getField("full"), step))
+    size = unit.getField("size")
+    return (F.size(letters) + size - 2 * (size - left)) / (F.size(letters) + size)
 
 
 def closest_unit(token: Column) -> Column:
     """The most similar unit if similar enough (first listed on a tie), else NULL."""
     def best(letters: Column) -> Column:
-        scored = F.array(*[
-            F.struct(
-                _indel_share(letters, F.size(letters), u).alias("share"),
-                F.lit(i).alias("place"),
-                F.lit(u).alias("unit"),
-            )
-            for u, i in _FUZZY_UNITS
-        ])
+        possible = F.filter(
+            _unit_table(),
+            lambda u: F.size(letters).between(u.getField("lo"), u.getField("hi")),
+        )
+        scored = F.transform(
+            possible,
+            lambda u: F.struct(
+                _indel_share(letters, u).alias("share"), u.getField("place").alias("place"),
+                u.getField("name").alias("unit"),
+            ),
+        )
         return F.array_min(F.filter(scored, lambda s: s.getField("share") < 0.2)).getField("unit")
 
     return let(F.split(token, ""), best)
 
 
-def _term_table() -> Column:
-    # Entries without a letter can never be reached: such tokens stay as they are.
-    return F.create_map(*[F.lit(x) for k, v in _REACHABLE.items() for x in (k, v)])
-
-
-_REACHABLE = {
-    k: v for k, v in lookups.TERM_CORRECTIONS.items() if any(c.isalpha() for c in k)
-}
-
-
 def listed_term(token: Column | str) -> Column:
     """The listed correction of a token, else the token."""
     token = as_column(token)
-    return F.when(
-        token.isin(list(_REACHABLE)), F.element_at(_term_table(), token)
-    ).otherwise(token)
+    return F.coalesce(F.try_element_at(F.expr(_sql_map(_TERMS)), token), token)
+
+
+def _candidate_term(token: Column) -> Column:
+    return F.coalesce(
+        F.try_element_at(F.expr(_sql_map(_TERMS)), token), closest_unit(token), token
+    )
 
 
 def correct_term(token: Column | str) -> Column:
     """Listed correction, else the closest unit, else the token itself."""
     token = as_column(token)
-    return (
-        F.when(token.isin(list(_REACHABLE)), F.element_at(_term_table(), token))
-        .when(token.isin(UNITS), token)
-        .when(token.rlike(UNIT_LIKE), F.coalesce(closest_unit(token), token))
-        .otherwise(token)
-    )
+    return F.when(token.rlike(CANDIDATE), _candidate_term(token)).otherwise(token)
 
 
 def unit_factor(unit: Column | str) -> Column:
-    factors = F.create_map(*[F.lit(x) for k, v in lookups.UNIT_FACTORS.items() for x in (k, v)])
+    factors = F.expr(_sql_map(lookups.UNIT_FACTORS))
     return F.coalesce(F.try_element_at(factors, as_column(unit)), F.lit(1.0))
 
 
 def unit_category(unit: Column | str) -> Column:
-    names = F.create_map(
-        *[F.lit(x) for k, v in lookups.UNIT_CATEGORIES.items() for x in (k, v)]
-    )
-    return F.try_element_at(names, as_column(unit))
+    return F.try_element_at(F.expr(_sql_map(lookups.UNIT_CATEGORIES)), as_column(unit))
 
 
 def convert_unit(value: Column | str, unit: Column | str) -> Column:
@@ -266,92 +304,67 @@ def range_mean(text: Column | str) -> Column:
 
 # --- the token scan ----------------------------------------------------------
 
-# Each word becomes one line "word TAB corrected TAB U?", with U for a known
-# unit. White space cannot occur inside a word, so the lines are unambiguous,
-# and a greedy left-to-right scan is one alternation over line sequences.
-_REST = r"\t[^\n]*+\n"
-_UNIT_LINE = r"[^\t\n]++\t[^\t\n]*+\tU\n"
+# The text becomes words with one space between them, and each candidate token
+# becomes "word TAB corrected TAB U?", with U for a known unit; white space never
+# occurs inside a word. A greedy left-to-right scan over the words is then one
+# alternation. A space inside a corrected term is kept as a line break.
 _N = r"\d+(?:\.\d+)?"
+_UNIT = r"[^ \t]+\t[^\t]*\tU"
 MEASURES = (
-    r"(?<![^\n])(?:"
-    rf"{_N}{_REST}/{_REST}{_N}{_REST}(?:{_UNIT_LINE})?"
-    rf"|{_N}-{_N}{_REST}{_UNIT_LINE}"
-    rf"|\d+{_REST}to{_REST}(?:\d+\.?\d*|\.\d+){_REST}{_UNIT_LINE}"
-    rf"|{_N}{_REST}{_UNIT_LINE}"
-    r")"
+    r"(?<![^ ])(?:"
+    rf"{_N} / {_N}(?: {_UNIT})?"
+    rf"|{_N}-{_N} {_UNIT}"
+    rf"|\d+ to (?:\d+\.?\d*|\.\d+) {_UNIT}"
+    rf"|{_N} {_UNIT}"
+    r")(?![^ ])"
 )
 
 
-def _scan_lines(words: Column) -> Column:
-    def line(word: Column) -> Column:
-        return let(
-            correct_term(word),
-            lambda c: F.concat(
-                word, F.lit("\t"), c, F.when(c.isin(UNITS), "\tU\n").otherwise("\t\n")
-            ),
-        )
-
-    return F.array_join(F.transform(words, line), "")
+def _mark(word: Column) -> Column:
+    return let(
+        _candidate_term(word),
+        lambda c: F.concat(
+            word, F.lit("\t"), F.translate(c, " ", "\n"),
+            F.when(c.isin(UNITS), F.lit("\tU")).otherwise(F.lit("\t")),
+        ),
+    )
 
 
 def _measure(found: Column) -> Column:
-    """Replacement for one matched line sequence."""
-    def written(cells: Column) -> Column:
+    """The replacement of one matched run of words."""
+    def written(parts: Column) -> Column:
+        words, unit = F.split(F.get(parts, 0), " "), F.get(parts, 1)
+
         def number(at: int) -> Column:
-            return F.get(cells, 3 * at).cast("double")
+            return F.get(words, at).cast("double")
 
-        first, second = F.get(cells, 0), F.get(cells, 3)
-        lines = F.size(cells) / 3
-        unit = F.get(cells, F.size(cells) - 3)
-        divided = F.try_divide(number(0), number(2))
-        as_found = F.array_join(F.filter(cells, lambda c, i: i % 3 == 0), " ")
-        return (
-            F.when(
-                second == "/",
-                F.when(divided.isNull(), as_found)
-                .when(lines == 4, convert_unit(divided, unit))
-                .otherwise(plain_number(divided)),
+        def fraction(value: Column) -> Column:
+            return (
+                F.when(value.isNull(), F.get(parts, 0))
+                .when(unit.isNotNull(), convert_unit(value, unit))
+                .otherwise(plain_number(value))
             )
-            .when(first.contains("-"), convert_unit(range_mean(first), unit))
-            .when(lines == 4, convert_unit((number(0) + number(2)) / 2, unit))
+
+        second = F.get(words, 1)
+        return (
+            F.when(second == "/", let(F.try_divide(number(0), number(2)), fraction))
+            .when(F.get(words, 0).contains("-"), convert_unit(range_mean(F.get(words, 0)), unit))
+            .when(second == "to", convert_unit((number(0) + number(2)) / 2, unit))
             .otherwise(convert_unit(number(0), unit))
         )
 
-    # word, corrected, marker per line; the raw word is kept for the numbers,
-    # and the corrected word of the last line is moved to where it is read.
-    cells = F.split(F.regexp_replace(found, r"\n\z", ""), r"[\t\n]")
-    return let(
-        cells,
-        lambda c: let(
-            F.transform(
-                c,
-                lambda x, i: F.when(
-                    (i == F.size(c) - 3) & (F.get(c, F.size(c) - 1) == "U"),
-                    F.get(c, F.size(c) - 2),
-                ).otherwise(x),
-            ),
-            written,
-        ),
-    )
+    # the words before the first TAB, then the corrected unit if there is one
+    return let(F.split(found, "\t"), written)
 
 
 def scan_measures(text: Column | str) -> Column:
     """The token scan: fractions, ranges and numbers with units, corrected terms."""
-    def glued(lines: Column) -> Column:
-        def plain(rest: Column) -> Column:
-            return F.regexp_replace(rest, r"[^\t\n]++\t([^\t\n]*+)\tU?\n", "$1 ")
-
-        found = F.transform(
-            F.regexp_extract_all(lines, F.lit(MEASURES), F.lit(0)),
-            lambda m: F.concat(_measure(m), F.lit(" ")),
-        )
-        pieces = F.zip_with(
-            F.split(lines, MEASURES, -1), found,
-            lambda p, m: F.concat(plain(p), F.coalesce(m, F.lit(""))),
-        )
-        return F.rtrim(F.array_join(pieces, ""))
-
-    return let(_scan_lines(split_words(F.lower(as_column(text)))), glued)
+    spaced = single_spaced(F.lower(as_column(text)))
+    marked = regex_sub_compute(spaced, CANDIDATE, [0], _mark)
+    measured = regex_sub_compute(marked, MEASURES, [0], _measure)
+    return F.translate(
+        F.regexp_replace(measured, r"[^ \t]+\t([^\t]*)\tU?", "$1"), "\n", " "
+    )
 
 
 def standardize_units(text: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mirepoix.plans import cleaning_queries  # noqa: F401
+from mirepoix.plans import cleaning_queries, unit_queries  # noqa: F401
 from mirepoix.plans.registry import ORACLES, QUERIES, Query
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from mirepoix.functions import prompts
 from mirepoix.operators.cleaning import clean_recipes
 from mirepoix.operators.curation import instruction_pairs
+from mirepoix.session import spread
 
 MODELS = ("base", "tuned")
 JUDGES = ("judge-a", "judge-b", "judge-c")
@@ -62,7 +63,8 @@ RECIPES_SRC = "SELECT {} FROM part".format(
 
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw recipe rows."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     return part.selectExpr(*[f"{e} AS {n}" for n, e in RECIPE_COLUMNS.items()], *PART_COLUMNS)
 
 

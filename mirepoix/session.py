@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "mirepoix", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,3 +50,13 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly row work on a small input.
+
+    A table read as fewer partitions than there are cores is redistributed; a
+    larger one is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
