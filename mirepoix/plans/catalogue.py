@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from mirepoix.plans import cleaning_queries, unit_queries  # noqa: F401
+from mirepoix.plans import (  # noqa: F401
+    cleaning_queries,
+    curation_queries,
+    scoring_queries,
+    unit_queries,
+)
 from mirepoix.plans.registry import ORACLES, QUERIES, Query
 
 
