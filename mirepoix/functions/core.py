@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What a Python text call treats as white space (wider than the regex class).
@@ -20,6 +20,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns so that later filters use the values, not the expressions.
+
+    A filter on a projected column is pushed below the projection with the whole
+    expression in it, which would then run twice. A generator over a one-element
+    array is a boundary the optimizer does not substitute across, and it stays
+    within the same stage.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    made = F.struct(*[e.alias(n) for n, e in columns.items()])
+    return df.select(*rest, F.inline(F.array(made)))
+
+
 def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

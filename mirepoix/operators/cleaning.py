@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import text, units
+from mirepoix.functions.core import once
 from mirepoix.operators.ordering import with_row_index
 
 
@@ -107,8 +108,9 @@ def clean_recipes(df: DataFrame, index: bool = False) -> DataFrame:
     if index:
         kept = row_index(kept)
     parsed = normalize_columns(parse_lists(kept))
-    with_text = parsed.withColumns({
+    with_text = once(parsed, {
         "steps_string_standardize": units.standardize_units(text.join_steps("steps")),
+    }).withColumns({
         "ingredients_text": text.join_ingredients("ingredients"),
         "tags_text": text.list_text(text.drop_tags("tags")),
     })

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import prompts, scoring, units
-from mirepoix.functions.core import split_words
+from mirepoix.functions.core import once, split_words
 
 
 def vocabulary(df: DataFrame, column: str) -> DataFrame:
@@ -29,18 +29,18 @@ def correct_vocabulary(df: DataFrame, column: str) -> DataFrame:
 def with_recipe_metrics(
     df: DataFrame, reference: str = "reference", generated: str = "generated_text"
 ) -> DataFrame:
-    return df.withColumn("recipe_metrics", scoring.recipe_metrics(reference, generated))
+    return once(df, {"recipe_metrics": scoring.recipe_metrics(reference, generated)})
 
 
 def calculate_metrics(
     df: DataFrame, reference: str = "reference", generated: str = "generated_text"
 ) -> DataFrame:
     """Add ``bleu``, ``similarity`` and ``recipe_metrics`` to each pair."""
-    return df.withColumns({
+    native = once(df, {
         "bleu": scoring.bleu(reference, generated),
-        "similarity": scoring.similarity(reference, generated),
         "recipe_metrics": scoring.recipe_metrics(reference, generated),
     })
+    return native.withColumn("similarity", scoring.similarity(reference, generated))
 
 
 def resolve_verdicts(

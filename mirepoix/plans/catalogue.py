@@ -5,6 +5,8 @@ from __future__ import annotations
 from mirepoix.plans import (  # noqa: F401
     cleaning_queries,
     curation_queries,
+    exploration_queries,
+    report_queries,
     scoring_queries,
     unit_queries,
 )
