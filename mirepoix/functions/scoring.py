@@ -45,20 +45,20 @@ def longer_ngrams(grams: Column, tokens: Column, n: int) -> Column:
     ).otherwise(no_strings())
 
 
+def all_ngrams(tokens: Column) -> Column:
+    """The n-grams for n = 1 to 4, one array per n."""
+    return let(
+        longer_ngrams(tokens, tokens, 2),
+        lambda two: let(
+            longer_ngrams(two, tokens, 3),
+            lambda three: F.array(tokens, two, three, longer_ngrams(three, tokens, 4)),
+        ),
+    )
+
+
 def clipped_matches(reference: Column, generated: Column) -> Column:
     """For n = 1 to 4: how many generated n-grams the reference has, each at most as often."""
-    def level(n: int, ref: Column, gen: Column, counts: list[Column]) -> Column:
-        counts = [*counts, common_count(gen, ref)]
-        if n == 4:
-            return F.array(*counts)
-        return let(
-            longer_ngrams(ref, reference, n + 1),
-            lambda r: let(
-                longer_ngrams(gen, generated, n + 1), lambda g: level(n + 1, r, g, counts)
-            ),
-        )
-
-    return level(1, reference, generated, [])
+    return F.zip_with(all_ngrams(generated), all_ngrams(reference), common_count)
 
 
 def bleu(reference: Column | str, generated: Column | str) -> Column:

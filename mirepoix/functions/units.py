@@ -156,17 +156,26 @@ def _pieces(unit: str, missing: int) -> list[str]:
     return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
-def _unit_like() -> str:
-    """A pattern that every token similar to a unit fits, by token length.
+def _in_order(letters: str) -> str:
+    return "".join(f"[^ {c}]*+{c}" for c in letters)
 
-    Each alternative asks for the letters of one unit piece in order.
-    """
+
+def _like(unit: str, n: int) -> list[str]:
+    """Patterns one of which every token of length n similar to the unit fits."""
+    m, common = len(unit), _least_lcs(n, len(unit))
+    if common == n:  # the token is the unit with letters left out
+        return ["".join(f"{c}?" for c in unit) + "(?![^ ])"]
+    if common == m:  # the token is the unit with letters put in
+        return [_in_order(unit)]
+    return [_in_order(piece) for piece in _pieces(unit, m - common)]
+
+
+def _unit_like() -> str:
+    """A pattern that every token similar to a unit fits, by token length."""
     by_length: dict[int, set[str]] = {}
     for unit, _ in _FUZZY_UNITS:
         for n in _lengths(unit):
-            missing = len(unit) - _least_lcs(n, len(unit))
-            for piece in _pieces(unit, missing):
-                by_length.setdefault(n, set()).add("".join(f"[^ {c}]*{c}" for c in piece))
+            by_length.setdefault(n, set()).update(_like(unit, n))
     return "|".join(
         f"(?=[^ ]{{{n}}}(?![^ ]))(?:{'|'.join(sorted(by_length[n]))})" for n in sorted(by_length)
     )
@@ -309,7 +318,7 @@ def range_mean(text: Column | str) -> Column:
 # occurs inside a word. A greedy left-to-right scan over the words is then one
 # alternation. A space inside a corrected term is kept as a line break.
 _N = r"\d+(?:\.\d+)?"
-_UNIT = r"[^ \t]+\t[^\t]*\tU"
+_UNIT = r"[^ \t]++\t[^\t]*+\tU"
 MEASURES = (
     r"(?<![^ ])(?:"
     rf"{_N} / {_N}(?: {_UNIT})?"
@@ -338,20 +347,16 @@ def _measure(found: Column) -> Column:
         def number(at: int) -> Column:
             return F.get(words, at).cast("double")
 
-        def fraction(value: Column) -> Column:
-            return (
-                F.when(value.isNull(), F.get(parts, 0))
-                .when(unit.isNotNull(), convert_unit(value, unit))
-                .otherwise(plain_number(value))
-            )
-
-        second = F.get(words, 1)
-        return (
-            F.when(second == "/", let(F.try_divide(number(0), number(2)), fraction))
-            .when(F.get(words, 0).contains("-"), convert_unit(range_mean(F.get(words, 0)), unit))
-            .when(second == "to", convert_unit((number(0) + number(2)) / 2, unit))
-            .otherwise(convert_unit(number(0), unit))
+        first, second = F.get(words, 0), F.get(words, 1)
+        value = (
+            F.when(second == "/", F.try_divide(number(0), number(2)))
+            .when(first.contains("-"), range_mean(first))
+            .when(second == "to", (number(0) + number(2)) / 2)
+            .otherwise(number(0))
         )
+        # NULL value: a zero denominator, the words stay; NULL unit: a bare fraction
+        return let(value, lambda v: F.coalesce(
+            convert_unit(v, unit), plain_number(v), F.get(parts, 0)))
 
     # the words before the first TAB, then the corrected unit if there is one
     return let(F.split(found, "\t"), written)
@@ -363,7 +368,7 @@ def scan_measures(text: Column | str) -> Column:
     marked = regex_sub_compute(spaced, CANDIDATE, [0], _mark)
     measured = regex_sub_compute(marked, MEASURES, [0], _measure)
     return F.translate(
-        F.regexp_replace(measured, r"[^ \t]+\t([^\t]*)\tU?", "$1"), "\n", " "
+        F.regexp_replace(measured, r"(?<![^ ])[^ \t]++\t([^\t]*+)\tU?", "$1"), "\n", " "
     )
 
 

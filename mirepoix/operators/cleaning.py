@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import text, units
-from mirepoix.functions.core import once
 from mirepoix.operators.ordering import with_row_index
 
 
@@ -93,9 +92,6 @@ def number_unit_diff(
     })
 
 
-CLEAN_EXTRA = ("steps_string_standardize", "ingredients_text", "tags_text")
-
-
 def clean_recipes(df: DataFrame, index: bool = False) -> DataFrame:
     """The whole cleaning of a raw recipe table.
 
@@ -108,13 +104,13 @@ def clean_recipes(df: DataFrame, index: bool = False) -> DataFrame:
     if index:
         kept = row_index(kept)
     parsed = normalize_columns(parse_lists(kept))
-    with_text = once(parsed, {
-        "steps_string_standardize": units.standardize_units(text.join_steps("steps")),
-    }).withColumns({
+    steps = text.join_steps("steps")
+    # Standardising never empties a text, so the blank test needs the raw steps only.
+    with_text = parsed.filter(text.is_non_blank(steps)).withColumns({
+        "steps_string_standardize": units.standardize_units(steps),
         "ingredients_text": text.join_ingredients("ingredients"),
         "tags_text": text.list_text(text.drop_tags("tags")),
     })
-    expanded = expand_nutrition(with_text, check_all=False).drop(
+    return expand_nutrition(with_text, check_all=False).drop(
         "nutrition_score", "ingredients", "steps", "tags"
     )
-    return filter_nonblank(expanded)

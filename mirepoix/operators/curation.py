@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mirepoix.functions import prompts
-from mirepoix.functions.core import split_words
+from mirepoix.functions.core import once, split_words
 from mirepoix.operators.ordering import is_among_smallest, seeded_key
 
 MIN_STEP_CHARS = 10
@@ -19,10 +19,11 @@ SEED = 42
 
 def instruction_pairs(df: DataFrame, min_step_chars: int = MIN_STEP_CHARS) -> DataFrame:
     """One pair per cleaned recipe with long enough steps."""
-    return df.filter(F.length("steps_string_standardize") >= min_step_chars).select(
+    steps = "steps_string_standardize"
+    return once(df, {steps: F.col(steps)}).filter(F.length(steps) >= min_step_chars).select(
         "id",
         prompts.instruction_text("name").alias("instruction"),
-        prompts.output_text("ingredients_text", "steps_string_standardize").alias("output"),
+        prompts.output_text("ingredients_text", steps).alias("output"),
     )
 
 
