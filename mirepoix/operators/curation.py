@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from mirepoix.functions import prompts
 from mirepoix.functions.core import once, split_words
-from mirepoix.operators.ordering import is_among_smallest, seeded_key
+from mirepoix.operators.ordering import (
+    READ_POSITION,
+    is_among_smallest,
+    seeded_key,
+    spread_order,
+    with_read_position,
+)
 
 MIN_STEP_CHARS = 10
 MIN_OUTPUT_CHARS = 200
@@ -32,12 +38,9 @@ def filter_length(df: DataFrame, min_chars: int = MIN_OUTPUT_CHARS, column: str
 
 
 def seeded_shuffle(df: DataFrame, seed: int = SEED, key: str = "id") -> DataFrame:
-    """Rows in a repeatable random order; copies of one key spread by read position."""
-    return (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .orderBy(seeded_key(seed, key), "_tie")
-        .drop("_tie")
-    )
+    """Rows in a repeatable random order; copies of one key still spread over tasks."""
+    keys = spread_order(df, seeded_key(seed, key))
+    return with_read_position(df).orderBy(*keys).drop(READ_POSITION)
 
 
 def seeded_subset(df: DataFrame, size: int = SUBSET_SIZE, seed: int = SEED, key: str = "id") -> DataFrame:
@@ -126,13 +129,11 @@ def length_buckets(df: DataFrame, step: int = 64, column: str = "text") -> DataF
 def group_by_length(df: DataFrame, column: str = "text") -> DataFrame:
     """Lay texts of similar length side by side.
 
-    Range-partitioned by length and read position, so one frequent length
-    does not end up in a single task.
+    Range-partitioned, with equal lengths told apart, so one frequent length does
+    not end up in a single task.
     """
-    length = F.size(split_words(F.col(column)))
+    keys = spread_order(df, F.size(split_words(F.col(column))))
     return (
-        df.withColumns({"_len": length, "_tie": F.monotonically_increasing_id()})
-        .repartitionByRange("_len", "_tie")
-        .sortWithinPartitions("_len", "_tie")
-        .drop("_len", "_tie")
+        with_read_position(df).repartitionByRange(*keys).sortWithinPartitions(*keys)
+        .drop(READ_POSITION)
     )

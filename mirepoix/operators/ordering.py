@@ -17,24 +17,45 @@ from mirepoix.session import ensure_checkpoints
 _ROW_BITS = 33
 
 
+def spread_order(df: DataFrame, *first: Column | str) -> list[Column]:
+    """Sort columns that start with ``first`` and tell all rows apart.
+
+    Equal values are ordered by a hash of the row, then by read position. Only
+    exact copies get as far as the position, and copies are interchangeable: a
+    task that is run again cannot lose or repeat a row, whatever order it reads
+    in. A value that fills a third of the table still spreads over many tasks.
+    """
+    hashable = [
+        f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+    ]
+    leading = [F.col(c) if isinstance(c, str) else c for c in first]
+    return [*leading, F.xxhash64(*hashable), F.col(READ_POSITION)]
+
+
+READ_POSITION = "_read_position"
+
+
+def with_read_position(df: DataFrame) -> DataFrame:
+    return df.withColumn(READ_POSITION, F.monotonically_increasing_id())
+
+
 def with_row_index(
     df: DataFrame, order_by: Sequence[str], name: str = "index", within: Sequence[str] = ()
 ) -> DataFrame:
     """Number the rows from 0 in the given order, per ``within`` key if given.
 
-    The rows are range-partitioned and sorted once; rows with equal order values
-    are kept apart by their read position, so a value that fills a third of the
-    table still spreads over many tasks. The sorted rows are checkpointed, since
-    the partition totals and the numbering have to see the same partitions.
-    What is brought together is one count per partition (and key).
+    The rows are range-partitioned and sorted once (see ``spread_order`` for equal
+    values). The sorted rows are checkpointed, since the partition totals and the
+    numbering have to see the same partitions. What is brought together is one
+    count per partition (and key).
     """
     ensure_checkpoints(df.sparkSession)
-    keys = [*within, *order_by]
+    keys = spread_order(df, *within, *order_by)
     placed = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*[F.col(k) for k in keys], F.col("_tie"))
-        .sortWithinPartitions(*keys, "_tie")
-        .drop("_tie")
+        with_read_position(df)
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop(READ_POSITION)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
         .checkpoint()
