@@ -10,7 +10,7 @@ from mirepoix.operators import cleaning, curation, evaluation, reports
 from mirepoix.plans.cleaning_queries import CLEAN_COLUMNS
 from mirepoix.plans.curation_queries import stored_pairs
 from mirepoix.plans.registry import query
-from mirepoix.plans.scoring_queries import _BLEU_CTE, _SCORE_CTE
+from mirepoix.plans.scoring_queries import BLEU_CTE, SCORE_CTE, SIMILARITY_CTE
 from mirepoix.plans.views import (
     JUDGES,
     MODELS,
@@ -30,9 +30,17 @@ from mirepoix.streaming.files import process_available
 # --- per model ---------------------------------------------------------------
 
 
-@query("model_metrics")
+@query("model_metrics", with_views("generations", """
+SELECT s.model_name, round(avg(b.bleu), 6) AS avg_bleu, round(avg(m.similarity), 6) AS avg_similarity,
+       round(avg(coverage), 6) AS avg_ingredient_coverage,
+       round(avg(temperature), 6) AS avg_temperature_validation, round(avg(allergy), 6) AS avg_allergen_handling,
+       round(avg(coverage * 0.4 + temperature * 0.4 + allergy * 0.2), 6) AS avg_composite_score
+FROM scores AS s JOIN bleu AS b ON s.model_name = b.model_name AND s.id = b.id
+  JOIN alike AS m ON s.model_name = m.model_name AND s.id = m.id GROUP BY s.model_name""",
+    **BLEU_CTE, **SCORE_CTE, **SIMILARITY_CTE))
 def model_metrics(spark, sf_dir):
-    return reports.model_metrics(evaluation.calculate_metrics(generations(spark, sf_dir)))
+    means = reports.model_metrics(evaluation.calculate_metrics(generations(spark, sf_dir)))
+    return means.select("model_name", *[F.round(c, 6).alias(c) for c in reports.METRIC_COLUMNS])
 
 
 @query("model_metrics_native", with_views("generations", """
@@ -40,12 +48,12 @@ SELECT s.model_name, round(avg(b.bleu), 6) AS avg_bleu, round(avg(coverage), 6)
        round(avg(temperature), 6) AS avg_temperature_validation, round(avg(allergy), 6) AS avg_allergen_handling,
        round(avg(coverage * 0.4 + temperature * 0.4 + allergy * 0.2), 6) AS avg_composite_score
 FROM scores AS s JOIN bleu AS b ON s.model_name = b.model_name AND s.id = b.id GROUP BY s.model_name""",
-    **_BLEU_CTE, **_SCORE_CTE))
+    **BLEU_CTE, **SCORE_CTE))
 def model_metrics_native(spark, sf_dir):
-    """The five means that SQL can check; similarity is left out."""
-    rows = generations(spark, sf_dir)
+    """Without similarity the whole report runs in the JVM."""
+    scored = evaluation.calculate_metrics(generations(spark, sf_dir))
     metrics = {k: v for k, v in reports.METRIC_COLUMNS.items() if k != "avg_similarity"}
-    means = reports.model_metrics(evaluation.calculate_metrics(rows), metrics)
+    means = reports.model_metrics(scored, metrics)
     return means.select("model_name", *[F.round(c, 6).alias(c) for c in metrics])
 
 

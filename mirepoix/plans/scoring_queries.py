@@ -23,7 +23,7 @@ def bleu_tokens(spark, sf_dir):
 
 
 # BLEU by exploding n-grams, counting them and joining the counts.
-_BLEU_CTE = dict(
+BLEU_CTE = dict(
     tok=f"""
 SELECT model_name, id, side, n, list_transform(range(1, len(t) - n + 2),
          lambda i: array_to_string(list_slice(t, i, i + n - 1), ' ')) AS grams, len(t) AS size
@@ -53,13 +53,50 @@ FROM levels GROUP BY model_name, id""",
 )
 
 
-@query("bleu", with_views("generations", "SELECT model_name, id, round(bleu, 9) AS bleu FROM bleu", **_BLEU_CTE))
+@query("bleu", with_views("generations", "SELECT model_name, id, round(bleu, 9) AS bleu FROM bleu", **BLEU_CTE))
 def bleu(spark, sf_dir):
     return generations(spark, sf_dir).select(
         "model_name", "id", F.round(scoring.bleu("reference", "generated_text"), 9).alias("bleu"))
 
 
-@query("similarity")
+# Similarity by a longest common subsequence over 60-bit words: one bit per letter
+# of the reference (they have fewer than 240), folded over the generated text.
+_WORDS_60 = 4
+_FULL_60 = (1 << 60) - 1
+
+
+def _lcs_step() -> str:
+    cells, carry = [], "0"
+    for k in range(1, _WORDS_60 + 1):
+        hit = f"(v[{k}] & m[{k}])"
+        total = f"(v[{k}] + {hit} + {carry})"
+        cells.append(f"(({total} & {_FULL_60}) | (v[{k}] - {hit}))")
+        carry = f"({total} >> 60)"
+    return "[" + ", ".join(cells) + "]"
+
+
+SIMILARITY_CTE = dict(
+    letters=f"""
+SELECT model_name, id, c, {", ".join(
+        f"sum(CASE WHEN p BETWEEN {60 * k + 1} AND {60 * k + 60} THEN 1::BIGINT << (p - {60 * k + 1})::INT "
+        f"ELSE 0 END)::BIGINT AS m{k + 1}" for k in range(_WORDS_60))}
+FROM (SELECT model_name, id, unnest(string_split(lower(reference), '')) AS c,
+             unnest(range(1, length(reference) + 1)) AS p FROM generations) AS r GROUP BY model_name, id, c""",
+    masks=f"""
+SELECT g.model_name, g.id, list([{", ".join(f"coalesce(m{k + 1}, 0)" for k in range(_WORDS_60))}] ORDER BY g.p) AS masks
+FROM (SELECT model_name, id, unnest(string_split(lower(generated_text), '')) AS c,
+             unnest(range(1, length(generated_text) + 1)) AS p FROM generations) AS g
+LEFT JOIN letters AS l ON g.model_name = l.model_name AND g.id = l.id AND g.c = l.c GROUP BY g.model_name, g.id""",
+    alike=f"""
+SELECT g.model_name, g.id, 200::DOUBLE * ({60 * _WORDS_60} - list_sum(list_transform(list_reduce(
+         masks, lambda v, m: {_lcs_step()}, [{", ".join([str(_FULL_60)] * _WORDS_60)}]),
+         lambda x: bit_count(x)))) / (length(reference) + length(generated_text)) AS similarity
+FROM masks AS k JOIN generations AS g ON g.model_name = k.model_name AND g.id = k.id""",
+)
+
+
+@query("similarity", with_views(
+    "generations", "SELECT model_name, id, similarity FROM alike", **SIMILARITY_CTE))
 def similarity(spark, sf_dir):
     return generations(spark, sf_dir).select(
         "model_name", "id", scoring.similarity("reference", "generated_text").alias("similarity"))
@@ -125,7 +162,7 @@ _SWAPS = " + ".join(
 )
 _WARNED = r"regexp_matches(t, '\b(?:" + "|".join(lookups.SAFETY_PATTERNS) + ")')"
 
-_SCORE_CTE = dict(
+SCORE_CTE = dict(
     read=f"""
 SELECT model_name, id, generated_text, lower(generated_text) AS t, {_ITEMS} AS items,
        {_celsius_lists()} AS degrees FROM generations""",
@@ -142,7 +179,7 @@ SELECT *, CASE WHEN len(items) > 0 THEN len(used)::DOUBLE / len(items) ELSE 0::D
 
 
 def _scored_sql(body: str) -> str:
-    return with_views("generations", body, **_SCORE_CTE)
+    return with_views("generations", body, **SCORE_CTE)
 
 
 @query("extract_ingredients", _scored_sql("""
@@ -248,20 +285,35 @@ def recipe_metrics(spark, sf_dir):
         F.array_join(f"{m}.allergen_handling.allergens_mentioned", "|").alias("allergens"))
 
 
-@query("calculate_metrics")
+@query("calculate_metrics", with_views("generations", """
+SELECT s.model_name, s.id, round(b.bleu, 9) AS bleu, m.similarity,
+       round(coverage * 0.4::DOUBLE + temperature * 0.4::DOUBLE + allergy * 0.2::DOUBLE, 9) AS composite_score
+FROM scores AS s JOIN bleu AS b ON s.model_name = b.model_name AND s.id = b.id
+  JOIN alike AS m ON s.model_name = m.model_name AND s.id = m.id""",
+    **BLEU_CTE, **SCORE_CTE, **SIMILARITY_CTE))
 def calculate_metrics(spark, sf_dir):
     rows = evaluation.calculate_metrics(generations(spark, sf_dir))
     return rows.select(
-        "model_name", "id", "bleu", "similarity", "recipe_metrics.composite_score")
-
-
-@query("score_documents")
+        "model_name", "id", F.round("bleu", 9).alias("bleu"), "similarity",
+        F.round("recipe_metrics.composite_score", 9).alias("composite_score"))
+
+
+# Each document against itself: the n-gram orders it is too short for count 0.1.
+@query("score_documents", with_views("", f"""
+SELECT s.id AS doc_id, round(coverage * 0.4::DOUBLE + temperature * 0.4::DOUBLE + allergy * 0.2::DOUBLE, 9) AS composite,
+       round(CASE WHEN n = 0 THEN 0 ELSE power(0.1::DOUBLE, greatest(0, 4 - n) / 4) END, 9) AS bleu
+FROM scores AS s JOIN (SELECT doc_id, len(regexp_extract_all(lower(text), '{_TOKEN}')) AS n FROM documents) AS d
+  ON d.doc_id = s.id""",
+    generations="""
+SELECT 'document' AS model_name, doc_id AS id, text AS reference, text AS generated_text FROM documents""",
+    **SCORE_CTE))
 def score_documents(spark, sf_dir):
     """All text-only scores over whole documents."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    composite = scoring.recipe_metrics("text", "text").getField("composite_score")
     return docs.select(
-        "doc_id", scoring.recipe_metrics("text", "text").getField("composite_score").alias("composite"),
-        scoring.bleu("text", "text").alias("bleu"))
+        "doc_id", F.round(composite, 9).alias("composite"),
+        F.round(scoring.bleu("text", "text"), 9).alias("bleu"))
 
 
 # --- structure ---------------------------------------------------------------

@@ -24,7 +24,7 @@ def _type(t):
 
 
 def _cell(v):
-    return round(v, 9) if isinstance(v, float) else v
+    return v
 
 
 def _rows(arrow, columns):
