@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from mirepoix.functions import prompts
 from mirepoix.functions.core import once, split_words
 from mirepoix.operators.ordering import (
-    READ_POSITION,
     is_among_smallest,
+    lay_out,
     seeded_key,
-    spread_order,
-    with_read_position,
+    with_order_keys,
 )
 
 MIN_STEP_CHARS = 10
@@ -39,8 +38,8 @@ def filter_length(df: DataFrame, min_chars: int = MIN_OUTPUT_CHARS, column: str
 
 def seeded_shuffle(df: DataFrame, seed: int = SEED, key: str = "id") -> DataFrame:
     """Rows in a repeatable random order; copies of one key still spread over tasks."""
-    keys = spread_order(df, seeded_key(seed, key))
-    return with_read_position(df).orderBy(*keys).drop(READ_POSITION)
+    keyed, names = with_order_keys(df, seeded_key(seed, key))
+    return keyed.orderBy(*names).drop(*names)
 
 
 def seeded_subset(df: DataFrame, size: int = SUBSET_SIZE, seed: int = SEED, key: str = "id") -> DataFrame:
@@ -132,8 +131,4 @@ def group_by_length(df: DataFrame, column: str = "text") -> DataFrame:
     Range-partitioned, with equal lengths told apart, so one frequent length does
     not end up in a single task.
     """
-    keys = spread_order(df, F.size(split_words(F.col(column))))
-    return (
-        with_read_position(df).repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .drop(READ_POSITION)
-    )
+    return lay_out(df, F.size(split_words(F.col(column))))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirepoix.operators.ordering import with_row_index
+from mirepoix.session import ensure_checkpoints
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = 10) -> DataFrame:
@@ -50,13 +51,16 @@ def boxplot_stats(
     """Quartiles, whiskers and outlier count per group, exact.
 
     Rows are first counted per (group, value), so the ranking sees distinct
-    values, not rows. If a group has more distinct values than fit one task the
-    ranking is done over range partitions instead.
+    values, not rows; the counts are stored, as they are read several times. If a
+    group has more distinct values than fit one task the ranking is done over
+    range partitions instead.
     """
+    ensure_checkpoints(df.sparkSession)
     counts = (
         df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
         .groupBy(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .checkpoint()
     )
     widest = counts.groupBy("g").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0]
     if (widest or 0) <= window_values:

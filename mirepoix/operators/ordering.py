@@ -17,26 +17,28 @@ from mirepoix.session import ensure_checkpoints
 _ROW_BITS = 33
 
 
-def spread_order(df: DataFrame, *first: Column | str) -> list[Column]:
-    """Sort columns that start with ``first`` and tell all rows apart.
+_ORDER = "_order_"
+
+
+def with_order_keys(df: DataFrame, *first: Column | str) -> tuple[DataFrame, list[str]]:
+    """Add sort columns that start with ``first`` and tell all rows apart.
 
     Equal values are ordered by a hash of the row, then by read position. Only
     exact copies get as far as the position, and copies are interchangeable: a
     task that is run again cannot lose or repeat a row, whatever order it reads
     in. A value that fills a third of the table still spreads over many tasks.
     """
-    hashable = [
-        f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
-    ]
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     leading = [F.col(c) if isinstance(c, str) else c for c in first]
-    return [*leading, F.xxhash64(*hashable), F.col(READ_POSITION)]
-
-
-READ_POSITION = "_read_position"
+    keys = [*leading, F.xxhash64(*hashable), F.monotonically_increasing_id()]
+    names = [f"{_ORDER}{i}" for i in range(len(keys))]
+    return df.withColumns(dict(zip(names, keys))), names
 
 
-def with_read_position(df: DataFrame) -> DataFrame:
-    return df.withColumn(READ_POSITION, F.monotonically_increasing_id())
+def lay_out(df: DataFrame, *first: Column | str) -> DataFrame:
+    """Range-partition and sort by ``first``, equal values spread over tasks."""
+    keyed, names = with_order_keys(df, *first)
+    return keyed.repartitionByRange(*names).sortWithinPartitions(*names).drop(*names)
 
 
 def with_row_index(
@@ -44,18 +46,14 @@ def with_row_index(
 ) -> DataFrame:
     """Number the rows from 0 in the given order, per ``within`` key if given.
 
-    The rows are range-partitioned and sorted once (see ``spread_order`` for equal
-    values). The sorted rows are checkpointed, since the partition totals and the
+    The rows are range-partitioned and sorted once (see ``with_order_keys`` for
+    equal values). The sorted rows are checkpointed, since the partition totals and the
     numbering have to see the same partitions. What is brought together is one
     count per partition (and key).
     """
     ensure_checkpoints(df.sparkSession)
-    keys = spread_order(df, *within, *order_by)
     placed = (
-        with_read_position(df)
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .drop(READ_POSITION)
+        lay_out(df, *within, *order_by)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
         .checkpoint()

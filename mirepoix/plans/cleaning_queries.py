@@ -8,7 +8,7 @@ from mirepoix import lookups
 from mirepoix.functions import text, units
 from mirepoix.operators import cleaning, titles
 from mirepoix.plans.registry import query
-from mirepoix.plans.views import CELSIUS_OF_STEP, NUTRITION, clean, recipes, table, with_views
+from mirepoix.plans.views import CELSIUS_OF_STEP, NUTRITION, STEPS_STANDARD, clean, documents, recipes, table, with_views
 
 CLEAN_COLUMNS = (
     "id", "name", "minutes", "n_steps", "description", "n_ingredients",
@@ -134,12 +134,12 @@ def tag_search(spark, sf_dir):
     return found.select("id", F.array_join("tags", "|").alias("tags"))
 
 
-@query("lookup_by_id", with_views("clean", """
-SELECT id, name, steps_string_standardize FROM clean WHERE id = 17"""))
+@query("lookup_by_id", with_views("recipes_src", f"""
+SELECT id, name, {STEPS_STANDARD} AS steps_string_standardize FROM recipes_src WHERE id = 17"""))
 def lookup_by_id(spark, sf_dir):
-    return cleaning.lookup_by_id(
-        clean(spark, sf_dir), 17, ["id", "name", "steps_string_standardize"]
-    )
+    steps = text.join_steps(text.lower_each(text.parse_string_list("steps")))
+    rows = recipes(spark, sf_dir).withColumn("steps_string_standardize", units.standardize_units(steps))
+    return cleaning.lookup_by_id(rows, 17, ["id", "name", "steps_string_standardize"])
 
 
 @query("number_unit_diff", with_views("recipes_src", f"""
@@ -212,7 +212,7 @@ def _sql_title(column: str, stop_words) -> str:
 
 @query("title_strip", f"SELECT doc_id, {_STRIPPED.format('text')} AS stripped FROM documents")
 def title_strip(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", text.strip_title("text").alias("stripped"))
 
 
@@ -220,7 +220,7 @@ def title_strip(spark, sf_dir):
 SELECT doc_id, len({_TOKENS.format('text')})::INT AS n_tokens,
        array_to_string({_TOKENS.format('text')}, '|') AS tokens FROM documents""")
 def title_tokens(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.title_tokens("text").alias("t"))
+    rows = documents(spark, sf_dir).select("doc_id", text.title_tokens("text").alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", "|").alias("tokens"))
 
 
@@ -228,7 +228,7 @@ def title_tokens(spark, sf_dir):
 SELECT doc_id, array_to_string(list_transform({_TOKENS.format('text')}, lambda t: {_sql_lemma('t')}),
        ' ') AS lemmas FROM documents""")
 def title_lemmas(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.title_tokens("text").alias("t"))
+    rows = documents(spark, sf_dir).select("doc_id", text.title_tokens("text").alias("t"))
     return titles.title_lemmas(rows, "t", lemma_table(spark)).select(
         "doc_id", F.array_join("t", " ").alias("lemmas"))
 

@@ -8,7 +8,7 @@ from mirepoix import lookups
 from mirepoix.functions.core import split_words
 from mirepoix.operators import chats, curation
 from mirepoix.plans.registry import query
-from mirepoix.plans.views import clean, pairs, table, with_views
+from mirepoix.plans.views import clean, documents, pairs, table, with_views
 from mirepoix.session import ensure_checkpoints
 
 
@@ -26,7 +26,7 @@ def instruction_pairs(spark, sf_dir):
 @query("filter_length", """
 SELECT doc_id, CAST(length(text) AS INT) AS n FROM documents WHERE length(text) > 200""")
 def filter_length(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return curation.filter_length(docs, 200, "text").select("doc_id", F.length("text").alias("n"))
 
 
@@ -57,7 +57,7 @@ def train_test_split(spark, sf_dir):
 SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id)) <= ceil(count(*) OVER () * 0.05::DOUBLE)
                     THEN 'test' ELSE 'train' END AS split FROM documents""")
 def train_test_split_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id")
+    docs = documents(spark, sf_dir).select("doc_id")
     return curation.train_test_split(docs, key="doc_id")
 
 
@@ -137,7 +137,7 @@ SELECT doc_id, CAST(n AS INT) AS n_tokens, n > 512 AS over_budget, 512 AS n_labe
        array_to_string(list_slice(w, 1, 512), ' ') || repeat(' <pad>', greatest(512 - n, 0)::BIGINT) AS tokens
 FROM (SELECT doc_id, {_WORDS} AS w, len({_WORDS}) AS n FROM documents) AS t""")
 def sequence_budget(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return curation.sequence_budget(docs).select(
         "doc_id", "n_tokens", "over_budget", F.size("labels").alias("n_labels"),
         F.size(F.filter("attention", lambda a: a == 0)).alias("n_padding"),
@@ -148,11 +148,11 @@ def sequence_budget(spark, sf_dir):
 @query("length_buckets", f"""
 SELECT CAST(floor(len({_WORDS}) / 64) AS BIGINT) AS bucket, count(*) AS n_texts FROM documents GROUP BY 1""")
 def length_buckets(spark, sf_dir):
-    return curation.length_buckets(table(spark, sf_dir, "documents").select("text"))
+    return curation.length_buckets(documents(spark, sf_dir).select("text"))
 
 
 @query("group_by_length", f"""
 SELECT doc_id, CAST(len({_WORDS}) AS INT) AS n_tokens FROM documents""")
 def group_by_length(spark, sf_dir):
-    docs = curation.group_by_length(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = curation.group_by_length(documents(spark, sf_dir))
     return docs.select("doc_id", F.size(split_words(F.col("text"))).alias("n_tokens"))

@@ -8,8 +8,7 @@ from mirepoix import lookups
 from mirepoix.functions import prompts, scoring, text
 from mirepoix.operators import evaluation
 from mirepoix.plans.registry import query
-from mirepoix.plans.views import JUDGES, generations, replies, table, with_views
-from mirepoix.session import spread
+from mirepoix.plans.views import JUDGES, documents, generations, replies, table, with_views
 
 _TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
@@ -18,7 +17,7 @@ _TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 SELECT doc_id, CAST(len(t) AS INT) AS n_tokens, array_to_string(t, ' ') AS tokens
 FROM (SELECT doc_id, regexp_extract_all(lower(text), '{_TOKEN}') AS t FROM documents) AS d""")
 def bleu_tokens(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", scoring.bleu_tokens("text").alias("t"))
+    rows = documents(spark, sf_dir).select("doc_id", scoring.bleu_tokens("text").alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
@@ -309,7 +308,7 @@ SELECT 'document' AS model_name, doc_id AS id, text AS reference, text AS genera
     **SCORE_CTE))
 def score_documents(spark, sf_dir):
     """All text-only scores over whole documents."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = documents(spark, sf_dir)
     composite = scoring.recipe_metrics("text", "text").getField("composite_score")
     return docs.select(
         "doc_id", F.round(composite, 9).alias("composite"),
@@ -421,6 +420,6 @@ def resolve_verdict(spark, sf_dir):
 @query("judge_input", """
 SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE substr(text, 1, 4000) END AS judged FROM documents""")
 def judge_input(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = documents(spark, sf_dir).select(
         "doc_id", F.when(F.col("doc_id") % 9 == 0, "").otherwise(F.col("text")).alias("t"))
     return docs.select("doc_id", prompts.judge_input("t").alias("judged"))

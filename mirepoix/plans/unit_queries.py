@@ -14,8 +14,7 @@ from mirepoix.functions import units
 from mirepoix.functions.core import regex_sub_compute
 from mirepoix.operators.evaluation import correct_vocabulary, vocabulary
 from mirepoix.plans.registry import query
-from mirepoix.plans.views import STEPS_STANDARD, STEPS_TEXT, recipes, table, with_views
-from mirepoix.session import spread
+from mirepoix.plans.views import STEPS_STANDARD, STEPS_TEXT, documents, recipes, table, with_views
 
 _C = "CAST(CAST(round(({} - 32) * 5.0 / 9.0) AS INT) AS STRING)"
 _F_TEXT, _N_TEXT = "CAST(300 + 5 * p AS STRING)", "CAST(150 + 5 * p AS STRING)"
@@ -136,7 +135,7 @@ SELECT DISTINCT unnest(regexp_split_to_array(lower(t), '{_SPACE}')) AS token FRO
 
 
 def _all_texts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("t"))
+    docs = documents(spark, sf_dir).select(F.col("text").alias("t"))
     steps = recipes(spark, sf_dir).selectExpr(f"{STEPS_TEXT} AS t")
     return docs.union(steps).union(table(spark, sf_dir, "part").selectExpr(f"{_MISSPELT} AS t"))
 
@@ -195,7 +194,7 @@ def standardize_units(spark, sf_dir):
 
 @query("standardize_documents")
 def standardize_documents(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = documents(spark, sf_dir)
     return docs.select("doc_id", units.standardize_units("text").alias("standardized"))
 
 

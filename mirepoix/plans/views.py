@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and whole texts, over all cores even when the table is one small file."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _list(*items: str) -> str:
     quoted = ", ', ', ".join(f"chr(39), {i}, chr(39)" for i in items)
     return f"concat('[', {quoted}, ']')"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mirepoix.operators import curation
-from mirepoix.operators.ordering import spread_order, with_read_position, with_row_index
+from mirepoix.operators.ordering import lay_out, with_row_index
 
 
 def digest(seed, key):
@@ -28,8 +28,7 @@ def test_hot_value_spreads_over_tasks(spark):
     setting = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(setting, "false")  # the data is too small to stay split otherwise
     try:
-        keys = spread_order(df, "k")
-        placed = with_read_position(df).repartitionByRange(*keys)
+        placed = lay_out(df, "k")
         sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set(setting, "true")
