@@ -48,14 +48,24 @@ def single_spaced(text: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+    """Remove white space of any kind at both ends.
+
+    The look-behind keeps a long run of blanks inside a text from being tried at
+    each of its places.
+    """
+    return F.regexp_replace(text, rf"^{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
 
 
 # Unicode noncharacters, reserved for use inside a program: they mark the matches.
+# A text must not bring its own, so they are taken out of it first.
 _MATCH, _GROUP = "\ufdd0", "\ufdd1"
 
 
+def _without_marks(text: Column) -> Column:
+    found = text.contains(_MATCH) | text.contains(_GROUP)
+    return F.when(found, F.translate(text, _MATCH + _GROUP, "")).otherwise(text)
+
+
 def regex_sub_compute(
     text: Column, pattern: str, groups: Sequence[int], fn: Callable[..., Column]
 ) -> Column:
@@ -83,7 +93,8 @@ def regex_sub_compute(
         return F.when(marked.contains(_MATCH), F.array_join(pieces, "")).otherwise(original)
 
     return let(
-        text, lambda t: let(F.regexp_replace(t, pattern, template), lambda m: rebuilt(m, t))
+        let(text, _without_marks),
+        lambda t: let(F.regexp_replace(t, pattern, template), lambda m: rebuilt(m, t)),
     )
 
 

@@ -42,12 +42,12 @@ def _parts(messages: DataFrame, line: Column, turns_per_part: int) -> DataFrame:
             F.array_join(F.transform("_m", lambda m: m.getField("line")), "").alias("text"),
         )
 
-    short = rows.join(long, "conv_id", "left_anti").withColumns(
-        {"part": F.lit(0).cast("long"), "last": F.lit(True)}
-    )
-    result = joined(short.groupBy("conv_id", "part", "last"))
+    def whole(short: DataFrame) -> DataFrame:
+        marked = short.withColumns({"part": F.lit(0).cast("long"), "last": F.lit(True)})
+        return joined(marked.groupBy("conv_id", "part", "last"))
+
     if long.isEmpty():
-        return result
+        return whole(rows)
     split = (
         with_row_index(
             rows.join(long, "conv_id", "left_semi"), ["turn", "role", "line"], "_at", ["conv_id"]
@@ -56,7 +56,9 @@ def _parts(messages: DataFrame, line: Column, turns_per_part: int) -> DataFrame:
         .withColumn("part", F.floor(F.col("_at") / turns_per_part))
         .withColumn("last", F.col("part") == F.floor((F.col("n_turns") - 1) / turns_per_part))
     )
-    return result.unionByName(joined(split.groupBy("conv_id", "part", "last")))
+    return whole(rows.join(long, "conv_id", "left_anti")).unionByName(
+        joined(split.groupBy("conv_id", "part", "last"))
+    )
 
 
 def render_chat(

@@ -4,6 +4,8 @@ import json
 
 from mirepoix.operators import reports
 from mirepoix.operators.cleaning import clean_recipes
+from mirepoix.operators.curation import instruction_pairs
+from mirepoix.operators.evaluation import with_recipe_metrics
 from mirepoix.plans.views import recipes
 from mirepoix.sources import tables
 from mirepoix.streaming.files import process_available
@@ -85,3 +87,19 @@ def test_stream_equals_batch_and_resumes(spark, sf_dir, tmp_path):
     streamed, batch = spark.read.parquet(target), clean_recipes(rows)
     assert 0 < first < streamed.count() == batch.count()
     assert streamed.select(batch.columns).exceptAll(batch).count() == 0
+
+
+def test_pairs_and_scores_stream(spark, sf_dir, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows = recipes(spark, sf_dir)
+    rows.write.parquet(source)
+
+    def transform(df):
+        pairs = instruction_pairs(clean_recipes(df))
+        return with_recipe_metrics(pairs, "output", "output").select(
+            "id", "output", "recipe_metrics.composite_score")
+
+    process_available(spark, source, rows.schema, transform, target, progress)
+    streamed, batch = spark.read.parquet(target), transform(rows)
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0

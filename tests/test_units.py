@@ -95,6 +95,19 @@ def test_terms_match_brute_force(spark):
     assert not wrong
 
 
+def test_own_marks_and_odd_spaces_in_a_text(spark):
+    texts = ["bake\ufdd0 at 180c\ufdd1", "add\u00a02\tcups\n milk", "x" + " " * 5000 + "350 degrees f"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.s for r in df.select(units.standardize_units("t").alias("s")).collect()]
+    assert got == ["bake at 180.0 celsius", "add 0.48 liter milk", "x 177.0 celsius"]
+
+
+def test_huge_numbers(spark):
+    df = spark.createDataFrame([("9" * 30 + "c",), ("9" * 400 + " degrees f",), ("1e5 0.0001 weeks",)], "t string")
+    got = [r.s for r in df.select(units.standardize_units("t").alias("s")).collect()]
+    assert all(g for g in got) and got[2] == "1e5 1.008 minute"
+
+
 @pytest.mark.parametrize("fahrenheit,celsius", [(350, 177), (32, 0), (212, 100), (-40, -40)])
 def test_f_to_c(spark, fahrenheit, celsius):
     row = spark.range(1).select(units.f_to_c(F.lit(float(fahrenheit))).alias("c")).first()
