@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirepoix.operators.ordering import with_row_index
-from mirepoix.session import ensure_checkpoints
+from mirepoix.session import store
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = 10) -> DataFrame:
@@ -55,12 +55,11 @@ def boxplot_stats(
     group has more distinct values than fit one task the ranking is done over
     range partitions instead.
     """
-    ensure_checkpoints(df.sparkSession)
-    counts = (
-        df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-        .groupBy(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .checkpoint()
+    known = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+    counts = store(
+        known.groupBy(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
     )
     widest = counts.groupBy("g").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0]
     if (widest or 0) <= window_values:

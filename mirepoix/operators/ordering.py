@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirepoix.session import ensure_checkpoints
+from mirepoix.session import store
 
 _ROW_BITS = 33
 
@@ -47,17 +47,16 @@ def with_row_index(
     """Number the rows from 0 in the given order, per ``within`` key if given.
 
     The rows are range-partitioned and sorted once (see ``with_order_keys`` for
-    equal values). The sorted rows are checkpointed, since the partition totals and the
+    equal values). The sorted rows are stored, since the partition totals and the
     numbering have to see the same partitions. What is brought together is one
     count per partition (and key).
     """
-    ensure_checkpoints(df.sparkSession)
-    placed = (
+    numbered = (
         lay_out(df, *within, *order_by)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
-        .checkpoint()
     )
+    placed = store(numbered, "row-index")
     first = placed.groupBy("_part", *within).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_start")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mirepoix.functions import text
-from mirepoix.session import ensure_checkpoints
+from mirepoix.session import store
 
 # A lemma table up to this size is put into the plan as a literal map; a larger
 # one is joined.
@@ -50,9 +50,8 @@ def title_lemmas(
 
 
 def _join_lemmas(df: DataFrame, tokens: str, lemmas: DataFrame) -> DataFrame:
-    ensure_checkpoints(df.sparkSession)
     # Stored once, because the row numbers have to be the same on both sides of the join.
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    rows = store(df.withColumn("_row", F.monotonically_increasing_id()), "titles")
     listed = lemmas.groupBy("token").agg(F.min("lemma").alias("_lemma"))
     # A frequent token meets one lemma row: the skew is on the left side only,
     # where adaptive execution splits it.

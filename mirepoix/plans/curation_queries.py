@@ -9,13 +9,12 @@ from mirepoix.functions.core import split_words
 from mirepoix.operators import chats, curation
 from mirepoix.plans.registry import query
 from mirepoix.plans.views import clean, documents, pairs, table, with_views
-from mirepoix.session import ensure_checkpoints
+from mirepoix.session import store
 
 
 def stored_pairs(spark, sf_dir):
     """The pairs, computed once: ordering and splitting read their keys several times."""
-    ensure_checkpoints(spark)
-    return pairs(spark, sf_dir).checkpoint()
+    return store(pairs(spark, sf_dir), "pairs")
 
 
 @query("instruction_pairs", with_views("pairs", "SELECT id, instruction, output FROM pairs"))

@@ -26,25 +26,22 @@ def build_session(name: str = "mirepoix", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_local_dir: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a local session without the setting gets a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="mirepoix-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    if not _local_dir:
+        _local_dir.append(tempfile.mkdtemp(prefix="mirepoix-"))
+    return _local_dir[0]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -52,6 +49,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write a table below the shared folder and read it back.
+
+    Cuts the lineage: what follows sees fixed rows, whatever executors are lost,
+    and later passes read only the columns they need.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly row work on a small input.
 
