@@ -98,6 +98,34 @@ def regex_sub_compute(
     )
 
 
+_SPLITTER = 134217729.0  # 2**27 + 1: cuts a double into two halves of 26 bits
+
+
+def round_exact(value: Column, digits: int) -> Column:
+    """Round the binary value itself, true ties to even.
+
+    ``F.round`` rounds the shortest decimal text: 2.5 * 2.54 prints as 6.35 and
+    would become 6.4, though the double lies below 6.35. Where the scaled value
+    looks like a tie, the error of the scaling, computed exactly, decides.
+    """
+    scale = float(10**digits)
+
+    def rounded(x: Column, scaled: Column) -> Column:
+        wide = x * _SPLITTER
+        high = wide - (wide - x)
+        error = (high * scale - scaled) + (x - high) * scale
+        below = F.floor(scaled).cast("double")
+        tie = scaled - below == 0.5
+        whole = (
+            F.when(tie & (error < 0), below)
+            .when(tie & (error > 0), below + 1)
+            .otherwise(F.rint(scaled))
+        )
+        return F.when(F.abs(scaled) < 1e15, whole / scale).otherwise(x)
+
+    return let(value, lambda x: let(x * scale, lambda s: rounded(x, s)))
+
+
 def plain_number(value: Column) -> Column:
     """A double as text without an exponent and with at least one decimal."""
     def written(text: Column) -> Column:

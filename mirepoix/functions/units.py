@@ -19,6 +19,7 @@ from mirepoix.functions.core import (
     let,
     plain_number,
     regex_sub_compute,
+    round_exact,
     single_spaced,
     whole_number,
 )
@@ -35,7 +36,7 @@ def f_to_c(fahrenheit: Column | str) -> Column:
 
 def f_to_c_decimal(fahrenheit: Column | str) -> Column:
     """Fahrenheit to Celsius with two decimals."""
-    return F.round((as_column(fahrenheit) - 32) * 5.0 / 9.0, 2)
+    return round_exact((as_column(fahrenheit) - 32) * 5.0 / 9.0, 2)
 
 
 def _celsius(number: Column) -> Column:
@@ -114,7 +115,7 @@ def standardize_temperature(text: Column | str) -> Column:
 
 
 def _cm(inches: Column) -> Column:
-    return plain_number(F.round(inches.cast("double") * F.lit(lookups.INCH_IN_CM), 1))
+    return plain_number(round_exact(inches.cast("double") * F.lit(lookups.INCH_IN_CM), 1))
 
 
 def dim_to_cm(text: Column | str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import prompts, scoring
+from mirepoix.functions.core import round_exact
 
 METRIC_COLUMNS = {
     "avg_bleu": "bleu",
@@ -109,7 +110,7 @@ def benchmark_rows(generations: DataFrame, verdicts: DataFrame, keys: Sequence[s
     return joined.select(
         *keys,
         prompts.dish_name("instruction").alias("dish_name"),
-        F.round("generation_time", 2).alias("generation_time"),
+        round_exact(F.col("generation_time"), 2).alias("generation_time"),
         F.coalesce("score", F.lit(0)).alias("score"),
         F.coalesce("reasoning", F.lit("Error")).alias("reasoning"),
         F.length("generated_text").alias("recipe_length"),

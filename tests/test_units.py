@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import units
+from mirepoix.functions.core import round_exact
 
 TEXTS = [
     ("preheat oven to 350 degrees f", "preheat oven to 177.0 celsius"),
@@ -35,6 +36,7 @@ TEXTS = [
     ("", ""),
     ("   ", ""),
     ('a 9" pan', "a 22.9 cm pan"),
+    ("a 2.5inch disc", "a 6.3 cm disc"),
     ("stir minuteslong", "stir minutes long"),
     ("BAKE AT 350 Degrees Fahrenheit FOR 20 Minutes", None),
 ]
@@ -95,6 +97,16 @@ def test_terms_match_brute_force(spark):
     assert not wrong
 
 
+@pytest.mark.parametrize("digits", [1, 2])
+def test_rounding_of_the_binary_value(spark, digits):
+    rng = random.Random(5)
+    values = [n * 2.54 / 4 for n in range(400)] + [n / 200 for n in range(-400, 400)]
+    values += [rng.uniform(-1e6, 1e6) for _ in range(2000)] + [2.5 * 2.54, 0.25, 0.75, 1e17, 0.05]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", round_exact(F.col("v"), digits).alias("r")).collect()
+    assert [(r.v, r.r) for r in got] == [(r.v, round(r.v, digits)) for r in got]
+
+
 def test_own_marks_and_odd_spaces_in_a_text(spark):
     texts = ["bake\ufdd0 at 180c\ufdd1", "add\u00a02\tcups\n milk", "x" + " " * 5000 + "350 degrees f"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
