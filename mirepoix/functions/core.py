@@ -127,12 +127,28 @@ def round_exact(value: Column, digits: int) -> Column:
 
 
 def plain_number(value: Column) -> Column:
-    """A double as text without an exponent and with at least one decimal."""
+    """A double as text with at least one decimal.
+
+    An exponent is written only below 0.0001 and from 1e16 on, as ``5e-05``.
+    """
     def written(text: Column) -> Column:
-        digits = F.regexp_replace(
-            value.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1"
+        size = F.abs(value)
+        places = F.when(size < 1, value.try_cast("decimal(38,30)").cast("string")).otherwise(
+            value.try_cast("decimal(38,10)").cast("string")
+        )
+        power = F.split_part(text, F.lit("E"), F.lit(2))
+        digits = F.translate(power, "-", "")
+        exponent = F.concat(
+            F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", ""),
+            F.when(power.startswith("-"), "e-").otherwise("e+"),
+            F.when(F.length(digits) < 2, "0").otherwise(""),
+            digits,
+        )
+        return (
+            F.when(~text.contains("E"), text)
+            .when((size < 1e-4) | (size >= 1e16), exponent)
+            .otherwise(F.coalesce(F.regexp_replace(places, r"(\.\d+?)0+$", "$1"), text))
         )
-        return F.when(text.contains("E"), F.coalesce(digits, text)).otherwise(text)
 
     return let(value.cast("string"), written)
 

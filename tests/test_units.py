@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import units
-from mirepoix.functions.core import round_exact
+from mirepoix.functions.core import plain_number, round_exact
 
 TEXTS = [
     ("preheat oven to 350 degrees f", "preheat oven to 177.0 celsius"),
@@ -107,6 +107,19 @@ def test_rounding_of_the_binary_value(spark, digits):
     assert [(r.v, r.r) for r in got] == [(r.v, round(r.v, digits)) for r in got]
 
 
+def test_number_text(spark):
+    rng = random.Random(9)
+    values = [a / b * f for a in range(1, 40) for b in (1, 2, 3, 7, 8)
+              for f in (0.24, 0.001, 1 / 60, 10080.0, 453.59)]
+    values += [rng.uniform(0, 10) ** rng.randint(-8, 18) for _ in range(500)]
+    values += [0.0005, 1e-5, 1.25e-7, 1e7, 1e16, 2.5e20, 123456789.125, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r.v: r.s for r in df.select("v", plain_number(F.col("v")).alias("s")).collect()}
+    # the platform may write one digit more than needed; the value is the same
+    wrong = {v: s for v, s in got.items() if s != repr(v) and float(s) != v}
+    assert not wrong and sum(s != repr(v) for v, s in got.items()) < len(got) / 50
+
+
 def test_own_marks_and_odd_spaces_in_a_text(spark):
     texts = ["bake\ufdd0 at 180c\ufdd1", "add\u00a02\tcups\n milk", "x" + " " * 5000 + "350 degrees f"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
