@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import oracles, pii, quality, url_reputation
+from mirepoix.llm import oracles, packing, pieces, pii, quality, url_reputation
 from mirepoix.llm.common import read
 
 
+def op3_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read(spark, sf_dir, "documents"))
+
+
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
 
+def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(read(spark, sf_dir, "documents")))
 
@@ -24,7 +32,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_offset_pieces": op3_offset_pieces,
         "op5_url_reputation": op5_url_reputation,
+        "op7_curve_packing": op7_curve_packing,
         "op9_pii_spans": op9_pii_spans,
         "op10_quality": op10_quality,
     }
