@@ -20,6 +20,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mirepoix.llm.common import stored
+
 # The given rules as (verdict, host and path).
 RULES = (
     ("block", "net/"),
@@ -68,35 +70,42 @@ def with_levels(df: DataFrame) -> DataFrame:
     })
 
 
-def _shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
-    """Children with ``strength`` of the prior and ``prior``, the shrunken share of their parent."""
-    joined = children.join(parents.select(parent, "share", F.col("n").alias("pn"), F.col("bad").alias("pbad")), parent)
-    mean = F.try_divide(F.col("pbad"), F.col("pn"))
+def _strength(groups: DataFrame) -> float:
+    """Pseudo-counts of the prior that fits the spread of ``bad``/``n`` around ``mean``, the parent's share."""
+    mean = F.col("mean")
     noise = mean * (1 - mean)
-    fit = joined.filter("n > 0").agg(
+    fit = groups.filter("n > 0").agg(
         F.sum(F.try_divide(F.pow(F.col("bad") - F.col("n") * mean, 2), F.col("n"))).alias("seen"),
-        F.sum(noise).alias("due"), F.sum(noise * (F.col("n") - 1)).alias("room"))
-    rho = F.when(F.col("room") > 0, F.try_divide(F.col("seen") - F.col("due"), F.col("room"))).otherwise(0.01)
-    rho = F.greatest(F.lit(0.001), F.least(F.lit(0.999), rho))
-    strength = fit.select((1 / rho - 1).alias("strength")).scalar()
-    return joined.withColumn("prior", F.col("share")).drop("share", "pn", "pbad").withColumn("strength", strength)
+        F.sum(noise).alias("due"), F.sum(noise * (F.col("n") - 1)).alias("room")).first()
+    rho = (fit["seen"] - fit["due"]) / fit["room"] if fit["room"] else 0.01
+    return 1 / max(0.001, min(0.999, rho)) - 1
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
     """(host, n, bad, share, bound) from one row per host with ``n`` outcomes, ``bad`` of them bad.
 
-    ``share`` is the posterior mean of the bad share, ``bound`` its lower bound.
+    ``share`` is the posterior mean of the bad share, ``bound`` its lower bound. The table of hosts
+    is stored once; from its upper levels only totals and the three strengths come to the driver.
     """
-    hosts = with_levels(outcomes.select("host", "n", "bad"))
+    hosts = stored(with_levels(outcomes.select("host", "n", "bad")), "hosts")
     total = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    share = (F.col("prior") * F.col("strength") + F.col("bad")) / (F.col("strength") + F.col("n"))
-    domains = hosts.groupBy("domain", "suffix").agg(*total)
-    suffixes = domains.groupBy("suffix").agg(*total)
-    whole = suffixes.groupBy(F.lit("all").alias("whole")).agg(*total)
-    whole = whole.withColumn("share", F.coalesce(F.try_divide(F.col("bad"), F.col("n")), F.lit(0.0)))
-    suffixes = _shrunk(suffixes.withColumn("whole", F.lit("all")), whole, "whole").withColumn("share", share)
-    domains = _shrunk(domains, suffixes, "suffix").withColumn("share", share)
-    hosts = _shrunk(hosts, domains, "domain").withColumn("share", share)
+    mean = F.try_divide(F.col("bad"), F.col("n"))
+    whole = hosts.agg(*total).first()
+    share = whole["bad"] / whole["n"] if whole["n"] else 0.0
+
+    def shrink(children: DataFrame) -> DataFrame:
+        k = _strength(children)
+        shares = (F.col("prior") * k + F.col("bad")) / (k + F.col("n"))
+        return children.withColumns({"share": shares, "strength": F.lit(k)})
+
+    def below(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
+        known = parents.select(parent, mean.alias("mean"), F.col("share").alias("prior"))
+        return shrink(children.join(known, parent))
+
+    suffixes = hosts.groupBy("suffix").agg(*total)
+    suffixes = shrink(suffixes.withColumns({"mean": F.lit(share), "prior": F.lit(share)}))
+    domains = below(hosts.groupBy("domain", "suffix").agg(*total), suffixes, "suffix")
+    hosts = below(hosts, domains, "domain")
     spread = F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("strength") + F.col("n") + 1))
     return hosts.select("host", "n", "bad", "share", (F.col("share") - BOUND_Z * spread).alias("bound"))
 
