@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import oracles, packing, pieces, pii, quality, url_reputation
+from mirepoix.llm import ngram_join, oracles, packing, pieces, pii, quality, url_reputation
 from mirepoix.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
 
+def op6_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(read(spark, sf_dir, "documents"))
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_offset_pieces": op3_offset_pieces,
         "op5_url_reputation": op5_url_reputation,
+        "op6_grouped_prefix_join": op6_grouped_prefix_join,
         "op7_curve_packing": op7_curve_packing,
         "op9_pii_spans": op9_pii_spans,
         "op10_quality": op10_quality,
