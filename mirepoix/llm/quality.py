@@ -25,7 +25,7 @@ from mirepoix.llm.common import held_out, text_chunks, texts
 from mirepoix.llm.wordhash import mix, powers, span_hashes, word_spans
 
 BITS = 18
-MAX_TRAIN_DOCS = 8_000
+MAX_TRAIN_DOCS = 6_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.0005, 0.0005
 THRESHOLD = 0.3
@@ -95,7 +95,10 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epoch
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_TRAIN_DOCS) -> np.ndarray:
-    """Weights from at most ``limit`` labelled documents outside the held-out fold, chosen and ordered by a hash of doc_id."""
+    """Weights from at most ``limit`` labelled documents outside the held-out fold, chosen and ordered by a hash of doc_id.
+
+    Their sparse rows, bounded in number by ``limit``, meet in one task, as the updates follow one another.
+    """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = known.filter(~held_out("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     found = texts(docs).join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
@@ -110,13 +113,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int =
                     pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32())),
                 ], ["doc_id", "label", "at", "value"])
 
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = {}
+        for batch in batches:
+            for turn, i, label, at, value in zip(*(batch.column(c) for c in ("turn", "doc_id", "label", "at", "value")), strict=True):
+                rows[turn.as_py(), i.as_py()] = (at.values.to_numpy(), value.values.to_numpy(), label.as_py())
+        weights = ftrl([rows[k] for k in sorted(rows)]).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([weights], pa.list_(pa.float32()))], ["weights"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     table = found.mapInArrow(run, f"doc_id {kind}, label int, at array<int>, value array<float>")
-    frame = table.toPandas()
-    frame = frame.assign(turn=frame["doc_id"].map(lambda i: mix(np.array([hash(i) & ((1 << 63) - 1)], np.uint64))[0]))
-    frame = frame.sort_values(["turn", "doc_id"], kind="stable").drop_duplicates("doc_id")
-    rows = [(np.asarray(r.at_), np.asarray(r.value, np.float64), int(r.label)) for r in frame.rename(columns={"at": "at_"}).itertuples()]
-    return ftrl(rows).astype(np.float32)
+    table = table.withColumn("turn", F.xxhash64("doc_id")).repartition(1).mapInArrow(train, "weights array<float>")
+    return np.array(table.first()["weights"], np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
