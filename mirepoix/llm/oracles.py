@@ -54,3 +54,31 @@ SELECT page_id, host, path, rule,
   n AS n_labelled, bad AS n_bad
 FROM ruled JOIN host_p USING (host)
 """
+
+LINE_DEDUP = r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+), line AS (
+  SELECT doc_id, unnest(range(len(ls)))::INT AS pos, unnest(ls) AS line FROM split
+), full_line AS (SELECT * FROM line WHERE trim(line, ' ') <> ''
+), distinct_line AS (SELECT line, length(line) AS n, min({'d': doc_id, 'p': pos}) AS place FROM full_line GROUP BY line
+), cut AS (
+  SELECT line, n, place, i, hash(concat(left(line, (i - 1)::INT), substr(line, i + 1))) AS v
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM distinct_line WHERE n >= 20)
+), near AS (
+  SELECT b.line FROM cut a JOIN cut b ON a.v = b.v AND a.i = b.i AND a.n = b.n AND a.place < b.place
+  UNION SELECT w.line FROM cut a JOIN distinct_line w ON a.v = hash(w.line) AND a.n = w.n + 1 WHERE w.n >= 20 AND a.place < w.place
+  UNION SELECT a.line FROM cut a JOIN distinct_line w ON a.v = hash(w.line) AND a.n = w.n + 1 WHERE w.n >= 20 AND w.place < a.place
+), mark AS (
+  SELECT f.doc_id, f.pos, n.line IS NOT NULL AS near, d.place <> {'d': f.doc_id, 'p': f.pos} AS again
+  FROM full_line f JOIN distinct_line d ON f.line = d.line LEFT JOIN near n ON f.line = n.line
+), gone AS (
+  SELECT doc_id, count(*) FILTER (near) AS n_near, count(*) FILTER (NOT near AND again) AS n_exact,
+         bool_and(near OR again) AS dropped, list(pos) FILTER (near OR again) AS ats
+  FROM mark GROUP BY doc_id
+)
+SELECT s.doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+       coalesce(dropped, false) AS dropped,
+       md5(CASE WHEN ats IS NULL THEN coalesce(text, '') ELSE
+           array_to_string([ls[(i + 1)::INT] FOR i IN range(len(ls)) IF NOT list_contains(ats, i)], chr(10)) END) AS kept_md5
+FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import ngram_join, oracles, packing, pieces, pii, quality, url_reputation
+from mirepoix.llm import line_dedup, ngram_join, oracles, packing, pieces, pii, quality, url_reputation
 from mirepoix.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op8_line_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
 def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(read(spark, sf_dir, "documents")))
 
@@ -40,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_url_reputation": op5_url_reputation,
         "op6_grouped_prefix_join": op6_grouped_prefix_join,
         "op7_curve_packing": op7_curve_packing,
+        "op8_line_neighbourhoods": op8_line_neighbourhoods,
         "op9_pii_spans": op9_pii_spans,
         "op10_quality": op10_quality,
     }
@@ -48,4 +53,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_reputation": oracles.URL_REPUTATION,
+        "op8_line_neighbourhoods": oracles.LINE_DEDUP,
     }
