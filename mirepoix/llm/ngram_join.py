@@ -41,7 +41,7 @@ _PART_BITS = 15
 _FAN_IN = 64
 
 
-def _digest(values: np.ndarray) -> int:
+def digest(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
@@ -64,7 +64,7 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
                 n = len(sets)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(first, n), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_digest(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                    pa.array([digest(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                 ], ["doc_id", "n", "unit", "part", "counts"])
         if id_type is not None:
             parts = counts.reshape(-1, 1 << _PART_BITS)
@@ -109,7 +109,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, classes: np.ndarray) -> D
             for _, sets in _sets(batch.column("text"), size):
                 rows = []
                 for s in sets:
-                    unit = _digest(s)
+                    unit = digest(s)
                     if not len(s) or unit in seen:
                         continue
                     seen.add(unit)
@@ -117,7 +117,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, classes: np.ndarray) -> D
                     order = (rank[s >> np.uint64(64 - TABLE_BITS)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
                     least = np.argpartition(order, p - 1)[:p] if p < len(s) else np.arange(len(s))
                     first = s[least[np.argsort(order[least])]].view(np.int64)
-                    rows.append((unit, len(s), _digest(np.append(first, len(s))), first))
+                    rows.append((unit, len(s), digest(np.append(first, len(s))), first))
                 if len(seen) > 500_000:
                     seen.clear()
                 unit, n, family, prefix = zip(*rows, strict=True) if rows else ((), (), (), ())
@@ -150,7 +150,7 @@ def _enough(percent: int) -> Column:
     return (F.col("shared") + rest) * (100 + percent) >= (F.col("n") + F.col("m")) * percent
 
 
-def _verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The stored pairs (a, b) of units that are similar enough, by their whole sets."""
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
@@ -161,7 +161,7 @@ def _verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, pe
         for batch in batches:
             for _, sets in _sets(batch.column("text"), size):
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["unit", "held"])
+                    pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["unit", "held"])
 
     held = chosen.mapInArrow(run, "unit bigint, held binary").dropDuplicates(["unit"])
 
@@ -179,14 +179,14 @@ def _verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, pe
     return stored(joined.mapInArrow(check, "a bigint, b bigint"), "links")
 
 
-def _ordered(a: str, b: str) -> list[Column]:
+def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def _star_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs of units: each group's members with its first, each list's groups with the first of like size."""
     heads = members.groupBy("family").agg(F.min("unit").alias("head"), F.count("*").alias("size"))
-    inside = members.join(heads.filter("size > 1"), "family").filter("unit <> head").select(*_ordered("unit", "head"))
+    inside = members.join(heads.filter("size > 1"), "family").filter("unit <> head").select(*ordered("unit", "head"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
     banded = lists.withColumn("band", band)
     first = banded.groupBy("shingle", "band").agg(F.min(F.struct("family", "n", "at")).alias("f"), F.count("*").alias("c")).filter("c > 1")
@@ -196,10 +196,10 @@ def _star_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame
     near = near.filter(_enough(percent)).select("family", "to")
     by = heads.select("family", "head")
     across = near.join(by, "family").join(by.select(F.col("family").alias("to"), F.col("head").alias("other")), "to")
-    return inside.unionByName(across.select(*_ordered("head", "other"))).distinct()
+    return inside.unionByName(across.select(*ordered("head", "other"))).distinct()
 
 
-def _cross(rows: DataFrame, key: str, what: str, extra: list[str], keep: Column) -> DataFrame:
+def cross_pairs(rows: DataFrame, key: str, what: str, extra: list[str], keep: Column) -> DataFrame:
     """Pairs of rows of one ``key`` in different ``part``s: those outside its largest part with all of it."""
     sizes = rows.groupBy(key, "part").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy(key).agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
@@ -216,17 +216,17 @@ def _cross_pairs(lists: DataFrame, members: DataFrame, names: DataFrame, percent
     names = names.select(F.col("node").alias("unit"), F.col("component").alias("part"))
     placed = members.join(names, "unit", "left").select("family", "unit", F.coalesce("part", "unit").alias("part"))
     placed = stored(placed, "placed")
-    inside = _cross(placed, "family", "unit", [], F.lit(True)).select(*_ordered("x_unit", "y_unit"))
+    inside = cross_pairs(placed, "family", "unit", [], F.lit(True)).select(*ordered("x_unit", "y_unit"))
     # a group of several components is compared as one of its own
     groups = placed.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
     groups = groups.select("family", F.when(F.col("lo") == F.col("hi"), F.concat(F.lit("c"), F.col("lo"))).otherwise(F.concat(F.lit("g"), F.col("family"))).alias("part"))
-    near = _cross(lists.join(groups, "family"), "shingle", "family", ["n", "at"], _alike(percent, "x_", "y_"))
+    near = cross_pairs(lists.join(groups, "family"), "shingle", "family", ["n", "at"], _alike(percent, "x_", "y_"))
     near = near.groupBy(F.least("x_family", "y_family").alias("f"), F.greatest("x_family", "y_family").alias("g")).agg(
         F.count("*").alias("shared"), F.any_value("x_n").alias("n"), F.any_value("y_n").alias("m"))
     near = near.filter(_enough(percent)).select("f", "g")
     left = placed.select(F.col("family").alias("f"), F.col("unit").alias("u"), F.col("part").alias("pu"))
     right = placed.select(F.col("family").alias("g"), F.col("unit").alias("v"), F.col("part").alias("pv"))
-    across = near.join(left, "f").join(right, "g").filter("pu <> pv").select(*_ordered("u", "v"))
+    across = near.join(left, "f").join(right, "g").filter("pu <> pv").select(*ordered("u", "v"))
     return inside.unionByName(across).distinct()
 
 
@@ -237,9 +237,9 @@ def link(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     prefixed = prefixes(docs, size, percent, shingle_classes(described))
     members = prefixed.select("unit", "family").distinct()
     lists = _lists(prefixed, percent)
-    star = _verified(docs, units, _star_pairs(lists, members, percent), size, percent)
+    star = verified(docs, units, _star_pairs(lists, members, percent), size, percent)
     names = components(star)
-    found = _verified(docs, units, _cross_pairs(lists, members, names, percent), size, percent)
+    found = verified(docs, units, _cross_pairs(lists, members, names, percent), size, percent)
     names = components(star.unionByName(found))
     named = units.join(names, F.col("unit") == F.col("node"), "left").withColumn("component", F.coalesce("component", "unit"))
     named = stored(named.select("doc_id", "n", "component"), "named")

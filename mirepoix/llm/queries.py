@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import line_dedup, ngram_join, oracles, packing, pieces, pii, quality, url_reputation
+from mirepoix.llm import line_dedup, minhash, ngram_join, oracles, packing, pieces, pii, quality, url_reputation
 from mirepoix.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op3_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
@@ -41,6 +45,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_offset_pieces": op3_offset_pieces,
+        "op4_minhash": op4_minhash,
         "op5_url_reputation": op5_url_reputation,
         "op6_grouped_prefix_join": op6_grouped_prefix_join,
         "op7_curve_packing": op7_curve_packing,
