@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import line_dedup, minhash, ngram_join, oracles, packing, pieces, pii, quality, url_reputation
+from mirepoix.llm import line_dedup, minhash, multi_index, ngram_join, oracles, packing, pieces, pii, quality, url_reputation
 from mirepoix.llm.common import read
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return multi_index.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op3_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_multi_index": op1_multi_index,
         "op3_offset_pieces": op3_offset_pieces,
         "op4_minhash": op4_minhash,
         "op5_url_reputation": op5_url_reputation,
