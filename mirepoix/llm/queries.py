@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import line_dedup, minhash, multi_index, ngram_join, oracles, packing, pieces, pii, quality, url_reputation
+from mirepoix.llm import line_dedup, minhash, multi_index, ngram_join, oracles, packing, pieces, pii, quality, toxicity, url_reputation
 from mirepoix.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
+def op2_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_multi_index": op1_multi_index,
+        "op2_deobfuscated_toxicity": op2_deobfuscated_toxicity,
         "op3_offset_pieces": op3_offset_pieces,
         "op4_minhash": op4_minhash,
         "op5_url_reputation": op5_url_reputation,
