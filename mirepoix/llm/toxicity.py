@@ -96,7 +96,7 @@ class Decoder:
             elif c.isspace():
                 arcs += [("", 0.1), (" ", 1.5)]
             elif c not in _CODES:
-                arcs += [("", 1.0), (" ", 3.0)]
+                arcs += [("", 4.0 if c in LOOK_ALIKES else 1.0), (" ", 3.0)]
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (u, v), (cost, text) in beams.items():
                 for x, step in arcs:
