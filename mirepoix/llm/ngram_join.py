@@ -254,5 +254,5 @@ def dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without shingles, or with a null doc_id, stay; of repeated rows of one doc_id all stay or none does.
     """
-    named = link(docs, size, percent).filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(named, "doc_id", "left_anti")
+    later = stored(link(docs, size, percent).filter("component_id < doc_id").select("doc_id").distinct(), "later")
+    return docs.join(bounded_broadcast(later), "doc_id", "left_anti").select(docs.columns)

@@ -169,9 +169,12 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """The rows with personal data in ``text`` masked; a null text stays null."""
+    """The rows with personal data in ``text`` masked; a null text stays null. ``n_chars``, if there, is counted anew."""
     @F.pandas_udf("string")
     def run(text: pd.Series) -> pd.Series:
         return text.map(masked, na_action="ignore")
 
-    return docs.withColumn("text", run(F.col("text")))
+    out = docs.withColumn("text", run(F.col("text").cast("string")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out

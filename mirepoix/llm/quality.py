@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,3 +149,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """Scores of all documents by weights fitted on the labelled ones, and ``predicted``."""
     scored = score(docs, fit(docs, labels))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose text scores at least ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    @F.pandas_udf("double")
+    def scored(text: pd.Series) -> pd.Series:
+        w, out = shared.value.astype(np.float64), []
+        for _, _, data, offsets in text_chunks(pa.array(text, pa.string(), from_pandas=True)):
+            out += [float(w[at] @ value) for at, value in features(data, offsets)]
+        return pd.Series(1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -35, 35))))
+
+    return docs.filter(scored(F.col("text").cast("string")) >= threshold)

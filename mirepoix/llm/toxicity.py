@@ -18,6 +18,7 @@ Further columns are not read.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +41,7 @@ LOOK_ALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
+_RUN = re.compile(r"(?s)((.)\2*)")
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâäçèéêëìíîïñòóôöùúûü"
 _CODES = {c: i + 1 for i, c in enumerate(_LETTERS)}
 _SIZE = 64
@@ -86,17 +88,18 @@ class Decoder:
     def _read(self, piece: str) -> str:
         beams = {(0, 0): (0.0, "")}
         before = ""
-        for c in piece:
+        runs = [len(m) for m, _ in _RUN.findall(piece) for _ in m]
+        for c, alike in zip(piece, runs, strict=True):
             arcs: list[tuple[str, float]] = []
             if c in _CODES:
                 arcs.append((c, 0.0))
             arcs += [(x, 0.4) for x in LOOK_ALIKES.get(c, "")]
             if c == before and (c in _CODES or c in LOOK_ALIKES):
-                arcs.append(("", 0.2))
+                arcs.append(("", 0.1 if alike > 2 else 1.5))
             elif c.isspace():
                 arcs += [("", 0.1), (" ", 1.5)]
             elif c not in _CODES:
-                arcs += [("", 4.0 if c in LOOK_ALIKES else 1.0), (" ", 3.0)]
+                arcs += [(" ", 7.0)] if c in LOOK_ALIKES else [("", 1.0), (" ", 3.0)]
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (u, v), (cost, text) in beams.items():
                 for x, step in arcs:
