@@ -7,8 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What a Python text call treats as white space (wider than the regex class).
-SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+from mirepoix.lookups import SPACE
+
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -124,18 +124,19 @@ def judge_input(text: Column | str) -> Column:
 def read_verdict(reply: Column | str) -> Column:
     """``(score, reasoning)`` of a judge reply, NULL if it is no JSON object.
 
-    Code fences around the object are removed.
+    Code fences around the object are removed. A score may be any number, also in
+    quotes; one that is no number is NULL.
     """
     bare = strip_space(
         F.replace(F.replace(as_column(reply), F.lit("```json"), F.lit("")), F.lit("```"), F.lit(""))
     )
     return let(
         F.from_json(
-            bare, "score int, reasoning string, _bad string", {"columnNameOfCorruptRecord": "_bad"}
+            bare, "score string, reasoning string, _bad string", {"columnNameOfCorruptRecord": "_bad"}
         ),
         lambda v: F.when(
             v.isNotNull() & v.getField("_bad").isNull(),
-            F.struct(v.getField("score").alias("score"), v.getField("reasoning").alias("reasoning")),
+            F.struct(v.getField("score").try_cast("double").alias("score"), v.getField("reasoning").alias("reasoning")),
         ),
     )
 
@@ -145,8 +146,8 @@ def parse_verdict(reply: Column | str) -> Column:
     return let(
         read_verdict(reply),
         lambda v: F.struct(
-            F.when(v.isNull(), F.lit(0)).otherwise(
-                F.coalesce(v.getField("score"), F.lit(0))).alias("score"),
+            F.when(v.isNull(), F.lit(0.0)).otherwise(
+                F.coalesce(v.getField("score"), F.lit(0.0))).alias("score"),
             F.when(v.isNull(), F.lit("Judge Error: unreadable reply")).otherwise(
                 F.coalesce(v.getField("reasoning"), F.lit("Error"))).alias("reasoning"),
         ),

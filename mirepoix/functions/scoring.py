@@ -19,18 +19,41 @@ from mirepoix.functions.core import (
     let,
     no_strings,
     quote_regex,
+    single_spaced,
     split_words,
     strip_space,
 )
 
 # --- BLEU --------------------------------------------------------------------
 
-BLEU_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+# The published Treebank word rules, in order, on lower-cased text with single blanks.
+TREEBANK_RULES = (
+    (r"(^|[ (\[{<])(?:\"|'')", "$1 `` "),
+    (r"([:,])([^0-9])", " $1 $2"),
+    (r"([:,])$", " $1 "),
+    (r"\.\.\.", " ... "),
+    (r"[;@#$%&]", " $0 "),
+    # every sentence's full stop, not only the text's last one
+    (r"([^. ])\.([\])}>\"']*)( |$)", "$1 . $2$3"),
+    (r"[?!]", " $0 "),
+    (r"([^'])' ", "$1 ' "),
+    (r"[\[\](){}<>]", " $0 "),
+    (r"--", " -- "),
+    (r"\"|''", " '' "),
+    (r"([^' ])('s|'m|'d|'|'ll|'re|'ve|n't)(?= |$)", "$1 $2 "),
+    (r"\b(can)(not)\b", "$1 $2"),
+    (r"\b(gim|lem)(me)\b", "$1 $2"),
+    (r"\b(gon|wan)(na)\b", "$1 $2"),
+    (r"\b(got)(ta)\b", "$1 $2"),
+)
 
 
 def bleu_tokens(text: Column | str) -> Column:
-    """Lower-cased words and single punctuation marks."""
-    return F.regexp_extract_all(F.lower(as_column(text)), F.lit(BLEU_TOKEN), F.lit(0))
+    """Lower-cased Treebank tokens: decimals, fractions, hyphenated words and ``...`` stay whole."""
+    rest = F.lower(single_spaced(as_column(text)))
+    for pattern, replacement in TREEBANK_RULES:
+        rest = F.regexp_replace(rest, pattern, replacement)
+    return F.filter(F.split(rest, " +"), lambda w: w != "")
 
 
 def longer_ngrams(grams: Column, tokens: Column, n: int) -> Column:
@@ -270,7 +293,7 @@ def substitution_count(text: Column | str) -> Column:
 
 
 def safety_warning(text: Column | str) -> Column:
-    pattern = r"\b(?:" + "|".join(lookups.SAFETY_PATTERNS) + ")"
+    pattern = r"(?d)\b(?:" + "|".join(lookups.SAFETY_PATTERNS) + ")"
     return F.lower(as_column(text)).rlike(pattern)
 
 

@@ -8,20 +8,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from mirepoix import lookups
-from mirepoix.functions.core import as_column, regex_sub_compute, split_words, strip_space
+from mirepoix.functions.core import as_column, let, regex_sub_compute, split_words, strip_space
 
 _LITERAL_OPTIONS = {
     "allowSingleQuotes": "true",
     "allowBackslashEscapingAnyCharacter": "true",
+    "allowUnquotedControlChars": "true",
 }
+_EVEN = r"(?<!\\)((?:\\\\)*)"
+# A quoted piece, or a bare None.
+_QUOTED_OR_NONE = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|\bNone\b"""
+
+
+def _surrogates(code: Column) -> Column:
+    """``\\UNNNNNNNN`` as the JSON escapes of its one or two UTF-16 units."""
+    def unit(value: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lpad(F.hex(value), 4, "0"))
+
+    def written(n: Column) -> Column:
+        high, low = F.shiftright(n - 0x10000, 10) + 0xD800, (n - 0x10000).bitwiseAND(F.lit(0x3FF)) + 0xDC00
+        return F.when(n < 0x10000, unit(n)).otherwise(F.concat(unit(high), unit(low)))
+
+    return let(F.conv(code, 16, 10).cast("int"), written)
+
+
+def _json_escapes(text: Column) -> Column:
+    """A Python list literal with the escapes and the bare None that JSON writes otherwise."""
+    text = let(text, lambda t: F.when(t.contains("\\x"), F.regexp_replace(t, _EVEN + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")).otherwise(t))
+    text = let(text, lambda t: F.when(t.contains("\\U"), regex_sub_compute(
+        t, _EVEN + r"\\U(00(?:0[0-9a-fA-F]|10)[0-9a-fA-F]{4})", [1, 2], lambda before, code: F.concat(before, _surrogates(code)))).otherwise(t))
+    return let(text, lambda t: F.when(t.contains("None"), regex_sub_compute(
+        t, _QUOTED_OR_NONE, [0], lambda piece: F.when(piece == "None", F.lit("null")).otherwise(piece))).otherwise(t))
 
 
 def parse_string_list(text: Column | str, strict: bool = False) -> Column:
-    """``"['a', 'b']"`` as ``array<string>``; a malformed literal is NULL or, if strict, an error."""
+    """``"['a', 'b']"`` as ``array<string>``; a malformed literal is NULL or, if strict, an error.
+
+    Escapes are read as Python writes them; a bare ``None`` is a NULL element.
+    """
     options = dict(_LITERAL_OPTIONS)
     if strict:
         options["mode"] = "FAILFAST"
-    return F.from_json(as_column(text), "array<string>", options)
+    return F.from_json(_json_escapes(as_column(text)), "array<string>", options)
 
 
 def parse_number_list(text: Column | str, strict: bool = False) -> Column:
@@ -55,14 +83,27 @@ def find_tags(tags: Column | str, keyword: str) -> Column:
     return F.filter(as_column(tags), lambda t: F.lower(t).contains(keyword))
 
 
+_CONTROL = r"[\x00-\x1f\x7f-\xa0\xad]"
+
+
 def list_text(items: Column | str) -> Column:
     """A list written out: ``['a', 'b']``, and ``[]`` when empty.
 
     An element with an apostrophe is put between double quotes, unless it
-    holds a double quote as well; then the apostrophe is escaped.
+    holds a double quote as well; then the apostrophe is escaped. Control
+    characters are written as escapes, a NULL element as ``None``.
     """
-    def written(t: Column) -> Column:
+    def escaped(t: Column) -> Column:
         t = F.replace(t, F.lit("\\"), F.lit("\\\\"))
+        for raw, name in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            t = F.replace(t, F.lit(raw), F.lit(name))
+        return let(t, lambda x: F.when(x.rlike(_CONTROL), regex_sub_compute(
+            x, _CONTROL, [0], lambda c: F.concat(F.lit("\\x"), F.lower(F.lpad(F.hex(F.ascii(c)), 2, "0"))))).otherwise(x))
+
+    def written(t: Column) -> Column:
+        return F.coalesce(let(escaped(t), quoted), F.lit("None"))
+
+    def quoted(t: Column) -> Column:
         return (
             F.when(~t.contains("'"), F.concat(F.lit("'"), t, F.lit("'")))
             .when(~t.contains('"'), F.concat(F.lit('"'), t, F.lit('"')))
@@ -113,7 +154,7 @@ PLURAL_ENDINGS = (
 
 def strip_title(text: Column | str) -> Column:
     """Lower-case and keep only ``a-z`` and white space."""
-    return F.regexp_replace(F.lower(as_column(text)), r"[^a-z\s]", "")
+    return F.regexp_replace(F.lower(as_column(text)), rf"[^a-z{lookups.SPACE[1:-1]}]", "")
 
 
 def title_tokens(text: Column | str) -> Column:

@@ -8,8 +8,9 @@ number and a token unlike any unit take the short way.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -373,8 +374,20 @@ def scan_measures(text: Column | str) -> Column:
     )
 
 
+@cache
+def _standardized(name: str, session: int) -> Column:
+    return let(
+        standardize_temperature(name), lambda t: scan_measures(inch_to_cm(dim_to_cm(t)))
+    )
+
+
 def standardize_units(text: Column | str) -> Column:
-    """Temperatures, then lengths, then the token scan."""
+    """Temperatures, then lengths, then the token scan.
+
+    The expression is large; for a column given by name it is built once per driver.
+    """
+    if isinstance(text, str):
+        return _standardized(text, id(SparkContext._gateway))
     return let(
         standardize_temperature(text), lambda t: scan_measures(inch_to_cm(dim_to_cm(t)))
     )

@@ -1,8 +1,8 @@
 """Conversations to text.
 
-A conversation is one group of rows, and nothing bounds that group. Conversations
-up to ``turns_per_part`` messages become one row. Longer ones become consecutive
-parts of that many messages; joined in part order they are the whole text.
+The base form is one row per message, so no conversation is ever brought together:
+its first and last turn are a minimum and a maximum, which combine on the map side.
+The whole text of a conversation is one value; it is built from those rows.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mirepoix import lookups
-from mirepoix.operators.ordering import with_row_index
-
-TURNS_PER_PART = 4096
 
 
 def _chat_line(role: Column, text: Column) -> Column:
@@ -26,64 +23,65 @@ def _flat_line(role: Column, text: Column) -> Column:
     return F.concat(role, F.lit(": "), text, F.lit("\n"))
 
 
-def _parts(messages: DataFrame, line: Column, turns_per_part: int) -> DataFrame:
-    """``(conv_id, part, last, first_role, text)`` with lines joined in turn order."""
+def _lines(messages: DataFrame, line: Column, opening: Column, closing: Column) -> DataFrame:
+    """``(conv_id, turn, text)``: each message's line, the first with ``opening`` before it, the last with ``closing`` after it.
+
+    ``opening`` may use the column ``role``. Of messages with one turn the order is by
+    role and line; equal messages are told apart by their number, so that only one is
+    first and one is last.
+    """
     rows = messages.select("conv_id", "turn", "role", line.alias("line"))
-    long = (
-        rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
-        .filter(F.col("n_turns") > turns_per_part)
+    counted = rows.groupBy("conv_id", "turn", "role", "line").agg(F.count(F.lit(1)).alias("copies"))
+    place = F.struct("turn", "role", "line")
+    ends = counted.groupBy("conv_id").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    placed = counted.join(ends, "conv_id").select(
+        "conv_id", "turn", "role", "line", "copies", (place == F.col("first")).alias("is_first"), (place == F.col("last")).alias("is_last"),
+        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
     )
+    before = F.when(F.col("is_first") & (F.col("copy") == 1), opening).otherwise("")
+    after = F.when(F.col("is_last") & (F.col("copy") == F.col("copies")), closing).otherwise("")
+    return placed.select("conv_id", "turn", "role", "line", F.concat(before, "line", after).alias("text"))
 
-    def joined(grouped) -> DataFrame:
-        ordered = F.sort_array(F.collect_list(F.struct("turn", "role", "line")))
-        return grouped.agg(ordered.alias("_m")).select(
-            "conv_id", "part", "last",
-            F.get("_m", 0).getField("role").alias("first_role"),
-            F.array_join(F.transform("_m", lambda m: m.getField("line")), "").alias("text"),
-        )
-
-    def whole(short: DataFrame) -> DataFrame:
-        marked = short.withColumns({"part": F.lit(0).cast("long"), "last": F.lit(True)})
-        return joined(marked.groupBy("conv_id", "part", "last"))
-
-    if long.isEmpty():
-        return whole(rows)
-    split = (
-        with_row_index(
-            rows.join(long, "conv_id", "left_semi"), ["turn", "role", "line"], "_at", ["conv_id"]
-        )
-        .join(long, "conv_id")
-        .withColumn("part", F.floor(F.col("_at") / turns_per_part))
-        .withColumn("last", F.col("part") == F.floor((F.col("n_turns") - 1) / turns_per_part))
-    )
-    return whole(rows.join(long, "conv_id", "left_anti")).unionByName(
-        joined(split.groupBy("conv_id", "part", "last"))
+
+def _whole(lines: DataFrame) -> DataFrame:
+    """One row per conversation: its lines in turn order, as one value."""
+    ordered = F.sort_array(F.collect_list(F.struct("turn", "role", "line", F.length("text").alias("size"), "text")))
+    return lines.groupBy("conv_id").agg(
+        F.array_join(F.transform(ordered, lambda m: m.getField("text")), "").alias("text")
     )
 
 
-def render_chat(
+def _chat(messages: DataFrame, generation_prompt: bool, default_system: str) -> DataFrame:
+    opening = F.when(
+        F.col("role") != "system", _chat_line(F.lit("system"), F.lit(default_system))
+    ).otherwise("")
+    closing = F.lit(lookups.CHAT_START + "assistant\n" if generation_prompt else "")
+    return _lines(messages, _chat_line(F.col("role"), F.col("text")), opening, closing)
+
+
+def render_chat_messages(
     messages: DataFrame,
     generation_prompt: bool = False,
     default_system: str = lookups.DEFAULT_SYSTEM_MESSAGE,
-    turns_per_part: int = TURNS_PER_PART,
 ) -> DataFrame:
-    """Conversations in chat-template form: ``(conv_id, part, text)``.
+    """Messages in chat-template form, ``(conv_id, turn, text)``; in turn order they are the whole text.
 
-    A conversation that does not open with a system message gets the default one.
+    The first message of a conversation that does not open with a system message
+    carries the default one, the last message the generation prompt.
     """
-    parts = _parts(messages, _chat_line(F.col("role"), F.col("text")), turns_per_part)
-    opening = F.when(
-        (F.col("part") == 0) & (F.col("first_role") != "system"),
-        _chat_line(F.lit("system"), F.lit(default_system)),
-    ).otherwise("")
-    closing = F.when(
-        F.col("last") & F.lit(generation_prompt), F.lit(lookups.CHAT_START + "assistant\n")
-    ).otherwise("")
-    return parts.select("conv_id", "part", F.concat(opening, "text", closing).alias("text"))
+    return _chat(messages, generation_prompt, default_system).select("conv_id", "turn", "text")
+
+
+def render_chat(
+    messages: DataFrame,
+    generation_prompt: bool = False,
+    default_system: str = lookups.DEFAULT_SYSTEM_MESSAGE,
+) -> DataFrame:
+    """Conversations in chat-template form: ``(conv_id, text)``, one row each."""
+    return _whole(_chat(messages, generation_prompt, default_system))
 
 
-def render_flat_chat(messages: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Conversations as ``role: text`` lines with ``assistant:`` at the end."""
-    parts = _parts(messages, _flat_line(F.col("role"), F.col("text")), turns_per_part)
-    closing = F.when(F.col("last"), F.lit("assistant:")).otherwise("")
-    return parts.select("conv_id", "part", F.concat("text", closing).alias("text"))
+def render_flat_chat(messages: DataFrame) -> DataFrame:
+    """Conversations as ``role: text`` lines with ``assistant:`` at the end, one row each."""
+    line = _flat_line(F.col("role"), F.col("text"))
+    return _whole(_lines(messages, line, F.lit(""), F.lit("assistant:")))

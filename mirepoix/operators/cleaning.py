@@ -92,25 +92,31 @@ def number_unit_diff(
     })
 
 
-def clean_recipes(df: DataFrame, index: bool = False) -> DataFrame:
+def clean_recipes(
+    df: DataFrame, index: bool = False, strict: bool = False, standardize: bool = True
+) -> DataFrame:
     """The whole cleaning of a raw recipe table.
 
     One narrow plan: filters and projections only, so it reads, filters and
     writes in a single stage. Filters come before the list columns are parsed.
     ``index=True`` adds the row position among the kept recipes, which needs a
-    global order (see ``with_row_index``).
+    global order (see ``with_row_index``). A malformed list literal is NULL, and
+    without steps the row goes (``count_malformed`` counts them); with ``strict``
+    it is an error. ``standardize=False`` leaves the standardised text out, for
+    statistics that do not read it.
     """
     kept = drop_nulls(filter_minutes(drop_columns(df)))
     if index:
         kept = row_index(kept)
-    parsed = normalize_columns(parse_lists(kept))
-    steps = text.join_steps("steps")
+    parsed = normalize_columns(parse_lists(kept, strict))
     # Standardising never empties a text, so the blank test needs the raw steps only.
-    with_text = parsed.filter(text.is_non_blank(steps)).withColumns({
-        "steps_string_standardize": units.standardize_units(steps),
+    parsed = parsed.withColumn("_steps", text.join_steps("steps")).filter(text.is_non_blank("_steps"))
+    standard = {"steps_string_standardize": units.standardize_units("_steps")} if standardize else {}
+    with_text = parsed.withColumns({
+        **standard,
         "ingredients_text": text.join_ingredients("ingredients"),
         "tags_text": text.list_text(text.drop_tags("tags")),
     })
     return expand_nutrition(with_text, check_all=False).drop(
-        "nutrition_score", "ingredients", "steps", "tags"
+        "nutrition_score", "ingredients", "steps", "tags", "_steps"
     )

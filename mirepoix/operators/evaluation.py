@@ -73,8 +73,8 @@ def resolve_verdicts(
     found = F.col("_best").isNotNull()
     return grouped.select(
         *keys,
-        F.when(F.col("_empty"), F.lit(0)).when(
-            found, F.coalesce("_best.score", F.lit(0))).otherwise(F.lit(0)).alias("score"),
+        F.when(F.col("_empty"), F.lit(0.0)).when(
+            found, F.coalesce("_best.score", F.lit(0.0))).otherwise(F.lit(0.0)).alias("score"),
         F.when(F.col("_empty"), F.lit(lookups.EMPTY_OUTPUT_REASON)).when(
             found, F.coalesce("_best.reasoning", F.lit("Error"))
         ).otherwise(F.lit("Judge Error: unreadable reply")).alias("reasoning"),

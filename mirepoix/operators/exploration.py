@@ -41,19 +41,12 @@ def std_by_group(df: DataFrame, group: str, columns: Sequence[str], prefix: str
     )
 
 
-# Distinct (group, value) pairs of one group up to which a plain window ranks them.
-WINDOW_VALUES = 1_000_000
-
-
-def boxplot_stats(
-    df: DataFrame, group: str, value: str, reach: float = 1.5, window_values: int = WINDOW_VALUES
-) -> DataFrame:
+def boxplot_stats(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers and outlier count per group, exact.
 
     Rows are first counted per (group, value), so the ranking sees distinct
-    values, not rows; the counts are stored, as they are read several times. If a
-    group has more distinct values than fit one task the ranking is done over
-    range partitions instead.
+    values, not rows; the counts are stored, as they are read several times. The
+    ranking runs over range partitions and bounded blocks of values.
     """
     known = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
     counts = store(
@@ -61,12 +54,7 @@ def boxplot_stats(
         .agg(F.count(F.lit(1)).alias("n")),
         "value-counts",
     )
-    widest = counts.groupBy("g").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0]
-    if (widest or 0) <= window_values:
-        ordered = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = counts.withColumn("upto", F.sum("n").over(ordered))
-    else:
-        ranked = _running_count(counts)
+    ranked = _running_count(counts)
     totals = counts.groupBy("g").agg(F.sum("n").alias("total"))
     placed = ranked.join(totals, "g")
 
@@ -118,16 +106,17 @@ def _running_count(counts: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal bins from minimum to maximum, empty bins included."""
     values = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    edge = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    lo, hi = edge.getField("lo"), edge.getField("hi")
-    width = (hi - lo) / bins
-    placed = values.select(
-        F.when(hi == lo, F.lit(0))
-        .otherwise(F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1)))
-        .cast("long").alias("bin")
+    ends = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    edge = ends.select(F.struct("lo", "hi", ((F.col("hi") - F.col("lo")) / bins).alias("width"))).scalar()
+
+    # one column in each of its two places, so that the plan holds it twice, not once a use
+    e = F.col("edge")
+    at = F.least(F.floor((F.col("v") - e["lo"]) / e["width"]), F.lit(bins - 1))
+    placed = values.select("v", edge.alias("edge")).select(
+        F.when(e["hi"] == e["lo"], F.lit(0)).otherwise(at).cast("long").alias("bin")
     ).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    frame = df.sparkSession.range(bins).select(
-        F.col("id").alias("b"), (lo + F.col("id") * width).alias("bin_start")
+    frame = df.sparkSession.range(bins).select("id", edge.alias("edge")).select(
+        F.col("id").alias("b"), (e["lo"] + F.col("id") * e["width"]).alias("bin_start")
     )
     return frame.join(placed, F.col("b") == F.col("bin"), "left").select(
         F.col("b").alias("bin"), "bin_start", F.coalesce("n", F.lit(0)).alias("n")

@@ -111,7 +111,7 @@ def benchmark_rows(generations: DataFrame, verdicts: DataFrame, keys: Sequence[s
         *keys,
         prompts.dish_name("instruction").alias("dish_name"),
         round_exact(F.col("generation_time"), 2).alias("generation_time"),
-        F.coalesce("score", F.lit(0)).alias("score"),
+        F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"),
         F.coalesce("reasoning", F.lit("Error")).alias("reasoning"),
         F.length("generated_text").alias("recipe_length"),
         F.coalesce("judge_model", F.lit("Unknown")).alias("judge_model"),

@@ -5,47 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mirepoix.functions import text
 from mirepoix.session import store
 
-# A lemma table up to this size is put into the plan as a literal map; a larger
-# one is joined.
-LEMMA_LITERALS = 2000
-
-
 def english_stop_words() -> list[str]:
     """The English list Spark ships."""
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def lemma(token: Column, table: dict[str, str]) -> Column:
-    """Listed lemma, else the singular by ending."""
-    if not table:
-        return text.singular(token)
-    listed = F.create_map(*[F.lit(x) for k, v in sorted(table.items()) for x in (k, v)])
-    return F.when(token.isin(sorted(table)), F.element_at(listed, token)).otherwise(
-        text.singular(token)
-    )
-
-
-def title_lemmas(
-    df: DataFrame, tokens: str, lemmas: DataFrame | None = None, limit: int = LEMMA_LITERALS
-) -> DataFrame:
+def title_lemmas(df: DataFrame, tokens: str, lemmas: DataFrame | None = None) -> DataFrame:
     """Replace every token of an array column by its lemma.
 
-    ``lemmas(token, lemma)`` is read to the driver only up to ``limit`` rows; a
-    longer table is joined to the exploded tokens. The join path groups by a row
-    number, so a group never holds more than one title.
+    ``lemmas(token, lemma)`` is joined to the exploded tokens; of several lemmas of
+    one token the alphabetically first counts, and a token without one becomes its
+    singular by ending. A NULL token stays NULL. The join groups by a row number, so
+    a group never holds more than one title.
     """
     if lemmas is None:
         return df.withColumn(tokens, F.transform(tokens, text.singular))
-    head = lemmas.select("token", "lemma").limit(limit + 1).collect()
-    if len(head) <= limit:
-        table = {r.token: r.lemma for r in head}
-        return df.withColumn(tokens, F.transform(tokens, lambda t: lemma(t, table)))
     return _join_lemmas(df, tokens, lemmas)
 
 

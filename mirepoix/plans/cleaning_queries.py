@@ -189,8 +189,9 @@ def lemma_table(spark):
     return spark.createDataFrame(list(LEMMAS), "token string, lemma string")
 
 
-_STRIPPED = r"regexp_replace(lower({}), '[^a-z\s]', '', 'g')"
-_TOKENS = rf"list_filter(regexp_split_to_array({_STRIPPED}, '\s+'), lambda w: w <> '')"
+_BLANK = r"\s\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}"
+_STRIPPED = "regexp_replace(lower({}), '[^a-z" + _BLANK + "]', '', 'g')"
+_TOKENS = f"list_filter(regexp_split_to_array({_STRIPPED}, '[{_BLANK}]+'), lambda w: w <> '')"
 
 
 def _sql_lemma(token: str) -> str:
@@ -239,7 +240,7 @@ SELECT p_partkey AS id, array_to_string(list_transform({_TOKENS.format('p_name')
 def title_lemmas_joined(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), text.title_tokens("p_name").alias("t"))
-    return titles.title_lemmas(rows, "t", lemma_table(spark), limit=0).select(
+    return titles.title_lemmas(rows, "t", lemma_table(spark)).select(
         "id", F.array_join("t", " ").alias("lemmas"))
 
 

@@ -99,7 +99,7 @@ _CHAT_LINE = "concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10))
 
 
 @query("render_chat", f"""
-SELECT conv_id, 0::BIGINT AS part, concat(
+SELECT conv_id, concat(
          CASE WHEN arg_min(role, turn) = 'system' THEN '' ELSE
            concat('<|im_start|>system', chr(10), '{lookups.DEFAULT_SYSTEM_MESSAGE}', '<|im_end|>', chr(10)) END,
          string_agg({_CHAT_LINE}, '' ORDER BY turn), '<|im_start|>assistant', chr(10)) AS text
@@ -109,19 +109,18 @@ def render_chat(spark, sf_dir):
 
 
 @query("render_chat_parts", f"""
-SELECT conv_id, CAST(floor(place / 3) AS BIGINT) AS part, concat(
-         CASE WHEN floor(place / 3) > 0 OR arg_min(role, turn) = 'system' THEN '' ELSE
+SELECT conv_id, turn, concat(
+         CASE WHEN place > 1 OR role = 'system' THEN '' ELSE
            concat('<|im_start|>system', chr(10), '{lookups.DEFAULT_SYSTEM_MESSAGE}', '<|im_end|>', chr(10)) END,
-         string_agg({_CHAT_LINE}, '' ORDER BY turn)) AS text
-FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations) AS c
-GROUP BY conv_id, floor(place / 3)""")
+         {_CHAT_LINE}) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM conversations) AS c""")
 def render_chat_parts(spark, sf_dir):
-    """The same with a part size that splits most conversations."""
-    return chats.render_chat(table(spark, sf_dir, "conversations"), turns_per_part=3)
+    """One row per message."""
+    return chats.render_chat_messages(table(spark, sf_dir, "conversations"))
 
 
 @query("render_flat_chat", """
-SELECT conv_id, 0::BIGINT AS part, concat(string_agg(concat(role, ': ', text, chr(10)), '' ORDER BY turn),
+SELECT conv_id, concat(string_agg(concat(role, ': ', text, chr(10)), '' ORDER BY turn),
        'assistant:') AS text FROM conversations GROUP BY conv_id""")
 def render_flat_chat(spark, sf_dir):
     return chats.render_flat_chat(table(spark, sf_dir, "conversations"))

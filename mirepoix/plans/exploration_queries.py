@@ -17,7 +17,7 @@ SELECT id, minutes, n_steps, n_ingredients, CASE WHEN id % 19 = 0 THEN NULL ELSE
 
 
 def eda(spark, sf_dir):
-    rows = clean(spark, sf_dir)
+    rows = clean(spark, sf_dir, standardize=False)
     return rows.withColumn("cuisine", F.when(F.col("id") % 19 != 0, F.col("cuisine")))
 
 
@@ -104,7 +104,7 @@ GROUP BY e.l_returnflag, q.n_rows, q.q1, q.median, q.q3""")
 def boxplot_stats_ranged(spark, sf_dir):
     """Few groups with very many distinct values: the range-partitioned ranking."""
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
-    stats = exploration.boxplot_stats(rows, "l_returnflag", "l_extendedprice", window_values=1000)
+    stats = exploration.boxplot_stats(rows, "l_returnflag", "l_extendedprice")
     return _rounded(stats, "q1", "median", "q3")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from mirepoix import lookups
@@ -10,12 +12,45 @@ from mirepoix.operators import evaluation
 from mirepoix.plans.registry import query
 from mirepoix.plans.views import JUDGES, documents, generations, replies, table, with_views
 
-_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+_BLANKS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def re2(pattern: str) -> str:
+    """A pattern in the other engine's spelling: code points in braces, no line-end flag (its dot stops at line feeds only)."""
+    pattern = re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", pattern)
+    return pattern.replace("(?d)", "").replace("(?id)", "(?i)").replace("(?isd)", "(?is)")
+
+
+def treebank(text: str) -> str:
+    """The word rules as SQL: quotes, punctuation, brackets, dashes, contractions."""
+    sql = f"lower(trim(regexp_replace({text}, '{_BLANKS}', ' ', 'g')))"
+    for pattern, replacement in (
+        (r"""(^|[ (\[{<])("|'''')""", r"\1 `` "),
+        (r"(:|,)([^0-9])", r" \1 \2"),
+        (r"(:|,)$", r" \1 "),
+        (r"[.][.][.]", " ... "),
+        (r"([;@#$%&])", r" \1 "),
+        (r"""([^. ])[.]([\])}>"'']*)( |$)""", r"\1 . \2\3"),
+        (r"([?!])", r" \1 "),
+        (r"([^''])'' ", r"\1 '' "),
+        (r"([\[\](){}<>])", r" \1 "),
+        (r"--", " -- "),
+        (r"""("|'''')""", r" '''' "),
+    ):
+        sql = f"regexp_replace({sql}, '{pattern}', '{replacement}', 'g')"
+    # no look-ahead here: blanks are doubled, so that the one after a contraction can be taken
+    sql = f"replace({sql} || ' ', ' ', '  ')"
+    for pattern, replacement in (
+        (r"([^'' ])(''s|''m|''d|''ll|''re|''ve|n''t|'') ", r"\1 \2 "),
+        (r"\b(can)(not)\b", r"\1 \2"), (r"\b(gim|lem)(me)\b", r"\1 \2"), (r"\b(gon|wan)(na)\b", r"\1 \2"), (r"\b(got)(ta)\b", r"\1 \2"),
+    ):
+        sql = f"regexp_replace({sql}, '{pattern}', '{replacement}', 'g')"
+    return f"list_filter(string_split({sql}, ' '), lambda w: w <> '')"
 
 
 @query("bleu_tokens", f"""
 SELECT doc_id, CAST(len(t) AS INT) AS n_tokens, array_to_string(t, ' ') AS tokens
-FROM (SELECT doc_id, regexp_extract_all(lower(text), '{_TOKEN}') AS t FROM documents) AS d""")
+FROM (SELECT doc_id, {treebank('text')} AS t FROM documents) AS d""")
 def bleu_tokens(spark, sf_dir):
     rows = documents(spark, sf_dir).select("doc_id", scoring.bleu_tokens("text").alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
@@ -26,9 +61,9 @@ BLEU_CTE = dict(
     tok=f"""
 SELECT model_name, id, side, n, list_transform(range(1, len(t) - n + 2),
          lambda i: array_to_string(list_slice(t, i, i + n - 1), ' ')) AS grams, len(t) AS size
-FROM (SELECT model_name, id, 'ref' AS side, regexp_extract_all(lower(reference), '{_TOKEN}') AS t FROM generations
+FROM (SELECT model_name, id, 'ref' AS side, {treebank('reference')} AS t FROM generations
       UNION ALL
-      SELECT model_name, id, 'gen', regexp_extract_all(lower(generated_text), '{_TOKEN}') FROM generations) AS s,
+      SELECT model_name, id, 'gen', {treebank('generated_text')} FROM generations) AS s,
      (VALUES (1), (2), (3), (4)) AS v(n)""",
     counted="""
 SELECT model_name, id, side, n, gram, count(*) AS c
@@ -116,7 +151,7 @@ def similarity_of_turns(spark, sf_dir):
 # --- recipe metrics ----------------------------------------------------------
 
 # Regexes of these statements are the fixed patterns of the library, run by DuckDB.
-_SECTION = f"trim(regexp_extract(reference, '{lookups.INGREDIENT_SECTION}', 1), chr(10) || ' ')"
+_SECTION = f"trim(regexp_extract(reference, '{re2(lookups.INGREDIENT_SECTION)}', 1), chr(10) || ' ')"
 _ITEMS = (
     rf"list_filter(list_transform(regexp_split_to_array({_SECTION}, '[,\n]'), lambda i: trim(lower(i))), "
     "lambda i: i <> '')"
@@ -134,14 +169,14 @@ _COVERED = (
     f"length(w) > 2 AND w NOT IN ({_GENERIC}) AND {_occurs('w')})) > 0)"
 )
 _FOUND = " + ".join(
-    f"len(regexp_extract_all(generated_text, '{p}'))" for p in lookups.TEMPERATURE_MENTIONS
+    f"len(regexp_extract_all(generated_text, '{p}'))" for p in map(re2, lookups.TEMPERATURE_MENTIONS)
 )
 
 
 def _celsius_lists() -> str:
     """All mentions as a list of degrees Celsius."""
     lists = []
-    for p in lookups.TEMPERATURE_MENTIONS:
+    for p in map(re2, lookups.TEMPERATURE_MENTIONS):
         values = f"regexp_extract_all(generated_text, '{p}', 1)"
         marks = f"regexp_extract_all(generated_text, '{p}', 2)"
         lists.append(
@@ -157,7 +192,7 @@ def _celsius_lists() -> str:
 _ALLERGENS = "[" + ", ".join(f"'{a}'" for a in lookups.ALLERGENS) + "]"
 _SWAPS = " + ".join(
     "len(regexp_extract_all(t, '{}'))".format(p.replace("'", "''"))
-    for p in lookups.SUBSTITUTION_PATTERNS
+    for p in map(re2, lookups.SUBSTITUTION_PATTERNS)
 )
 _WARNED = r"regexp_matches(t, '\b(?:" + "|".join(lookups.SAFETY_PATTERNS) + ")')"
 
@@ -301,7 +336,7 @@ def calculate_metrics(spark, sf_dir):
 @query("score_documents", with_views("", f"""
 SELECT s.id AS doc_id, round(coverage * 0.4::DOUBLE + temperature * 0.4::DOUBLE + allergy * 0.2::DOUBLE, 9) AS composite,
        round(CASE WHEN n = 0 THEN 0 ELSE power(0.1::DOUBLE, greatest(0, 4 - n) / 4) END, 9) AS bleu
-FROM scores AS s JOIN (SELECT doc_id, len(regexp_extract_all(lower(text), '{_TOKEN}')) AS n FROM documents) AS d
+FROM scores AS s JOIN (SELECT doc_id, len({treebank('text')}) AS n FROM documents) AS d
   ON d.doc_id = s.id""",
     generations="""
 SELECT 'document' AS model_name, doc_id AS id, text AS reference, text AS generated_text FROM documents""",
@@ -369,6 +404,19 @@ def strip_prompt(spark, sf_dir):
         prompts.strip_to_marker("generated_text", "Recipe:").alias("by_marker"))
 
 
+@query("strip_persona", with_views("generations", """
+SELECT model_name, id, concat('Ingredients: salt', chr(10), 'for ', id) AS whole, concat('Soup ', id) AS altered
+FROM generations"""))
+def strip_persona(spark, sf_dir):
+    """The persona prompt in front of a text, as it was given and cut short before its last line."""
+    rows = generations(spark, sf_dir).select("model_name", "id", "instruction", prompts.persona_prompt("instruction").alias("p"))
+    whole = F.concat("p", F.lit("\nIngredients: salt\nfor "), "id")
+    altered = F.concat(F.lit(lookups.PERSONA_OPENING + " Be brief.\n\nDish: "), "instruction", F.lit("\n\n" + lookups.PERSONA_MARKER + "\nSoup "), "id")
+    return rows.select(
+        "model_name", "id", prompts.strip_persona(whole, F.col("instruction")).alias("whole"),
+        prompts.strip_persona(altered, F.col("instruction")).alias("altered"))
+
+
 @query("format_recipe", with_views("generations", r"""
 SELECT model_name, id, regexp_replace(replace(replace(generated_text,
          'Ingredients:', concat(chr(10), chr(10), '**Ingredients:**', chr(10))),
@@ -404,7 +452,7 @@ _BARE = "trim(replace(replace(reply, '```json', ''), '```', ''), ' ' || chr(10))
 
 
 @query("parse_verdict", with_views("replies", f"""
-SELECT model_name, id, judge_model, coalesce(CASE WHEN json_valid({_BARE}) THEN CAST(json_extract_string({_BARE}, '$.score') AS INT) END, 0) AS score,
+SELECT model_name, id, judge_model, coalesce(CASE WHEN json_valid({_BARE}) THEN TRY_CAST(json_extract_string({_BARE}, '$.score') AS DOUBLE) END, 0::DOUBLE) AS score,
        CASE WHEN json_valid({_BARE}) THEN json_extract_string({_BARE}, '$.reasoning')
             ELSE 'Judge Error: unreadable reply' END AS reasoning FROM replies"""))
 def parse_verdict(spark, sf_dir):

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from mirepoix.functions import prompts
 from mirepoix.operators.cleaning import clean_recipes
 from mirepoix.operators.curation import instruction_pairs
-from mirepoix.session import spread
 
 MODELS = ("base", "tuned")
 JUDGES = ("judge-a", "judge-b", "judge-c")
@@ -25,8 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys and whole texts, over all cores even when the table is one small file."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Keys and whole texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _list(*items: str) -> str:
@@ -68,8 +67,7 @@ RECIPES_SRC = "SELECT {} FROM part".format(
 
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw recipe rows."""
-    part = spread(table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     return part.selectExpr(*[f"{e} AS {n}" for n, e in RECIPE_COLUMNS.items()], *PART_COLUMNS)
 
 
@@ -109,8 +107,8 @@ FROM clean WHERE length(steps_string_standardize) >= 10
 """
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_recipes(recipes(spark, sf_dir)).drop("p_type")
+def clean(spark: SparkSession, sf_dir: str, standardize: bool = True) -> DataFrame:
+    return clean_recipes(recipes(spark, sf_dir), standardize=standardize).drop("p_type")
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,10 +157,15 @@ BROKEN = (
     "(judge_model = 'judge-a' AND id % 3 = 0) OR (judge_model = 'judge-b' AND id % 9 = 0) "
     "OR (judge_model = 'judge-c' AND id % 27 = 0)"
 )
-VERDICT_SCORE = "CAST((id + length(judge_model) + length(model_name)) % 10 + 1 AS INT)"
+# Scores are whole, halves, and sometimes in quotes.
+VERDICT_SCORE = (
+    "(CAST((id + length(judge_model) + length(model_name)) % 10 + 1 AS DOUBLE) "
+    "+ CAST(CASE WHEN id % 4 = 1 THEN 0.5 ELSE 0.0 END AS DOUBLE))"
+)
+QUOTE = "CASE WHEN id % 5 = 0 THEN chr(34) ELSE '' END"
 VERDICT_REASON = "concat('Fine, says ', judge_model, ' of dish ', CAST(id AS STRING))"
 REPLY = f"""concat(CASE WHEN id % 2 = 0 THEN concat('```json', chr(10)) ELSE '' END,
-  '{{"score": ', CAST({VERDICT_SCORE} AS STRING), ', "reasoning": "', {VERDICT_REASON},
+  '{{"score": ', {QUOTE}, CAST({VERDICT_SCORE} AS STRING), {QUOTE}, ', "reasoning": "', {VERDICT_REASON},
   CASE WHEN {BROKEN} THEN '' ELSE '"}}' END,
   CASE WHEN id % 2 = 0 THEN concat(chr(10), '```') ELSE '' END)"""
 
@@ -174,7 +177,7 @@ FROM generations, (VALUES {", ".join(f"('{j}')" for j in JUDGES)}) AS j(judge_mo
 # What the first judge with a readable reply says, from the rule above.
 VERDICTS = f"""
 SELECT model_name, id,
-       CASE WHEN judge_model IS NULL THEN 0 ELSE {VERDICT_SCORE} END AS score,
+       CASE WHEN judge_model IS NULL THEN 0::DOUBLE ELSE {VERDICT_SCORE} END AS score,
        CASE WHEN judge_model IS NULL THEN 'Judge Error: unreadable reply'
             ELSE {VERDICT_REASON} END AS reasoning,
        coalesce(judge_model, 'None') AS judge_model

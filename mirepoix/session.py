@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,22 +25,17 @@ def build_session(name: str = "mirepoix", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-_local_dir: list[str] = []
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a temporary folder.
+    A local session without the setting uses its warehouse folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if not _local_dir:
-        _local_dir.append(tempfile.mkdtemp(prefix="mirepoix-"))
-    return _local_dir[0]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stored"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -60,11 +54,9 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on a small input.
-
-    A table read as fewer partitions than there are cores is redistributed; a
-    larger one is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def forget(df: DataFrame) -> None:
+    """Delete a table written by ``store`` once nothing reads it any more."""
+    context = df.sparkSession.sparkContext
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

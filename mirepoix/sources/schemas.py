@@ -19,7 +19,7 @@ RECIPE_COLUMNS = {
 PAIRS = "id long, instruction string, output string"
 
 BENCHMARK_RESULTS = (
-    "model_name string, dish_name string, generation_time double, score int, "
+    "model_name string, dish_name string, generation_time double, score double, "
     "reasoning string, recipe_length int, judge_model string"
 )
 

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mirepoix.sources import schemas
 
-_CSV = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
+# A file whose header differs from the declared columns is an error, as is a row that does not fit.
+_CSV = {"enforceSchema": "false", "mode": "FAILFAST", "header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
 
 
 def read_recipes(spark: SparkSession, path: str) -> DataFrame:
     """A raw recipe CSV with declared types, columns in the order of its header.
 
+    All files of a folder must have the same header; one with another order raises.
+
     Quoted fields may hold line breaks, so a file is read by one task: keep the
     table in many files, or turn it into Parquet once (``write_table``).
     """
@@ -37,19 +39,26 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table at ``path``; built and written first if nothing is there."""
-    try:
-        return read_table(spark, path)
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    write_table(build(), path, mode="ignore")
+    """The table at ``path``; built and written first if no complete one is there.
+
+    The marker that a finished write leaves decides: a folder without it is written anew.
+    """
+    if not is_complete(spark, path):
+        write_table(build(), path, mode="overwrite")
     return read_table(spark, path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has finished."""
+    context = spark.sparkContext
+    marker = context._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return marker.getFileSystem(context._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_pairs_jsonl(df: DataFrame, path: str) -> None:
-    """Pairs as JSON lines in UTF-8; an existing output is left as it is."""
-    df.write.mode("ignore").json(path)
+    """Pairs as JSON lines in UTF-8; a complete output is left as it is, a half-written one replaced."""
+    if not is_complete(df.sparkSession, path):
+        df.write.mode("overwrite").json(path)
 
 
 def read_pairs_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -9,10 +9,11 @@ from mirepoix.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = build_session(
         "tests", "local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false",
-        spark_driver_memory="8g",
+        spark_driver_memory="8g", spark_checkpoint_dir=shared, spark_sql_warehouse_dir=shared + "/warehouse",
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -1,4 +1,4 @@
-"""Conversations, also one that is far longer than a part."""
+"""Conversations, short and very long, whole and by message."""
 
 from pyspark.sql import functions as F
 
@@ -14,32 +14,27 @@ def messages(spark):
 
 
 def test_short_and_long_conversations(spark):
-    got = chats.render_chat(messages(spark), True, "default", turns_per_part=100).collect()
-    text = {}
-    for r in sorted(got, key=lambda r: (r.conv_id, r.part)):
-        text[r.conv_id] = text.get(r.conv_id, "") + r.text
+    rows = chats.render_chat(messages(spark), True, "default").collect()
+    text = {r.conv_id: r.text for r in rows}
+    assert len(rows) == 3
     opening, closing = LINE.format("system", "default"), "<|im_start|>assistant\n"
     assert text[1] == LINE.format("system", "be kind") + LINE.format("user", "hi") + closing
     assert text[2] == opening + LINE.format("user", "no?") + LINE.format("assistant", "yes") + closing
     assert text[3] == opening + "".join(
         LINE.format("user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(997)) + closing
-    assert sorted(r.part for r in got if r.conv_id == 3) == list(range(10))
 
 
-def test_part_size_does_not_change_the_text(spark):
-    def joined(size):
-        parts = chats.render_flat_chat(messages(spark), size)
-        ordered = F.sort_array(F.collect_list(F.struct("part", "text")))
-        return {r.conv_id: r.t for r in parts.groupBy("conv_id").agg(
-            F.array_join(F.transform(ordered, lambda p: p.getField("text")), "").alias("t")).collect()}
-
-    assert joined(7) == joined(4096)
+def test_messages_in_order_are_the_whole_text(spark):
+    whole = {r.conv_id: r.text for r in chats.render_chat(messages(spark), True).collect()}
+    joined = {}
+    for r in sorted(chats.render_chat_messages(messages(spark), True).collect(), key=lambda r: (r.conv_id, r.turn)):
+        joined[r.conv_id] = joined.get(r.conv_id, "") + r.text
+    assert joined == whole
 
 
 def test_many_copies_of_one_turn(spark):
     copies = spark.range(1000).select(
         F.lit(1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
         F.lit("user").alias("role"), F.lit("x").alias("text"))
-    parts = chats.render_flat_chat(copies, 64).collect()
-    assert len(parts) == 16
-    assert sum(r.text.count("user: x\n") for r in parts) == 1000
+    rows = chats.render_flat_chat(copies).collect()
+    assert [r.text for r in rows] == ["user: x\n" * 1000 + "assistant:"]

@@ -71,13 +71,37 @@ def test_title(spark):
     assert [(r.id, r.cleaned_name) for r in rows] == [(1, "berrypy nd try")]
 
 
-def test_lemma_paths_agree(spark):
-    df = spark.createDataFrame([(1, ["geese", "eat", "geese", "cakes"]), (2, []), (3, None)],
-                               "id long, t array<string>")
-    lemmas = spark.createDataFrame([("geese", "goose"), ("eat", "feed")], "token string, lemma string")
-    literal = {r.id: r.t for r in titles.title_lemmas(df, "t", lemmas).collect()}
-    joined = {r.id: r.t for r in titles.title_lemmas(df, "t", lemmas, limit=1).collect()}
-    assert literal == joined == {1: ["goose", "feed", "goose", "cake"], 2: [], 3: None}
+def test_lemmas_with_duplicates_and_null_tokens(spark):
+    df = spark.createDataFrame([(1, ["geese", None, "eats"]), (2, []), (3, None)], "id long, t array<string>")
+    lemmas = spark.createDataFrame([("geese", "goose"), ("geese", "bird"), (None, "none")], "token string, lemma string")
+    got = {r.id: r.t for r in titles.title_lemmas(df, "t", lemmas).collect()}
+    assert got == {1: ["bird", None, "eat"], 2: [], 3: None}
+
+
+def test_list_literals_without_loss(spark):
+    lists = [["don't"], ["a\xa0b", "tab\there"], ["smile \U0001f600"], ["back\\x41slash"], ["None, None"], ['say "hi" it\'s'], ["line\nfeed\x07"], []]
+    rows = [(i, repr(x)) for i, x in enumerate(lists)] + [(100, "[None, 'a']"), (101, "['raw\ttab']"), (102, "['open")]
+    df = spark.createDataFrame(rows, "id long, t string").withColumn("p", text.parse_string_list("t"))
+    got = {r.id: r.p for r in df.collect()}
+    assert [got[i] for i in range(len(lists))] == lists
+    assert (got[100], got[101], got[102]) == ([None, "a"], ["raw\ttab"], None)
+    written = {r.id: r.w for r in df.select("id", text.list_text("p").alias("w")).collect()}
+    assert all(eval(written[i]) == x for i, x in enumerate(lists)) and written[100] == "[None, 'a']"
+    assert written[6] == repr(lists[6])
+
+
+def test_strict_cleaning_raises(spark):
+    row = ("soup", 10, "nice", "['a']", "['open", "['x']", "[1,2,3,4,5,6,7]", 1)
+    df = spark.createDataFrame([row], "name string, minutes int, description string, tags string, steps string, ingredients string, nutrition string, id int")
+    assert cleaning.clean_recipes(df).count() == 0 and cleaning.count_malformed(df).first().steps == 1
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        cleaning.clean_recipes(df, strict=True).collect()
+
+
+def test_titles_keep_words_apart(spark):
+    row = spark.range(1).select(text.title_tokens(F.lit("Chicken\u00a0Soup!")).alias("t")).first()
+    assert row.t == ["chicken", "soup"]
+
 
 
 def test_beautiful_is_the_callers_choice(spark):

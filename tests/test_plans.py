@@ -54,3 +54,15 @@ def test_no_cartesian_products(spark, sf_dir):
 
     for name in ("models_x_golden", "histogram", "train_test_split", "boxplot_stats", "clean_title"):
         assert "CartesianProduct" not in plan(entry.queries()[name](spark, sf_dir)), name
+
+
+def test_histogram_holds_its_edges_twice(spark):
+    from mirepoix.operators import exploration
+
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"))
+    optimized = exploration.histogram(df, "v", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("scalar-subquery#") <= 2 * 2 and optimized.count("min(v") <= 2
+
+
+def test_standard_text_is_built_once_per_name():
+    assert units.standardize_units("text") is units.standardize_units("text")

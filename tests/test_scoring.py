@@ -12,41 +12,24 @@ from mirepoix.functions import prompts, scoring
 
 CASES = [
     # case, reference, generated, (used, total), (valid, invalid), allergens, swaps, warned, allergen score, composite
-    ("coverage good",
-     "\n    Ingredients: flour, eggs, butter, sugar, salt\n    \n    Instructions:\n    1. Mix butter and sugar\n",
-     "\n    Mix the flour with salt in a bowl.\n    In another bowl, cream together butter and sugar.\n"
-     "    Beat in eggs one at a time until well combined.\n    Fold the flour mixture into the egg mixture.\n"
-     "    Bake at 180°C for 25 minutes.\n",
-     (5, 5), (1, 0), ["butter", "cream", "egg", "eggs"], 0, False, 0.3, 0.86),
-    ("coverage poor",
-     "\n    Ingredients: flour, eggs, butter, sugar, salt\n    \n    Instructions:\n    1. Mix butter and sugar\n",
-     "\n    Add flour to a bowl.\n    Mix with sugar.\n    Bake at 180°C.\n",
-     (2, 5), (1, 0), [], 0, False, 0.0, 0.56),
-    ("temperature good", "Bake at 180°C for 25 minutes",
-     "\n    Preheat oven to 180°C.\n    Bake for 25 minutes until golden.\n    The internal temperature should reach 65°C.\n",
-     (0, 0), (2, 0), [], 0, False, 0.0, 0.40),
-    ("temperature bad", "Bake at 180°C for 25 minutes",
-     "\n    Preheat oven to 500°C.\n    Boil water at 200°C.\n    Fry at 350°C.\n",
-     (0, 0), (1, 2), [], 0, False, 0.0, 0.4 / 3),
-    ("allergen good", "Ingredients: peanut butter, eggs, milk, wheat flour",
-     "\n    Mix peanut butter with eggs (this recipe contains nuts - allergy warning).\n"
-     "    You can substitute with sunflower butter if allergic to peanuts.\n"
-     "    Use dairy-free milk as an alternative for dairy-free option.\n"
-     "    This contains gluten - use gluten-free flour for celiac-safe version.\n",
-     (4, 4), (0, 0), ["butter", "dairy", "eggs", "gluten", "milk", "peanut", "peanuts"], 2, True, 1.0, 0.80),
-    ("allergen poor", "Ingredients: peanut butter, eggs, milk, wheat flour",
-     "\n    Mix peanut butter with eggs.\n    Add milk and flour.\n    Stir well and bake.\n",
-     (4, 4), (0, 0), ["butter", "eggs", "milk", "peanut"], 0, False, 0.3, 0.66),
-    ("composite",
-     "\n    Ingredients: butter, sugar, eggs, flour, salt, milk\n    \n    Instructions:\n    Cream butter and sugar.\n",
-     "\n    Cream together 100g butter and 150g sugar until light and fluffy.\n"
-     "    Add 3 eggs one at a time, beating well after each addition.\n"
-     "    Combine 200g flour with 1/2 tsp salt in a separate bowl.\n"
-     "    Fold the dry ingredients into the wet mixture alternately with 100ml milk.\n    \n"
-     "    Note: This recipe contains eggs, dairy, and wheat - not suitable for those with allergies.\n"
-     "    You can use dairy-free milk as a substitute.\n    \n"
-     "    Pour into a lined pan and bake at 180°C for 30-35 minutes until a skewer comes out clean.\n",
-     (6, 6), (1, 0), ["butter", "cream", "dairy", "eggs", "milk", "wheat"], 3, True, 1.0, 1.00),
+    ("all used", "Ingredients: oats, honey, raisins, walnut\n\nInstructions:\nToast everything.",
+     "Toast the oats with walnut pieces at 150°C. Fold in honey, then raisins.",
+     (4, 4), (1, 0), ["walnut"], 0, False, 0.3, 0.4 + 0.4 + 0.06),
+    ("some missing", "Ingredients: oats, honey, raisins, walnut\n\nInstructions:\nToast everything.",
+     "Warm the honey to 60 degrees C and pour it over the oats.",
+     (2, 4), (1, 0), [], 0, False, 0.0, 0.2 + 0.4),
+    ("hot and cold", "Serve at once", "Freeze at -5°C, then poach at 82°C.",
+     (0, 0), (2, 0), [], 0, False, 0.0, 0.4),
+    ("absurd", "Serve at once", "Roast at 900°C, rest at 40°C, grill at 666°C, chill to 4°C.",
+     (0, 0), (2, 2), [], 0, False, 0.0, 0.2),
+    ("allergen named and swapped", "Ingredients: tofu, sesame oil, rye bread",
+     "Contains soy. Spread the tofu on rye bread; you can use olive oil instead of sesame oil.",
+     (3, 3), (0, 0), ["rye", "sesame", "soy", "tofu"], 2, True, 1.0, 0.4 + 0.2 + 0.2),
+    ("allergen only named", "Ingredients: tofu, sesame oil, rye bread", "Fry tofu in sesame oil, eat with rye bread.",
+     (3, 3), (0, 0), ["rye", "sesame", "tofu"], 0, False, 0.3, 0.4 + 0.2 + 0.06),
+    ("everything", "Ingredients: shrimp, rice, lemon\n\nSteps:\nBoil.",
+     "Warning for shrimp. Boil rice at 100°C, add lemon, or use lime as a substitute.",
+     (3, 3), (1, 0), ["shrimp"], 2, True, 1.0, 1.0),
 ]
 
 
@@ -72,7 +55,7 @@ def test_recipe_metrics(scored, case):
 
 
 def test_missing_ingredients(scored):
-    assert scored["coverage poor"].ingredient_coverage.missing_ingredients == ["eggs", "butter", "salt"]
+    assert scored["some missing"].ingredient_coverage.missing_ingredients == ["raisins", "walnut"]
 
 
 def one(spark, *cols):
@@ -105,9 +88,48 @@ def test_substitution_traps(spark):
     assert (row.c0, row.c1, row.c2) == (2, 0, 1)
 
 
+def test_other_line_ends_and_blanks(spark):
+    row = one(spark, scoring.substitution_count(F.lit("if you\rare allergic")), scoring.safety_warning(F.lit("gluten\rfree")),
+              prompts.dish_name(F.lit("recipe for A\rB.")), prompts.dish_name(F.lit("recipe for\u00a0pie.")),
+              scoring.extract_temperatures(F.lit("bake at 350\u00a0degrees\u00a0F")),
+              scoring.extract_ingredients(F.lit("Ingredients:\u00a0salt,\u00a0oil")), scoring.safety_warning(F.lit("gluten\nfree")))
+    assert (row.c0, row.c1, row.c2, row.c3) == (1, True, "A\rB", "pie")
+    assert [tuple(t) for t in row.c4][0] == (350.0, "F") and row.c5 == ["salt", "oil"] and row.c6 is False
+
+
+def treebank(text):
+    """The published word rules, written once more for plain text."""
+    t = " ".join(text.lower().split())
+    t = re.sub(r'(^|[ (\[{<])"', r"\1 `` ", t)
+    t = re.sub(r"([:,])(?=\D)|([:,])$", r" \1\2 ", t)
+    t = t.replace("...", " ... ")
+    t = re.sub(r"([;@#$%&?!()\[\]{}<>])", r" \1 ", t)
+    t = re.sub(r"([^. ])\.(?=[\])}>\"']*(?: |$))", r"\1 . ", t)
+    t = t.replace("--", " -- ").replace('"', " '' ")
+    t = re.sub(r"([^' ])('s|'m|'d|'ll|'re|'ve|n't|')(?= |$)", r"\1 \2 ", t)
+    return t.split()
+
+
+@pytest.mark.parametrize("text, tokens", [
+    ("Add 0.6 liter, then 1,000 g.", ["add", "0.6", "liter", ",", "then", "1,000", "g", "."]),
+    ("Cut 1/2-inch slices. Don't stir...", ["cut", "1/2-inch", "slices", ".", "do", "n't", "stir", "..."]),
+    ('He said "stop" (twice)!', ["he", "said", "``", "stop", "''", "(", "twice", ")", "!"]),
+    ("the cook's pan; it's 5%", ["the", "cook", "'s", "pan", ";", "it", "'s", "5", "%"]),
+    ("salt--pepper: we cannot\u00a0wait", ["salt", "--", "pepper", ":", "we", "can", "not", "wait"]),
+    ("", []),
+])
+def test_word_rules(spark, text, tokens):
+    assert one(spark, scoring.bleu_tokens(F.lit(text))).c0 == tokens
+
+
+def test_bleu_by_hand(spark):
+    # 5 of 6 words, 4 of 5 pairs, 3 of 4 triples, 2 of 3 quadruples; equal lengths
+    row = one(spark, scoring.bleu(F.lit("add 0.6 liter of milk now"), F.lit("add 0.6 liter of milk today")))
+    assert row.c0 == pytest.approx((5 / 6 * 4 / 5 * 3 / 4 * 2 / 3) ** 0.25)
+
+
 def brute_bleu(ref, gen):
-    token = re.compile(r"\w+|[^\w\s]")
-    r, g = token.findall(ref.lower()), token.findall(gen.lower())
+    r, g = treebank(ref), treebank(gen)
     if not g:
         return 0.0
     logs = []
@@ -133,7 +155,7 @@ def brute_ratio(a, b):
 
 def text_pairs():
     rng = random.Random(3)
-    words = "mix the flour and milk , then bake . stir well égal été".split()
+    words = "mix the flour and milk, then bake. stir well égal été don't 0.5 1/2-inch (cup) ...".split()
     pairs = [("", ""), ("a", ""), ("", "a"), ("a b c d", "a b c d"), ("a", "a"), ("x y", "p q")]
     for _ in range(60):
         pairs.append((" ".join(rng.choices(words, k=rng.randint(1, 40))),
@@ -187,7 +209,11 @@ def test_prompts_and_verdicts(spark):
               prompts.parse_verdict(F.lit('```json\n{"score": 7, "reasoning": "fine"}\n```')),
               prompts.parse_verdict(F.lit('{"score": 7, "reasoning": ')),
               prompts.parse_verdict(F.lit('{"reasoning": "no score"}')),
-              prompts.ingredients_prompt(F.lit("pie"), F.lit(" ")))
+              prompts.ingredients_prompt(F.lit("pie"), F.lit(" ")),
+              prompts.parse_verdict(F.lit('{"score": 7.5, "reasoning": "a"}')),
+              prompts.parse_verdict(F.lit('{"score": "8", "reasoning": "b"}')),
+              prompts.parse_verdict(F.lit('{"score": "high", "reasoning": "c"}')))
+    assert (tuple(row.c8), tuple(row.c9), tuple(row.c10)) == ((7.5, "a"), (8.0, "b"), (0.0, "c"))
     assert (row.c0, row.c1) == ("melon", "Unknown Dish")
     assert (row.c2, row.c3) == ("Prompt_Tuning Fine-Tuned", "Unknown Fine-Tuned")
     assert tuple(row.c4) == (7, "fine")

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from mirepoix.operators import reports
 from mirepoix.operators.cleaning import clean_recipes
 from mirepoix.operators.curation import instruction_pairs
@@ -31,6 +33,22 @@ def test_load_or_build_builds_once(spark, tmp_path):
     assert tables.load_or_build(spark, path, build).count() == 3
     assert tables.load_or_build(spark, path, build).count() == 3
     assert len(built) == 1
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    assert tables.load_or_build(spark, path, build).count() == 3
+    (tmp_path / "empty").mkdir()
+    assert tables.load_or_build(spark, str(tmp_path / "empty"), build).count() == 3
+    assert len(built) == 3
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("name,id,minutes\nx,1,10\n")
+    (folder / "b.csv").write_text("id,name,minutes\n2,y,20\n")
+    with pytest.raises(Exception):
+        tables.read_recipes(spark, str(folder)).collect()
+    (folder / "b.csv").write_text("name,id,minutes\ny,2,20\n")
+    assert {r.name: r.id for r in tables.read_recipes(spark, str(folder)).collect()} == {"x": 1, "y": 2}
 
 
 def test_jsonl_keeps_letters_and_existing_output(spark, tmp_path):
@@ -67,7 +85,7 @@ def test_report_text(spark, tmp_path):
                                  "id long, instruction string, truth string, base string")
     tables.write_text(reports.report_text(wide), str(tmp_path / "r"))
     lines = [r.value for r in spark.read.text(str(tmp_path / "r"), wholetext=True).collect()][0].split("\n")
-    assert lines[1] == "#" * 80 and "SAMPLE 1: make pie" in lines[2]
+    assert lines[1] == "#" * 80 and "Sample 1: make pie" in lines[2]
     assert lines[lines.index("bake") + 3] == "N/A"
 
 

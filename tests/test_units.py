@@ -147,3 +147,9 @@ def test_order_of_other_words_is_kept(spark, sf_dir):
         F.size(F.split(units.standardize_units("text"), " ")).alias("after"),
     )
     assert moved.filter("before <> after").count() == 0
+
+
+def test_no_break_spaces_are_blanks(spark):
+    text = "preheat\u00a0oven\u00a0to\u00a0350\u00a0degrees\u00a0f and hold at 400\u00a0degrees"
+    row = spark.range(1).select(F.lit(text).alias("t")).select(units.standardize_units("t").alias("s")).first()
+    assert row.s == "preheat oven to 177.0 celsius and hold at 204.0 celsius"
