@@ -5,6 +5,7 @@ Every score is local to its row, so scoring a table needs no shuffle.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -119,10 +120,16 @@ def bleu(reference: Column | str, generated: Column | str) -> Column:
 
 def _indel_ratio(a: str, b: str) -> float:
     """200 * LCS / (len(a) + len(b)), the LCS counted bit-parallel."""
-    if not a and not b:
+    if a == b:
         return 100.0
+    size = len(a) + len(b)
     if len(a) > len(b):
         a, b = b, a
+    # a common beginning and end belong to some longest common subsequence
+    head = len(os.path.commonprefix([a, b]))
+    a, b = a[head:], b[head:]
+    tail = len(os.path.commonprefix([a[::-1], b[::-1]]))
+    a, b = a[:len(a) - tail], b[:len(b) - tail]
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
@@ -131,7 +138,7 @@ def _indel_ratio(a: str, b: str) -> float:
     for c in b:
         hit = state & places.get(c, 0)
         state = (state + hit | state - hit) & full
-    return 200.0 * (len(a) - state.bit_count()) / (len(a) + len(b))
+    return 200.0 * (head + tail + len(a) - state.bit_count()) / size
 
 
 @F.pandas_udf(DoubleType())

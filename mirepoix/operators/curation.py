@@ -46,11 +46,12 @@ def seeded_subset(df: DataFrame, size: int = SUBSET_SIZE, seed: int = SEED, key:
     """The first ``size`` rows of the seeded order, without sorting the table.
 
     Rows are kept by comparison with the cut-off digest. If copies of one key
-    straddle the cut-off the final limit drops the surplus copies.
+    straddle the cut-off the final limit drops the surplus copies, by a hash of the row.
     """
     digest = seeded_key(seed, key)
     kept = df.filter(is_among_smallest(df, digest, lambda total: F.lit(size)))
-    return kept.orderBy(digest).limit(size)
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return kept.orderBy(digest, F.xxhash64(*hashable)).limit(size)
 
 
 def train_test_split(

@@ -91,12 +91,12 @@ def cutoff(digests: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
     """One row: the k-th smallest ``_digest``, NULL if there are fewer than k.
 
     ``wanted`` gives k from the row total. No sort of the table: 65,536 digest
-    prefixes are counted, then the digests inside the one prefix that holds the
-    k-th row. Copies of a key share a digest and are counted before the window,
-    so they add no rows to it.
+    prefixes are counted, then the prefixes twice as long inside the one that holds
+    the k-th row, then the digests inside that one. Copies of a key share a digest
+    and are counted before the window, so they add no rows to it.
     """
     prefix = F.substring("_digest", 1, _PREFIX)
-    # Windows without partitions: at most 65,536 rows, and one prefix's digests.
+    # Windows without partitions: at most 65,536 rows, and one long prefix's digests.
     running = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
     k = wanted(F.col("_total"))
     buckets = digests.groupBy(prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n")).select(
@@ -110,12 +110,25 @@ def cutoff(digests: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
         ).alias("_b"))
         .select("_b.*")
     )
-    inside = Window.orderBy("_digest").rowsBetween(Window.unboundedPreceding, 0)
-    return (
+    # the same within the prefix, by its next digits: two bounded rounds
+    longer = F.substring("_digest", 1, 2 * _PREFIX)
+    within = Window.orderBy("_longer").rowsBetween(Window.unboundedPreceding, 0)
+    narrow = (
         digests.join(F.broadcast(holding), prefix == F.col("_prefix"))  # one row
-        .groupBy("_digest", "_left").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_digest", "_left", F.sum("_n").over(inside).alias("_upto"))
+        .groupBy(longer.alias("_longer"), "_left").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_longer", "_left", "_n", F.sum("_n").over(within).alias("_upto"))
         .filter(F.col("_upto") >= F.col("_left"))
+        .agg(F.min_by(
+            F.struct("_longer", (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_rest")), "_upto"
+        ).alias("_c"))
+        .select("_c.*")
+    )
+    inside = Window.orderBy("_digest").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        digests.join(F.broadcast(narrow), longer == F.col("_longer"))  # one row
+        .groupBy("_digest", "_rest").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_digest", "_rest", F.sum("_n").over(inside).alias("_upto"))
+        .filter(F.col("_upto") >= F.col("_rest"))
         .agg(F.min("_digest").alias("_cut"))
     )
 
