@@ -38,7 +38,7 @@ _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,30}\Z")
 _URL_REST = re.compile(r"[^\s<>\"'{}|\\^`]+")
 _KEY_ID = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 _SECRET_REST = re.compile(r"\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,})")
-_ACCOUNT_REST = re.compile(r"(?:\s{1,2}(?:no\.?|number|nr\.?))?\s{0,2}[:#=]?\s{0,2}([A-Z]{0,4}[0-9][0-9A-Z -]{2,32}[0-9A-Z])", re.I)
+_ACCOUNT_REST = re.compile(r"(?:\s{1,2}(?i:no\.?|number|nr\.?))?\s{0,2}[:#=]?\s{0,2}([A-Z]{0,4}[0-9](?:[ -]?[0-9A-Z]){3,33})")
 _BEFORE_STREET = re.compile(r"(?<![0-9])[0-9]{1,5}[A-Za-z]?(?:\s[A-Z][a-z]{1,20}){1,3}\s\Z")
 # Words that announce an identifier or end a street name.
 SECRET_CUES = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "api-key")

@@ -126,7 +126,7 @@ def test_added_spans_and_masks(spark, awkward, no_docs):
     assert out[0]["text"] is None and out[9]["text"] == "mail [EMAIL] now" and out[9]["n_chars"] == 16
     assert pii.mask(awkward).columns == awkward.columns
     found = {r["doc_id"]: r for r in pii.digests(pii.find(awkward)).collect()}
-    assert found[9]["spans"] == "email:5:11" and found[0]["spans"] == "" and found[9]["n_email"] == 1
+    assert found[9]["spans"] == "email:5:13" and found[0]["spans"] == "" and found[9]["n_email"] == 1
     assert pii.digests(pii.find(no_docs)).count() == 0
 
 
