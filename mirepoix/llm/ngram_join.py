@@ -6,11 +6,11 @@ documents (its counts only shape the order, so they may be rough), and two sets
 enough must share a shingle of their prefixes. Units with the same prefix and size are one group.
 
 1. Star step: each group's members are paired with one member, each prefix list's groups (of like
-   size) with one group. Pairs that pass the filters are verified; links are contracted.
+   size) with the one that has fewest rarer shingles, the most central. Pairs that pass the filters are verified; links are contracted.
 2. Exact step: what is left to compare are members of different components that share a prefix
-   shingle. Groups outside a list's largest component are paired with all of the list, pairs are
-   filtered by size, place and number of shared prefix shingles, expanded to their members, and
-   verified. Lists that lie within one component - copies, however many - are never paired out.
+   shingle. Groups outside a list's largest component are paired with all of the list, pairs meet
+   by the sizes that their places allow, are filtered by their common prefix shingles, expanded to
+   their members, and verified. Lists that lie within one component - copies, however many - are never paired out.
 
 No partner is left out: a pair is skipped only if a bound proves it too unlike or both sides are
 already connected.
@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirepoix.llm.common import bounded_broadcast, stored, text_chunks, texts
+from mirepoix.llm.common import bounded_broadcast, forget, stored, text_chunks, texts
 from mirepoix.llm.components import components
 from mirepoix.llm.wordhash import shingle_sets
 
 TABLE_BITS = 21
 _PART_BITS = 15
 _FAN_IN = 64
+# Width of a slot of set sizes, as a logarithm.
+_SLOT = float(np.log(1.02))
 
 
 def digest(values: np.ndarray) -> int:
@@ -128,26 +130,51 @@ def prefixes(docs: DataFrame, size: int, percent: int, classes: np.ndarray) -> D
     return stored(texts(docs).select("text").mapInArrow(run, "unit bigint, n bigint, family bigint, prefix array<bigint>"), "prefixes")
 
 
-def _lists(prefixed: DataFrame, percent: int) -> DataFrame:
+def _groups(prefixed: DataFrame) -> DataFrame:
+    return stored(prefixed.groupBy("family").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")), "groups")
+
+
+def _lists(groups: DataFrame) -> DataFrame:
     """Stored rows (shingle, family, n, at) of the prefix shingles that at least two groups share."""
-    groups = prefixed.groupBy("family").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
     places = groups.select("family", "n", F.posexplode("prefix").alias("at", "shingle"))
     shared = places.groupBy("shingle").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).filter("lo <> hi").select("shingle")
     return stored(places.join(shared, "shingle"), "lists")
 
 
 def _alike(percent: int, a: str, b: str) -> Column:
-    """Whether sizes, and places of a shared shingle, allow the similarity; ``a``, ``b`` prefix the columns n and at."""
+    """Whether two sets may be similar enough if this is the first shingle they share.
+
+    ``a`` and ``b`` prefix the columns n (size) and at (place); what two sets share is at most what
+    each has from its first shared shingle on. Every pair to be found passes at that shingle.
+    """
     n, m, i, j = (F.col(c) for c in (f"{a}n", f"{b}n", f"{a}at", f"{b}at"))
     fits = F.greatest(n, m) * percent <= F.least(n, m) * 100
-    most = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-    return fits & (most * (100 + percent) >= (n + m) * percent)
+    return fits & (F.least(n - i, m - j) * (100 + percent) >= (n + m) * percent)
+
 
+def _slot(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / _SLOT)
 
-def _enough(percent: int) -> Column:
-    """Whether ``shared`` prefix shingles leave room for the similarity of sizes ``n`` and ``m``."""
+
+def _slots(percent: int) -> Column:
+    """The slots of the sizes that a partner of a row with size ``x_n`` and place ``x_at`` can have."""
+    n, rest = F.col("x_n"), F.col("x_n") - F.col("x_at")
+    low = F.ceil(n * percent / 100)
+    high = F.least(F.floor(n * 100 / percent), F.floor(rest * (100 + percent) / percent) - n)
+    return F.when(low <= high, F.sequence(_slot(low), _slot(high))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _viable(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """The pairs (f, g) of groups whose common prefix shingles leave room for the similarity."""
+    pairs = stored(pairs, "group-pairs")
+    wanted = stored(pairs.select(F.col("f").alias("family")).union(pairs.select("g")).distinct(), "wanted")
+    known = groups.join(bounded_broadcast(wanted), "family", "left_semi")
+    rows = pairs.join(known.select(F.col("family").alias("f"), "n", "prefix"), "f")
+    rows = rows.join(known.select(F.col("family").alias("g"), F.col("n").alias("m"), F.col("prefix").alias("other")), "g")
+    # beyond the prefix that ends first, a set has less than the share it needs
     rest = F.floor((F.greatest("n", "m") * percent + 99) / 100) - 1
-    return (F.col("shared") + rest) * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    room = F.size(F.array_intersect("prefix", "other")) + rest
+    return rows.filter(room * (100 + percent) >= (F.col("n") + F.col("m")) * percent).select("f", "g")
 
 
 def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -183,47 +210,52 @@ def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _star_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(lists: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs of units: each group's members with its first, each list's groups with the first of like size."""
     heads = members.groupBy("family").agg(F.min("unit").alias("head"), F.count("*").alias("size"))
     inside = members.join(heads.filter("size > 1"), "family").filter("unit <> head").select(*ordered("unit", "head"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
     banded = lists.withColumn("band", band)
-    first = banded.groupBy("shingle", "band").agg(F.min(F.struct("family", "n", "at")).alias("f"), F.count("*").alias("c")).filter("c > 1")
+    first = banded.groupBy("shingle", "band").agg(F.min(F.struct("at", "family", "n")).alias("f"), F.count("*").alias("c")).filter("c > 1")
     first = first.select("shingle", "band", F.col("f.family").alias("to"), F.col("f.n").alias("to_n"), F.col("f.at").alias("to_at"))
     near = banded.join(first, ["shingle", "band"]).filter("family <> to").filter(_alike(percent, "", "to_"))
-    near = near.groupBy("family", "to").agg(F.count("*").alias("shared"), F.any_value("n").alias("n"), F.any_value("to_n").alias("m"))
-    near = near.filter(_enough(percent)).select("family", "to")
+    near = _viable(near.select(F.col("family").alias("f"), F.col("to").alias("g")).distinct(), groups, percent)
     by = heads.select("family", "head")
-    across = near.join(by, "family").join(by.select(F.col("family").alias("to"), F.col("head").alias("other")), "to")
+    across = near.join(by.withColumnRenamed("family", "f"), "f").join(by.select(F.col("family").alias("g"), F.col("head").alias("other")), "g")
     return inside.unionByName(across.select(*ordered("head", "other"))).distinct()
 
 
-def cross_pairs(rows: DataFrame, key: str, what: str, extra: list[str], keep: Column) -> DataFrame:
-    """Pairs of rows of one ``key`` in different ``part``s: those outside its largest part with all of it."""
+def cross_pairs(rows: DataFrame, key: str, what: str, extra: list[str], keep: Column, slots: Column | None = None) -> DataFrame:
+    """Pairs of rows of one ``key`` in different ``part``s: those outside its largest part with all of it.
+
+    With ``slots``, a row outside meets only rows whose size ``n`` lies in one of them.
+    """
     sizes = rows.groupBy(key, "part").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy(key).agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     rows = rows.join(mixed.select(key, "main"), key)
     outside = rows.filter("part <> main").select(key, *(F.col(c).alias(f"x_{c}") for c in (what, "part", *extra)))
     every = rows.select(key, "main", *(F.col(c).alias(f"y_{c}") for c in (what, "part", *extra)))
-    pairs = outside.join(every, key).filter("x_part <> y_part")
+    if slots is not None:
+        outside = outside.withColumn("slot", F.explode(slots))
+        every = every.withColumn("slot", _slot(F.col("y_n")))
+    pairs = outside.join(every, [key] if slots is None else [key, "slot"]).filter("x_part <> y_part")
     # two outsiders meet twice: keep one order
     return pairs.filter((F.col("y_part") == F.col("main")) | (F.col(f"x_{what}") < F.col(f"y_{what}"))).filter(keep)
 
 
-def _cross_pairs(lists: DataFrame, members: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(lists: DataFrame, groups: DataFrame, members: DataFrame, names: DataFrame, percent: int) -> DataFrame:
     """Pairs of units in different components that the filters let through."""
     names = names.select(F.col("node").alias("unit"), F.col("component").alias("part"))
     placed = members.join(names, "unit", "left").select("family", "unit", F.coalesce("part", "unit").alias("part"))
     placed = stored(placed, "placed")
     inside = cross_pairs(placed, "family", "unit", [], F.lit(True)).select(*ordered("x_unit", "y_unit"))
     # a group of several components is compared as one of its own
-    groups = placed.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-    groups = groups.select("family", F.when(F.col("lo") == F.col("hi"), F.concat(F.lit("c"), F.col("lo"))).otherwise(F.concat(F.lit("g"), F.col("family"))).alias("part"))
-    near = cross_pairs(lists.join(groups, "family"), "shingle", "family", ["n", "at"], _alike(percent, "x_", "y_"))
-    near = near.groupBy(F.least("x_family", "y_family").alias("f"), F.greatest("x_family", "y_family").alias("g")).agg(
-        F.count("*").alias("shared"), F.any_value("x_n").alias("n"), F.any_value("y_n").alias("m"))
-    near = near.filter(_enough(percent)).select("f", "g")
+    parts = placed.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+    own = F.concat(F.lit("g"), F.col("family"))
+    parts = parts.select("family", F.when(F.col("lo") == F.col("hi"), F.concat(F.lit("c"), F.col("lo"))).otherwise(own).alias("part"))
+    near = cross_pairs(lists.join(parts, "family"), "shingle", "family", ["n", "at"], _alike(percent, "x_", "y_"), _slots(percent))
+    near = near.select(F.least("x_family", "y_family").alias("f"), F.greatest("x_family", "y_family").alias("g")).distinct()
+    near = _viable(near, groups, percent)
     left = placed.select(F.col("family").alias("f"), F.col("unit").alias("u"), F.col("part").alias("pu"))
     right = placed.select(F.col("family").alias("g"), F.col("unit").alias("v"), F.col("part").alias("pv"))
     across = near.join(left, "f").join(right, "g").filter("pu <> pv").select(*ordered("u", "v"))
@@ -235,11 +267,13 @@ def link(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     described = describe(docs, size)
     units = described.filter("part IS NULL").select("doc_id", "n", "unit")
     prefixed = prefixes(docs, size, percent, shingle_classes(described))
-    members = prefixed.select("unit", "family").distinct()
-    lists = _lists(prefixed, percent)
-    star = verified(docs, units, _star_pairs(lists, members, percent), size, percent)
+    members = stored(prefixed.select("unit", "family").distinct(), "members")
+    groups = _groups(prefixed)
+    forget(prefixed)
+    lists = _lists(groups)
+    star = verified(docs, units, _star_pairs(lists, groups, members, percent), size, percent)
     names = components(star)
-    found = verified(docs, units, _cross_pairs(lists, members, names, percent), size, percent)
+    found = verified(docs, units, _cross_pairs(lists, groups, members, names, percent), size, percent)
     names = components(star.unionByName(found))
     named = units.join(names, F.col("unit") == F.col("node"), "left").withColumn("component", F.coalesce("component", "unit"))
     named = stored(named.select("doc_id", "n", "component"), "named")
