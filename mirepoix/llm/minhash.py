@@ -2,9 +2,11 @@
 
 A text's signature is, for each of several universal hash functions (multiply and add, modulo
 2**64), the least value over its word shingles, computed in numpy for many texts at once. Bands of
-the signature are joined in Spark: each band's texts with one of them first, and what then still
-lies in different classes with all of the band but its largest class. Every pair is verified by the
-Jaccard similarity of the whole shingle sets before it links two texts.
+the signature are joined in Spark: each band's texts with one of them, and, while a band
+holds several classes, with another one in a second round: the pairs grow with the texts, never with
+the square of a band. Every pair is verified by the Jaccard similarity of the whole shingle sets
+before it links two texts. Classes are those of the verified pairs; the exact ones over all pairs
+are ``ngram_join.link``.
 
 Defined cases: a null text counts as empty; texts without words share one signature, which agrees
 with no other's, and form no class. Fewer words than a shingle are one shingle. Equal texts have
@@ -27,11 +29,12 @@ from pyspark.sql import functions as F
 
 from mirepoix.llm.common import CHUNK_BYTES, bounded_broadcast, stored, texts
 from mirepoix.llm.components import components
-from mirepoix.llm.ngram_join import cross_pairs, digest, ordered, verified
+from mirepoix.llm.ngram_join import digest, ordered, verified
 from mirepoix.llm.wordhash import mix, shingle_hashes, unique_sorted, word_hashes
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 12, 5
+ROUNDS = 2
 HASHES = 64
 _FACTORS = mix(np.arange(20_001, 20_001 + HASHES, dtype=np.uint64)) | np.uint64(1)
 _TERMS = mix(np.arange(30_001, 30_001 + HASHES, dtype=np.uint64))
@@ -154,12 +157,17 @@ def near_duplicates(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, per
     rows = signed.filter("n > 0").select("unit", F.inline(bands)).select("unit", F.xxhash64("band", "key").alias("bucket"))
     met = rows.groupBy("bucket").agg(F.min("unit").alias("head"), F.max("unit").alias("hi")).filter("head <> hi").select("bucket", "head")
     rows = stored(rows.join(met, "bucket").distinct(), "bands")
-    star = verified(docs, units, rows.filter("unit <> head").select(*ordered("unit", "head")).distinct(), size, percent)
-    names = components(star)
-    placed = rows.join(names, F.col("unit") == F.col("node"), "left").select("bucket", "unit", F.coalesce("component", "unit").alias("part"))
-    rest = cross_pairs(stored(placed, "placed"), "bucket", "unit", [], F.lit(True)).select(*ordered("x_unit", "y_unit")).distinct()
-    found = verified(docs, units, rest, size, percent)
-    names = components(star.unionByName(found))
+    links = verified(docs, units, rows.filter("unit <> head").select(*ordered("unit", "head")).distinct(), size, percent)
+    names = components(links)
+    for turn in range(1, ROUNDS):
+        part = F.coalesce("component", "unit").alias("part")
+        placed = stored(rows.join(bounded_broadcast(names), F.col("unit") == F.col("node"), "left").select("bucket", "unit", part), "placed")
+        first = placed.groupBy("bucket").agg(
+            F.min(F.struct(F.xxhash64("unit", F.lit(turn)).alias("h"), "unit", "part")).alias("f"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        first = first.filter("lo <> hi").select("bucket", F.col("f.unit").alias("to"), F.col("f.part").alias("to_part"))
+        pairs = placed.join(first, "bucket").filter("part <> to_part").select(*ordered("unit", "to")).distinct()
+        links = links.unionByName(verified(docs, units, pairs, size, percent))
+        names = components(links)
     named = units.join(names, F.col("unit") == F.col("node"), "left").select("doc_id", "unit", F.coalesce("component", "unit").alias("component"))
     named = stored(named.groupBy("unit", "component").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "named")
     least = named.groupBy("component").agg(F.min("least").alias("class_id"), F.max("most").alias("most")).filter("class_id <> most")
