@@ -164,6 +164,13 @@ def _slots(percent: int) -> Column:
     return F.when(low <= high, F.sequence(_slot(low), _slot(high))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _enough(percent: int, shared: Column) -> Column:
+    """Whether ``shared`` common prefix shingles leave room for the similarity of sizes ``n`` and ``m``."""
+    # beyond the prefix that ends first, a set has less than the share it needs
+    rest = F.floor((F.greatest("n", "m") * percent + 99) / 100) - 1
+    return (shared + rest) * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+
+
 def _viable(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """The pairs (f, g) of groups whose common prefix shingles leave room for the similarity."""
     pairs = stored(pairs, "group-pairs")
@@ -171,10 +178,7 @@ def _viable(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     known = groups.join(bounded_broadcast(wanted), "family", "left_semi")
     rows = pairs.join(known.select(F.col("family").alias("f"), "n", "prefix"), "f")
     rows = rows.join(known.select(F.col("family").alias("g"), F.col("n").alias("m"), F.col("prefix").alias("other")), "g")
-    # beyond the prefix that ends first, a set has less than the share it needs
-    rest = F.floor((F.greatest("n", "m") * percent + 99) / 100) - 1
-    room = F.size(F.array_intersect("prefix", "other")) + rest
-    return rows.filter(room * (100 + percent) >= (F.col("n") + F.col("m")) * percent).select("f", "g")
+    return rows.filter(_enough(percent, F.size(F.array_intersect("prefix", "other")))).select("f", "g")
 
 
 def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -210,7 +214,7 @@ def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _star_pairs(lists: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs of units: each group's members with its first, each list's groups with the first of like size."""
     heads = members.groupBy("family").agg(F.min("unit").alias("head"), F.count("*").alias("size"))
     inside = members.join(heads.filter("size > 1"), "family").filter("unit <> head").select(*ordered("unit", "head"))
@@ -219,7 +223,10 @@ def _star_pairs(lists: DataFrame, groups: DataFrame, members: DataFrame, percent
     first = banded.groupBy("shingle", "band").agg(F.min(F.struct("at", "family", "n")).alias("f"), F.count("*").alias("c")).filter("c > 1")
     first = first.select("shingle", "band", F.col("f.family").alias("to"), F.col("f.n").alias("to_n"), F.col("f.at").alias("to_at"))
     near = banded.join(first, ["shingle", "band"]).filter("family <> to").filter(_alike(percent, "", "to_"))
-    near = _viable(near.select(F.col("family").alias("f"), F.col("to").alias("g")).distinct(), groups, percent)
+    # few shared lists: too unlike, or left to the exact step
+    near = near.groupBy(F.col("family").alias("f"), F.col("to").alias("g")).agg(
+        F.count("*").alias("shared"), F.any_value("n").alias("n"), F.any_value("to_n").alias("m"))
+    near = near.filter(_enough(percent, F.col("shared"))).select("f", "g")
     by = heads.select("family", "head")
     across = near.join(by.withColumnRenamed("family", "f"), "f").join(by.select(F.col("family").alias("g"), F.col("head").alias("other")), "g")
     return inside.unionByName(across.select(*ordered("head", "other"))).distinct()
@@ -271,7 +278,7 @@ def link(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     groups = _groups(prefixed)
     forget(prefixed)
     lists = _lists(groups)
-    star = verified(docs, units, _star_pairs(lists, groups, members, percent), size, percent)
+    star = verified(docs, units, _star_pairs(lists, members, percent), size, percent)
     names = components(star)
     found = verified(docs, units, _cross_pairs(lists, groups, members, names, percent), size, percent)
     names = components(star.unionByName(found))
