@@ -2,11 +2,12 @@
 
 A text's signature is, for each of several universal hash functions (multiply and add, modulo
 2**64), the least value over its word shingles, computed in numpy for many texts at once. Bands of
-the signature are joined in Spark: each band's texts with one of them, and, while a band
-holds several classes, with another one in a second round: the pairs grow with the texts, never with
-the square of a band. Every pair is verified by the Jaccard similarity of the whole shingle sets
-before it links two texts. Classes are those of the verified pairs; the exact ones over all pairs
-are ``ngram_join.link``.
+the signature are joined in Spark: each band's texts with one of them first. Of a band that then still
+holds several classes, all texts outside the largest class are compared with all of the band: both
+sides are dealt into blocks, and two blocks of whole shingle sets meet in one numpy step that counts
+what any two share, so the pairs are never rows of a table. Every link is verified by the Jaccard
+similarity of the whole sets, and two texts over the limit that share a band are always in one class.
+The work in a band is texts outside times texts; classes over all pairs are ``ngram_join.link``.
 
 Defined cases: a null text counts as empty; texts without words share one signature, which agrees
 with no other's, and form no class. Fewer words than a shingle are one shingle. Equal texts have
@@ -24,17 +25,19 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mirepoix.llm.common import CHUNK_BYTES, bounded_broadcast, stored, texts
 from mirepoix.llm.components import components
-from mirepoix.llm.ngram_join import digest, ordered, verified
+from mirepoix.llm.ngram_join import digest, held_sets, ordered, verified
 from mirepoix.llm.wordhash import mix, shingle_hashes, unique_sorted, word_hashes
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 12, 5
-ROUNDS = 2
+# A block of a band's texts: at most about so many texts and shingles.
+BLOCK_ROWS, BLOCK_SHINGLES = 1_024, 1 << 20
+_COLUMNS = 4_096
 HASHES = 64
 _FACTORS = mix(np.arange(20_001, 20_001 + HASHES, dtype=np.uint64)) | np.uint64(1)
 _TERMS = mix(np.arange(30_001, 30_001 + HASHES, dtype=np.uint64))
@@ -147,6 +150,91 @@ def edited_signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return done.filter("held IS NULL").select(*keep).unionByName(rest.select(*keep))
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets have in common."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    sides = []
+    for sets in (left, right):
+        values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        known = np.isin(values, common)
+        at = np.searchsorted(common, values[known])
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], owner[known][order], len(sets)))
+    for start in range(0, len(common), _COLUMNS):
+        width = min(_COLUMNS, len(common) - start)
+        marks = []
+        for at, owner, n in sides:
+            a, b = np.searchsorted(at, (start, start + width))
+            marks.append(np.zeros((n, width), np.float32))
+            marks[-1][owner[a:b], at[a:b] - start] = 1
+        out += (marks[0] @ marks[1].T).astype(np.int64)
+    return out
+
+
+def _met(left: list[tuple], right: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Of the similar enough (unit, unit) between two blocks of (unit, part, set) so many that they join the same parts as all."""
+    if not left or not right:
+        return []
+    both = shared_counts([x[2] for x in left], [y[2] for y in right])
+    n, m = (np.array([len(r[2]) for r in side]) for side in (left, right))
+    parts, others = (np.array([r[1] for r in side], np.int64) for side in (left, right))
+    close = (100 * both >= percent * (n[:, None] + m[None] - both)) & (parts[:, None] != others[None])
+    root: dict[int, int] = {}
+    out = []
+    for i, j in zip(*np.nonzero(close), strict=True):
+        ends = []
+        for part in (left[i][1], right[j][1]):
+            while (up := root.get(part, part)) != part:
+                root[part] = root.get(up, up)
+                part = up
+            ends.append(part)
+        if ends[0] != ends[1]:
+            root[ends[0]] = ends[1]
+            out.append((min(left[i][0], right[j][0]), max(left[i][0], right[j][0])))
+    return out
+
+
+def _rest(docs: DataFrame, units: DataFrame, placed: DataFrame, size: int, percent: int) -> DataFrame:
+    """Stored links (a, b) between the parts of a bucket; ``placed`` has bucket, unit, n, part."""
+    def blocks(rows: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+    sizes = placed.groupBy("bucket", "part").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    mixed = sizes.groupBy("bucket").agg(
+        F.max(F.struct("c", "part", "w")).alias("main"), F.count("*").alias("parts"), F.sum("c").alias("c"), F.sum("w").alias("w")).filter("parts > 1")
+    mixed = mixed.select("bucket", F.col("main.part").alias("main"), blocks(F.col("c"), F.col("w")).alias("ours"),
+                         blocks(F.col("c") - F.col("main.c"), F.col("w") - F.col("main.w")).alias("theirs"))
+    placed = stored(placed.join(bounded_broadcast(stored(mixed, "mixed")), "bucket"), "left")
+    held = held_sets(docs, units, placed.select("unit").distinct(), size)
+
+    def one(count: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(11), "unit"), F.col(count)).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    outside = placed.filter("part <> main").select("unit", "bucket", "part", F.lit(True).alias("outside"), one("theirs").alias("i"), each("ours").alias("j"))
+    every = placed.select("unit", "bucket", "part", F.lit(False).alias("outside"), each("theirs").alias("i"), one("ours").alias("j"))
+    dealt = outside.unionByName(every).join(held, "unit").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sides, found = None, {True: [], False: []}, []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("bucket", "i", "j", "unit", "part", "outside"))
+            for (bucket, i, j, unit, part, side), held in zip(zip(*columns, strict=True), batch.column("held"), strict=True):
+                if block != (bucket, i, j):
+                    found += _met(sides[True], sides[False], percent)
+                    block, sides = (bucket, i, j), {True: [], False: []}
+                sides[side].append((unit, part, np.frombuffer(held.as_buffer(), np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+            found = []
+        found = _met(sides[True], sides[False], percent)
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return stored(dealt.mapInArrow(meet, "a bigint, b bigint").distinct(), "links")
+
+
 def near_duplicates(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(unit, class_id) for the shingle sets of more than one document's class; ``signed`` has doc_id, n, unit, signature.
 
@@ -154,20 +242,13 @@ def near_duplicates(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, per
     """
     units = signed.filter("n > 0").select("doc_id", "unit")
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("signature", 4 * ROWS * b + 1, 4 * ROWS)).alias("key")) for b in range(BANDS)])
-    rows = signed.filter("n > 0").select("unit", F.inline(bands)).select("unit", F.xxhash64("band", "key").alias("bucket"))
+    rows = signed.filter("n > 0").select("unit", "n", F.inline(bands)).select("unit", "n", F.xxhash64("band", "key").alias("bucket"))
     met = rows.groupBy("bucket").agg(F.min("unit").alias("head"), F.max("unit").alias("hi")).filter("head <> hi").select("bucket", "head")
     rows = stored(rows.join(met, "bucket").distinct(), "bands")
-    links = verified(docs, units, rows.filter("unit <> head").select(*ordered("unit", "head")).distinct(), size, percent)
-    names = components(links)
-    for turn in range(1, ROUNDS):
-        part = F.coalesce("component", "unit").alias("part")
-        placed = stored(rows.join(bounded_broadcast(names), F.col("unit") == F.col("node"), "left").select("bucket", "unit", part), "placed")
-        first = placed.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("unit", F.lit(turn)).alias("h"), "unit", "part")).alias("f"), F.min("part").alias("lo"), F.max("part").alias("hi"))
-        first = first.filter("lo <> hi").select("bucket", F.col("f.unit").alias("to"), F.col("f.part").alias("to_part"))
-        pairs = placed.join(first, "bucket").filter("part <> to_part").select(*ordered("unit", "to")).distinct()
-        links = links.unionByName(verified(docs, units, pairs, size, percent))
-        names = components(links)
+    star = verified(docs, units, rows.filter("unit <> head").select(*ordered("unit", "head")).distinct(), size, percent)
+    names = bounded_broadcast(components(star))
+    placed = rows.join(names, F.col("unit") == F.col("node"), "left").select("bucket", "unit", "n", F.coalesce("component", "unit").alias("part"))
+    names = components(star.unionByName(_rest(docs, units, stored(placed, "placed"), size, percent)))
     named = units.join(names, F.col("unit") == F.col("node"), "left").select("doc_id", "unit", F.coalesce("component", "unit").alias("component"))
     named = stored(named.groupBy("unit", "component").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "named")
     least = named.groupBy("component").agg(F.min("least").alias("class_id"), F.max("most").alias("most")).filter("class_id <> most")

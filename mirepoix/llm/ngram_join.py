@@ -181,10 +181,8 @@ def _viable(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return rows.filter(_enough(percent, F.size(F.array_intersect("prefix", "other")))).select("f", "g")
 
 
-def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The stored pairs (a, b) of units that are similar enough, by their whole sets."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
+def held_sets(docs: DataFrame, units: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(unit, held): the shingle sets of at least the ``wanted`` units, as bytes."""
     ids = stored(units.join(wanted, "unit").groupBy("unit").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "ids")
     chosen = texts(docs).join(bounded_broadcast(ids), "doc_id", "left_semi").select("text")
 
@@ -194,7 +192,14 @@ def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, per
                 yield pa.RecordBatch.from_arrays([
                     pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["unit", "held"])
 
-    held = chosen.mapInArrow(run, "unit bigint, held binary").dropDuplicates(["unit"])
+    return chosen.mapInArrow(run, "unit bigint, held binary").dropDuplicates(["unit"])
+
+
+def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The stored pairs (a, b) of units that are similar enough, by their whole sets."""
+    pairs = stored(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
+    held = held_sets(docs, units, wanted, size)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from brute import DOCS, deduped_lines, linked, rows_of
+from brute import DOCS, deduped_lines, linked, rows_of, shingles
 
 from mirepoix.llm import line_dedup, minhash, ngram_join
 from mirepoix.llm.components import components
@@ -73,6 +73,40 @@ def test_fingerprints_and_edits(spark, families):
     assert all(want[r["class_id"]] == want[i] for i, r in got.items())
 
 
+def _families_of_variants(seed, families, variants):
+    """Bases of 150 words; each variant is over 0.8 like its base, few are so like each other."""
+    draw, texts = random.Random(seed), []
+    for k in range(families):
+        base = [f"f{k}v{i}" for i in range(150)]
+        texts.append(" ".join(base))
+        for v in range(variants):
+            made = list(base)
+            for i in range(3):
+                made[draw.randrange(10 + 45 * i, 45 + 45 * i)] = f"x{k}.{v}.{i}"
+            texts.append(" ".join(made))
+    draw.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("block", [None, 16])
+def test_texts_over_the_limit_that_share_a_band_are_one_class(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
+    texts = _families_of_variants(11, 3, 80)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.fingerprints(spark.createDataFrame(rows_of(texts), DOCS)).collect()}
+    sets = [shingles(t, minhash.SHINGLE) for t in texts]
+    marks = minhash.signatures([t.encode() for t in texts])[0]
+    links = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            over = 100 * both >= minhash.PERCENT * (len(sets[i]) + len(sets[j]) - both)
+            if over and any((marks[i][c:c + minhash.ROWS] == marks[j][c:c + minhash.ROWS]).all() for c in range(0, minhash.BANDS * minhash.ROWS, minhash.ROWS)):
+                assert got[i] == got[j]
+                links += 1
+    assert links > 200
+
+
 def test_fingerprint_defined_cases(spark, awkward, no_docs):
     got = minhash.fingerprints(awkward).collect()
     assert len(got) == awkward.count()
