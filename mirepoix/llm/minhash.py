@@ -238,7 +238,7 @@ def _rest(docs: DataFrame, units: DataFrame, placed: DataFrame, size: int, perce
 def near_duplicates(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(unit, class_id) for the shingle sets of more than one document's class; ``signed`` has doc_id, n, unit, signature.
 
-    class_id is the smallest doc_id that verified links lead to.
+    class_id is the smallest doc_id that verified links lead to; rows with a null doc_id are compared like others.
     """
     units = signed.filter("n > 0").select("doc_id", "unit")
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("signature", 4 * ROWS * b + 1, 4 * ROWS)).alias("key")) for b in range(BANDS)])
@@ -250,8 +250,10 @@ def near_duplicates(docs: DataFrame, signed: DataFrame, size: int = SHINGLE, per
     placed = rows.join(names, F.col("unit") == F.col("node"), "left").select("bucket", "unit", "n", F.coalesce("component", "unit").alias("part"))
     names = components(star.unionByName(_rest(docs, units, stored(placed, "placed"), size, percent)))
     named = units.join(names, F.col("unit") == F.col("node"), "left").select("doc_id", "unit", F.coalesce("component", "unit").alias("component"))
-    named = stored(named.groupBy("unit", "component").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "named")
-    least = named.groupBy("component").agg(F.min("least").alias("class_id"), F.max("most").alias("most")).filter("class_id <> most")
+    named = stored(named.groupBy("unit", "component").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
+                                                               F.bool_or(F.col("doc_id").isNull()).alias("nameless")), "named")
+    least = named.groupBy("component").agg(F.min("least").alias("class_id"), F.max("most").alias("most"), F.bool_or("nameless").alias("nameless"))
+    least = least.filter("class_id <> most OR nameless")
     return named.join(least.select("component", "class_id"), "component").select("unit", "class_id")
 
 

@@ -183,8 +183,9 @@ def _viable(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 def held_sets(docs: DataFrame, units: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(unit, held): the shingle sets of at least the ``wanted`` units, as bytes."""
-    ids = stored(units.join(wanted, "unit").groupBy("unit").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "ids")
-    chosen = texts(docs).join(bounded_broadcast(ids), "doc_id", "left_semi").select("text")
+    ids = stored(units.join(wanted, "unit").groupBy("unit").agg(F.min("doc_id").alias("chosen")).select("chosen").distinct(), "ids")
+    # a set that only rows without doc_id have is chosen by null
+    chosen = texts(docs).join(bounded_broadcast(ids), F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -41,6 +41,18 @@ def test_link_defined_cases(spark, awkward, no_docs):
     assert sorted(r["doc_id"] for r in kept.filter("doc_id IS NOT NULL").collect()) == [0, 1, 2, 3, 4, 5, 5, 7, 8, 9, 10, 11]
 
 
+def test_a_row_without_id_links_its_neighbours(spark):
+    base = [f"v{i}" for i in range(150)]
+    ends = [" ".join("x" if i in other else w for i, w in enumerate(base)) for other in ((10, 40, 70), (20, 100, 130))]
+    rows = [(1, ends[0]), (2, ends[1]), (None, " ".join(base)), (3, "another text of its own words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    assert linked(rows[:2], 5, 80) == {1: (146, 1), 2: (146, 2)}
+    got = ngram_join.link(docs, 5, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, None: 1, 3: 3}
+    classes = minhash.fingerprints(docs).collect()
+    assert {r["doc_id"]: r["class_id"] for r in classes} == {1: 1, 2: 1, None: 1, 3: 3}
+
+
 def test_one_prefix_list_of_many_near_copies_is_not_paired_out(spark):
     base = [f"v{i}" for i in range(150)]
     draw, texts = random.Random(3), []
