@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 URL_REPUTATION = r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -82,3 +84,70 @@ SELECT s.doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n_exact, 0) A
            array_to_string([ls[(i + 1)::INT] FOR i IN range(len(ls)) IF NOT list_contains(ats, i)], chr(10)) END) AS kept_md5
 FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
 """
+
+_ORDERS = ", ".join(f"('{''.join(order)}')" for order in permutations("ABCDE"))
+FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), least AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text
+), known AS (SELECT doc_id, max((quality = 1)::INT) = 1 AS good, max((toxic = 1)::INT) = 1 AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN least < d.doc_id THEN 'E' ELSE '' END AS fails
+  FROM d JOIN least USING (text) LEFT JOIN known ON d.doc_id = known.doc_id
+), c AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL
+), step AS (
+  SELECT filter_order, unnest(range(1, 6))::INT AS step FROM (VALUES """ + _ORDERS + r""") t(filter_order)
+), place AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, left(filter_order, step - 1) AS before FROM step
+), seen AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS failing,
+         before <> '' AND length(translate(before, fails, '')) < length(before) AS gone
+  FROM c, place
+), counted AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (failing AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (failing AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (failing AND NOT gone AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (failing AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+), total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), run AS (
+  SELECT lang, k AS words, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM w, (VALUES (1), (2), (3)) size(k) WHERE len(w) >= k
+), f AS (SELECT lang, words, phrase, count(*) AS n FROM run GROUP BY ALL HAVING count(*) >= 10
+), cand AS (SELECT lang, words, phrase, n AS a, string_split(phrase, ' ') AS p FROM f WHERE words > 1
+), cut AS (SELECT *, unnest(range(1, words)) AS k FROM cand
+), scored AS (
+  SELECT c.lang, c.phrase, c.words, c.a, c.k, x.n AS l, y.n AS r,
+         (1000000::HUGEINT * c.a * c.a // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(p[1:k], ' ')
+             JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(p[k + 1:], ' ')
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(p[1:2], ' ') AS phrase FROM cand WHERE words = 3
+    UNION ALL SELECT lang, a, array_to_string(p[2:3], ' ') FROM cand WHERE words = 3) GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best b LEFT JOIN longer USING (lang, phrase) WHERE 100 * coalesce(longer, 0) < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

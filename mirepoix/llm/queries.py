@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirepoix.llm import line_dedup, minhash, multi_index, ngram_join, oracles, packing, pieces, pii, quality, toxicity, url_reputation
+from mirepoix.llm import (
+    collocations,
+    fertility,
+    filter_audit,
+    line_dedup,
+    minhash,
+    multi_index,
+    ngram_join,
+    oracles,
+    packing,
+    pieces,
+    pii,
+    quality,
+    toxicity,
+    url_reputation,
+)
 from mirepoix.llm.common import read
 
 
@@ -51,6 +66,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+def op13_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_multi_index": op1_multi_index,
@@ -63,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_neighbourhoods": op8_line_neighbourhoods,
         "op9_pii_spans": op9_pii_spans,
         "op10_quality": op10_quality,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_collocations": op12_collocations,
+        "op13_fertility": op13_fertility,
     }
 
 
@@ -70,4 +100,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_reputation": oracles.URL_REPUTATION,
         "op8_line_neighbourhoods": oracles.LINE_DEDUP,
+        "op11_filter_audit": oracles.FILTER_AUDIT,
+        "op12_collocations": oracles.COLLOCATIONS,
     }
