@@ -34,22 +34,21 @@ from mirepoix.llm.wordcodes import following, run_keys, word_codes
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 # Bytes of one language's text that are combined at once, and pointers that are sorted at once.
-COMBINE_BYTES = 8 << 20
-BLOCK_ROWS = 1 << 19
-_OUT_ROWS = 1 << 16
-_SUFFIXES = "lang string, phrase string, words int, n bigint"
+COMBINE_BYTES = 4 << 20
+BLOCK_ROWS = 1 << 18
+_OUT_ROWS = 1 << 14
+_COUNTED = "lang string, phrase string, n bigint"
 _INSIDE = np.ones(256, bool)
 _INSIDE[list(BREAKS + BLANKS)] = False
-_BREAK = np.zeros(256, np.int64)
-_BREAK[list(BREAKS)] = 1
+_BREAK = np.zeros(256, bool)
+_BREAK[list(BREAKS)] = True
 
 
-def _rows(lang: pa.Array | str, phrase: pa.Array, words: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _rows(lang: pa.Array | str, phrase: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
     size = len(phrase)
     langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64))) if isinstance(lang, str) else lang
     whole = pa.RecordBatch.from_arrays([
-        langs.cast(pa.string()), phrase.cast(pa.string()), pa.array(words, pa.int32()), pa.array(n, pa.int64())],
-        ["lang", "phrase", "words", "n"])
+        langs.cast(pa.string()), phrase.cast(pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "n"])
     for at in range(0, size, _OUT_ROWS):
         yield whole.slice(at, _OUT_ROWS)
 
@@ -61,31 +60,33 @@ def _joined(words: pa.Array, columns: np.ndarray) -> pa.Array:
 
 
 def combined(lang: str, texts: list[bytes], most: int) -> Iterator[pa.RecordBatch]:
-    """All words (as 0 words), every word and every suffix of two words and more, with their counts in these texts."""
+    """The number of words (the empty phrase), every word and every suffix of two words and more, with their counts in these texts."""
     data = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
-    inside = np.concatenate([[False], _INSIDE[data], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    inside = _INSIDE[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return
-    codes, words = word_codes(data, starts, ends)
-    yield from _rows(lang, pa.array([""]), np.zeros(1, np.int32), np.array([len(codes)]))
-    yield from _rows(lang, words, np.ones(len(words), np.int32), np.bincount(codes, minlength=len(words)))
-    columns = following(codes, np.cumsum(_BREAK[data])[starts], most)
+    codes, words = word_codes(data, inside, starts, ends)
+    yield from _rows(lang, pa.array([""]), np.array([len(codes)]))
+    yield from _rows(lang, words, np.bincount(codes, minlength=len(words)))
+    columns = following(codes, np.cumsum(_BREAK[data], dtype=np.int32)[starts], most)
     columns = columns[:, columns[1] >= 0] if most > 1 else columns[:, :0]
     _, first, n = np.unique(run_keys(columns), return_index=True, return_counts=True)
     columns = columns[:, first]
-    yield from _rows(lang, _joined(words, columns), (columns >= 0).sum(0), n)
+    yield from _rows(lang, _joined(words, columns), n)
 
 
 def suffixes(docs: DataFrame, most: int) -> DataFrame:
-    """(lang, phrase, words, n): the suffixes of all texts, counted within parts of the table."""
+    """(lang, phrase, n): the suffixes of all texts, counted within parts of the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
         total = 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
+            column = batch.column("text")
+            for k, lang in enumerate(batch.column("lang").to_pylist()):
+                text = column[k].as_buffer().to_pybytes()
                 held.setdefault(lang, []).append(text)
                 sizes[lang] = sizes.get(lang, 0) + len(text)
                 total += len(text)
@@ -97,7 +98,7 @@ def suffixes(docs: DataFrame, most: int) -> DataFrame:
             yield from combined(lang, kept, most)
 
     lang, text = (F.coalesce(F.col(c).cast("string"), F.lit(d)).alias(c) for c, d in (("lang", "und"), ("text", "")))
-    return docs.select(lang, text).mapInArrow(run, _SUFFIXES)
+    return docs.select(lang, text).mapInArrow(run, _COUNTED)
 
 
 def equal_partitions(columns: np.ndarray, weights: np.ndarray, cuts: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -149,7 +150,9 @@ def _counted(block: pa.Table, most: int, least: int) -> Iterator[pa.RecordBatch]
     route = block.column("route").to_numpy()
     weights = block.column("n").to_numpy()
     cuts = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
-    words = block.column("words").to_numpy()
+    phrases = block.column("phrase")
+    blanks = pc.count_substring(phrases, " ").to_numpy().astype(np.int64)
+    words = np.where(pc.equal(phrases, "").to_numpy(), 0, blanks + 1)
     heavy = np.repeat(np.add.reduceat(weights, cuts) >= least, np.diff(np.append(cuts, len(route))))
     heavy |= words == 0
     block, route, words = block.filter(pa.array(heavy)), route[heavy], words[heavy]
@@ -178,12 +181,12 @@ def _counted(block: pa.Table, most: int, least: int) -> Iterator[pa.RecordBatch]
             if depth < kind:
                 continue
             phrase = _joined(terms, columns[1:depth + 1, pointers]) if depth else pa.array([""] * len(pointers))
-            yield from _rows(langs.dictionary.take(pa.array(lang[pointers])), phrase, np.full(len(pointers), depth), n)
+            yield from _rows(langs.dictionary.take(pa.array(lang[pointers])), phrase, n)
 
 
 def _equal_as_one(rows: pa.Table) -> pa.Table:
-    return rows.group_by(["lang", "phrase", "words", "route"]).aggregate([("n", "sum")]).rename_columns(
-        ["lang", "phrase", "words", "route", "n"]).select(rows.column_names)
+    return rows.group_by(["lang", "phrase", "route"]).aggregate([("n", "sum")]).rename_columns(
+        ["lang", "phrase", "route", "n"]).select(rows.column_names)
 
 
 def phrase_counts(docs: DataFrame, most: int = 3, least: int = 10) -> DataFrame:
@@ -191,9 +194,9 @@ def phrase_counts(docs: DataFrame, most: int = 3, least: int = 10) -> DataFrame:
 
     Words and phrases are counted with overlaps within pieces; the empty phrase of 0 words counts all words.
     """
-    lead = F.when(F.col("words") > 1, F.substring_index("phrase", " ", 2)).otherwise(F.col("phrase"))
-    routed = suffixes(docs, most).withColumn("route", F.xxhash64("lang", lead, F.least("words", F.lit(2))))
-    routed = routed.repartition("route").sortWithinPartitions("route")
+    route = F.xxhash64("lang", F.substring_index("phrase", " ", 2))
+    # made again behind the shuffle: the number would not compress
+    routed = suffixes(docs, most).repartition(route).withColumn("route", route).sortWithinPartitions("route")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, full = [], 0, BLOCK_ROWS
@@ -215,7 +218,8 @@ def phrase_counts(docs: DataFrame, most: int = 3, least: int = 10) -> DataFrame:
         if rows:
             yield from _counted(pa.Table.from_batches(held), most, least)
 
-    return stored(routed.mapInArrow(run, _SUFFIXES), "phrases")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return stored(routed.mapInArrow(run, _COUNTED).select("lang", "phrase", words.alias("words"), "n"), "phrases")
 
 
 def _parts(phrase: Column, words: Column) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from mirepoix.llm import packing, pieces
 from mirepoix.llm.common import bounded_broadcast, stored, text_chunks
 from mirepoix.llm.wordcodes import following, run_keys, word_codes
-from mirepoix.llm.wordhash import word_spans
+from mirepoix.llm.wordhash import WHITE, word_spans
 
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS = b"#*$%&|<>"
@@ -59,9 +59,7 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Rows of ``_COUNTS`` for each text, and its code points."""
     texts = len(offsets) - 1
     starts, ends, owner = word_spans(data, offsets)
-    inside = np.zeros(len(data) + 1, np.int64)
-    np.add.at(inside, starts, 1)
-    np.add.at(inside, ends, -1)
+    inside = ~WHITE[data]
     opens = (data & 0xC0) != 0x80
     raw, dup = data.tobytes(), np.zeros(texts, np.int64)
     for k in range(texts):
@@ -69,7 +67,7 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         dup[k] = len(lines) - len(set(lines))
     repeat = np.zeros(texts, np.int64)
     if len(starts):
-        columns = following(word_codes(data, starts, ends)[0], owner, 3)
+        columns = following(word_codes(data, inside, starts, ends)[0], owner, 3)
         whole = np.flatnonzero(columns[2] >= 0) if len(starts) > 2 else np.zeros(0, np.int64)
         _, which, n = np.unique(run_keys(np.vstack([owner[whole], columns[:, whole]])), return_inverse=True, return_counts=True)
         again = whole[n[which] > 1]
@@ -78,7 +76,7 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
             covered[again + j] = True
         repeat = np.bincount(owner[covered], minlength=texts)
     return np.array([
-        np.bincount(owner, minlength=texts), _per_text(opens & (np.cumsum(inside[:-1]) > 0), offsets),
+        np.bincount(owner, minlength=texts), _per_text(opens & inside, offsets),
         _per_text(_SYMBOL[data], offsets), dup, repeat]), _per_text(opens, offsets)
 
 

@@ -6,18 +6,12 @@ import numpy as np
 import pyarrow as pa
 
 
-def word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The words between ``starts`` and ``ends`` as a string array; nothing but words may be set in ``data`` there."""
-    sizes = ends - starts
+def word_codes(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A code per word, equal for equal words, and the word of each code; ``inside`` marks the bytes of words."""
     offsets = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(sizes, out=offsets[1:])
-    at = np.arange(int(offsets[-1])) + np.repeat(starts - offsets[:-1], sizes)
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at])))
-
-
-def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """A code per word, equal for equal words, and the word of each code."""
-    coded = word_array(data, starts, ends).dictionary_encode()
+    np.cumsum(ends - starts, out=offsets[1:])
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[inside]))
+    coded = words.dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 

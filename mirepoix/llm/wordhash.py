@@ -6,8 +6,8 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_WHITE = np.zeros(256, bool)
-_WHITE[[32, 9, 10, 11, 12, 13]] = True
+WHITE = np.zeros(256, bool)
+WHITE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
@@ -49,7 +49,7 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and text numbers of all words: runs of bytes other than blanks and tab to CR."""
-    inside = ~_WHITE[data]
+    inside = ~WHITE[data]
     breaks = np.zeros(len(data) + 1, bool)
     breaks[offsets] = True
     before = np.ones(len(data) + 1, bool)
