@@ -59,43 +59,43 @@ def strip_space(text: Column) -> Column:
 # Unicode noncharacters, reserved for use inside a program: they mark the matches.
 # A text must not bring its own, so they are taken out of it first.
 _MATCH, _GROUP = "\ufdd0", "\ufdd1"
+EDGE = _MATCH
 
 
-def _without_marks(text: Column) -> Column:
+def without_marks(text: Column) -> Column:
+    """The text without the marks that ``regex_sub_compute`` sets; ``text`` should be bound."""
     found = text.contains(_MATCH) | text.contains(_GROUP)
     return F.when(found, F.translate(text, _MATCH + _GROUP, "")).otherwise(text)
 
 
 def regex_sub_compute(
-    text: Column, pattern: str, groups: Sequence[int], fn: Callable[..., Column]
+    text: Column, pattern: str, groups: Sequence[int], fn: Callable[..., Column], marks: bool = True
 ) -> Column:
     """Replace every match of ``pattern`` by a value computed from its groups.
 
     ``fn`` gets one column per entry of ``groups`` (0 is the whole match). One
     ``regexp_replace`` puts marks around the wanted groups of each match; cut at
     the marks, every second piece is a match. The pattern is compiled once per
-    task and runs once over the text.
+    task and runs once over the text. ``marks=False``: the text has no marks of its
+    own, as the outcome of an earlier replacement has not.
+
+    Every bound variable costs the analyser rounds, which add up over a chain of
+    replacements: nothing is bound here but the pieces.
     """
     template = _MATCH + _GROUP.join(f"${g}" for g in groups) + _MATCH
 
     def computed(piece: Column) -> Column:
         if len(groups) == 1:
             return fn(piece)
-        return let(
-            F.split(piece, _GROUP), lambda g: fn(*[F.get(g, i) for i in range(len(groups))])
-        )
-
-    def rebuilt(marked: Column, original: Column) -> Column:
-        pieces = F.transform(
-            F.split(marked, _MATCH),
-            lambda p, i: F.when(i % 2 == 1, computed(p)).otherwise(p),
-        )
-        return F.when(marked.contains(_MATCH), F.array_join(pieces, "")).otherwise(original)
+        cut = F.split(piece, _GROUP)
+        return fn(*[F.get(cut, i) for i in range(len(groups))])
 
-    return let(
-        let(text, _without_marks),
-        lambda t: let(F.regexp_replace(t, pattern, template), lambda m: rebuilt(m, t)),
+    clean = let(text, without_marks) if marks else text
+    pieces = F.transform(
+        F.split(F.regexp_replace(clean, pattern, template), _MATCH),
+        lambda p, i: F.when(i % 2 == 1, computed(p)).otherwise(p),
     )
+    return F.array_join(pieces, "")
 
 
 _SPLITTER = 134217729.0  # 2**27 + 1: cuts a double into two halves of 26 bits
@@ -110,7 +110,8 @@ def round_exact(value: Column, digits: int) -> Column:
     """
     scale = float(10**digits)
 
-    def rounded(x: Column, scaled: Column) -> Column:
+    def rounded(x: Column) -> Column:
+        scaled = x * scale
         wide = x * _SPLITTER
         high = wide - (wide - x)
         error = (high * scale - scaled) + (x - high) * scale
@@ -123,7 +124,7 @@ def round_exact(value: Column, digits: int) -> Column:
         )
         return F.when(F.abs(scaled) < 1e15, whole / scale).otherwise(x)
 
-    return let(value, lambda x: let(x * scale, lambda s: rounded(x, s)))
+    return let(value, rounded)
 
 
 def plain_number(value: Column) -> Column:
@@ -131,8 +132,8 @@ def plain_number(value: Column) -> Column:
 
     An exponent is written only below 0.0001 and from 1e16 on, as ``5e-05``.
     """
-    def written(text: Column) -> Column:
-        size = F.abs(value)
+    def written(value: Column) -> Column:
+        text, size = value.cast("string"), F.abs(value)
         places = F.when(size < 1, value.try_cast("decimal(38,30)").cast("string")).otherwise(
             value.try_cast("decimal(38,10)").cast("string")
         )
@@ -150,7 +151,7 @@ def plain_number(value: Column) -> Column:
             .otherwise(F.coalesce(F.regexp_replace(places, r"(\.\d+?)0+$", "$1"), text))
         )
 
-    return let(value.cast("string"), written)
+    return let(value, written)
 
 
 def whole_number(value: Column) -> Column:
@@ -166,11 +167,6 @@ def title_case(text: Column) -> Column:
     )
 
 
-def quote_regex(text: Column) -> Column:
-    """Escape a literal so that it can be put into a pattern."""
-    return F.regexp_replace(text, r"([^\p{L}\p{N}_ ])", r"\\$1")
-
-
 def no_strings() -> Column:
     return F.array().cast("array<string>")
 
@@ -183,7 +179,7 @@ def surplus(items: Column) -> Column:
 
 
 def number_copies(ordered: Column) -> Column:
-    """Number equal neighbours of a sorted list: ``[a, a, b]`` becomes ``[a 1, a 2, b 1]``.
+    """Number equal neighbours of a sorted list: ``[a, a, b]`` becomes hashes of ``a 1, a 2, b 1``.
 
     Turns a multiset into a set, so that the hash-based array functions can be
     used on it. Only the run starts are looked up by index, so it is linear.
@@ -194,7 +190,7 @@ def number_copies(ordered: Column) -> Column:
                 starts,
                 lambda at, k: F.transform(
                     F.sequence(F.lit(1), F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at),
-                    lambda j: F.concat(F.get(ordered, at), F.lit("\n"), j.cast("string")),
+                    lambda j: F.xxhash64(F.get(ordered, at), j),
                 ),
             )
         )
@@ -203,11 +199,11 @@ def number_copies(ordered: Column) -> Column:
         F.sequence(F.lit(0), F.size(ordered) - 1),
         lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
     )
-    return F.when(F.size(ordered) > 0, let(starts, runs)).otherwise(no_strings())
+    return F.when(F.size(ordered) > 0, let(starts, runs)).otherwise(F.array().cast("array<bigint>"))
 
 
 def common_count(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection of two string arrays.
+    """Size of the multiset intersection of two arrays.
 
     Distinct common elements are counted by hashing. What copies add is counted
     on the surplus copies alone, and only if both sides have any.

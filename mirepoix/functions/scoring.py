@@ -15,14 +15,15 @@ from pyspark.sql.types import DoubleType
 
 from mirepoix import lookups
 from mirepoix.functions.core import (
+    EDGE,
     as_column,
     common_count,
     let,
     no_strings,
-    quote_regex,
     single_spaced,
     split_words,
     strip_space,
+    without_marks,
 )
 
 # --- BLEU --------------------------------------------------------------------
@@ -48,29 +49,37 @@ TREEBANK_RULES = (
     (r"\b(got)(ta)\b", "$1 $2"),
 )
 
+# The same words in fewer passes: signs that are cut off on both sides go together where no rule
+# between them can tell the difference, and so do the joined words.
+_PASSES = (
+    *TREEBANK_RULES[:3],
+    (r"\.\.\.|[;@#$%&]", " $0 "),
+    *TREEBANK_RULES[5:8],
+    (r"[\[\](){}<>]|--", " $0 "),
+    *TREEBANK_RULES[10:12],
+    (r"\b(can(?=not\b)|(?:gim|lem)(?=me\b)|(?:gon|wan)(?=na\b)|got(?=ta\b))", "$1 "),
+)
+
 
 def bleu_tokens(text: Column | str) -> Column:
     """Lower-cased Treebank tokens: decimals, fractions, hyphenated words and ``...`` stay whole."""
     rest = F.lower(single_spaced(as_column(text)))
-    for pattern, replacement in TREEBANK_RULES:
+    for pattern, replacement in _PASSES:
         rest = F.regexp_replace(rest, pattern, replacement)
     return F.filter(F.split(rest, " +"), lambda w: w != "")
 
 
 def longer_ngrams(grams: Column, tokens: Column, n: int) -> Column:
-    """n-grams from (n-1)-grams: each one extended by the next token."""
+    """n-grams from (n-1)-grams: each one extended by the next token. All are 64-bit hashes."""
     count = F.size(tokens) - (n - 1)
     return F.when(
         count > 0,
-        F.zip_with(
-            F.slice(grams, F.lit(1), count), F.slice(tokens, F.lit(n), count),
-            lambda g, t: F.concat(g, F.lit(" "), t),
-        ),
-    ).otherwise(no_strings())
+        F.zip_with(F.slice(grams, F.lit(1), count), F.slice(tokens, F.lit(n), count), lambda g, t: F.xxhash64(g, t)),
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def all_ngrams(tokens: Column) -> Column:
-    """The n-grams for n = 1 to 4, one array per n."""
+    """The n-grams for n = 1 to 4 of hashed tokens, one array per n."""
     return let(
         longer_ngrams(tokens, tokens, 2),
         lambda two: let(
@@ -89,7 +98,8 @@ def bleu(reference: Column | str, generated: Column | str) -> Column:
     """Sentence BLEU-4 with uniform weights.
 
     No unigram match gives 0; a higher order without match counts 0.1 matches.
-    The multisets of n-grams are intersected inside the row.
+    The multisets of n-grams, as 64-bit hashes, are intersected inside the row. A column
+    against itself, by name, is cut into tokens once.
     """
     def combined(hits: Column, ref: Column, gen: Column) -> Column:
         logs = F.transform(
@@ -110,9 +120,13 @@ def bleu(reference: Column | str, generated: Column | str) -> Column:
             let(clipped_matches(ref, gen), lambda h: combined(h, ref, gen))
         )
 
-    return let(
-        bleu_tokens(reference), lambda r: let(bleu_tokens(generated), lambda g: score(r, g))
-    )
+    def hashed(text: Column | str) -> Column:
+        return F.transform(bleu_tokens(text), lambda t: F.xxhash64(t))
+
+    if isinstance(reference, str) and reference == generated:
+        return let(hashed(reference), lambda t: score(t, t))
+    both = F.struct(hashed(reference).alias("r"), hashed(generated).alias("g"))
+    return let(both, lambda b: score(b.getField("r"), b.getField("g")))
 
 
 # --- character similarity ----------------------------------------------------
@@ -185,15 +199,22 @@ def extract_ingredients(text: Column | str) -> Column:
     )
 
 
-def ingredient_is_used(ingredient: Column, lower_text: Column) -> Column:
+def _with_edges(text: Column) -> Column:
+    """The text with a mark at each edge of a word: a whole-word search becomes a plain one."""
+    return F.regexp_replace(without_marks(text), r"\b", EDGE)
+
+
+def ingredient_is_used(ingredient: Column, marked_text: Column) -> Column:
     """The whole name occurs, or one of its telling words does.
 
-    The name is tried with a plain substring test before any regex is built.
+    ``marked_text`` has its word edges marked, and so get the terms; one that has no edge at an end
+    of its own needs one in the text. No pattern is built from a term.
     """
     def occurs(term: Column) -> Column:
-        return lower_text.contains(term) & F.rlike(
-            lower_text, F.concat(F.lit(r"\b"), quote_regex(term), F.lit(r"\b"))
-        )
+        marked = _with_edges(term)
+        before = F.when(marked.startswith(EDGE), F.lit("")).otherwise(F.lit(EDGE))
+        after = F.when(marked.endswith(EDGE) | (term == ""), F.lit("")).otherwise(F.lit(EDGE))
+        return marked_text.contains(F.concat(before, marked, after))
 
     telling = F.filter(
         split_words(ingredient),
@@ -217,13 +238,13 @@ def ingredient_coverage(ingredients: Column | str, generated: Column | str) -> C
         )
 
     names = F.transform(as_column(ingredients), lambda i: strip_space(F.lower(i)))
+    # without a name to look for, the text is not searched for word edges
+    marked = F.when(F.size(as_column(ingredients)) > 0, _with_edges(F.lower(as_column(generated))))
     return let(
-        names,
-        lambda n: let(
-            F.lower(as_column(generated)),
-            lambda t: let(
-                F.filter(n, lambda i: ingredient_is_used(i, t)), lambda used: result(n, used)
-            ),
+        F.struct(names.alias("n"), marked.alias("t")),
+        lambda s: let(
+            F.filter(s.getField("n"), lambda i: ingredient_is_used(i, s.getField("t"))),
+            lambda used: result(s.getField("n"), used),
         ),
     )
 
@@ -319,12 +340,9 @@ def allergen_score(text: Column | str) -> Column:
             warned.alias("has_safety_warnings"),
         )
 
-    return let(
-        extract_allergens(text),
-        lambda f: let(
-            substitution_count(text), lambda s: let(safety_warning(text), lambda w: result(f, s, w))
-        ),
-    )
+    found = F.struct(
+        extract_allergens(text).alias("f"), substitution_count(text).alias("s"), safety_warning(text).alias("w"))
+    return let(found, lambda x: result(x.getField("f"), x.getField("s"), x.getField("w")))
 
 
 # --- everything --------------------------------------------------------------
@@ -346,13 +364,10 @@ def recipe_metrics(reference: Column | str, generated: Column | str) -> Column:
             allergy.alias("allergen_handling"),
         )
 
-    return let(
-        ingredient_coverage(extract_ingredients(reference), generated),
-        lambda c: let(
-            temperature_score(generated),
-            lambda t: let(allergen_score(generated), lambda a: combined(c, t, a)),
-        ),
-    )
+    parts = F.struct(
+        ingredient_coverage(extract_ingredients(reference), generated).alias("c"),
+        temperature_score(generated).alias("t"), allergen_score(generated).alias("a"))
+    return let(parts, lambda p: combined(p.getField("c"), p.getField("t"), p.getField("a")))
 
 
 # --- structure ---------------------------------------------------------------

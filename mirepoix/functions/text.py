@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from mirepoix import lookups
-from mirepoix.functions.core import as_column, let, regex_sub_compute, split_words, strip_space
+from mirepoix.functions.core import as_column, let, regex_sub_compute, split_words, strip_space, without_marks
 
 _LITERAL_OPTIONS = {
     "allowSingleQuotes": "true",
@@ -34,11 +34,17 @@ def _surrogates(code: Column) -> Column:
 
 def _json_escapes(text: Column) -> Column:
     """A Python list literal with the escapes and the bare None that JSON writes otherwise."""
-    text = let(text, lambda t: F.when(t.contains("\\x"), F.regexp_replace(t, _EVEN + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")).otherwise(t))
-    text = let(text, lambda t: F.when(t.contains("\\U"), regex_sub_compute(
-        t, _EVEN + r"\\U(00(?:0[0-9a-fA-F]|10)[0-9a-fA-F]{4})", [1, 2], lambda before, code: F.concat(before, _surrogates(code)))).otherwise(t))
-    return let(text, lambda t: F.when(t.contains("None"), regex_sub_compute(
-        t, _QUOTED_OR_NONE, [0], lambda piece: F.when(piece == "None", F.lit("null")).otherwise(piece))).otherwise(t))
+    def rewritten(t: Column) -> Column:
+        # no step makes or removes the sign that calls for the next one
+        short = F.when(t.contains("\\x"), F.regexp_replace(t, _EVEN + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")).otherwise(t)
+        long = F.when(t.contains("\\U"), regex_sub_compute(
+            without_marks(short), _EVEN + r"\\U(00(?:0[0-9a-fA-F]|10)[0-9a-fA-F]{4})", [1, 2],
+            lambda before, code: F.concat(before, _surrogates(code)), marks=False)).otherwise(short)
+        return F.when(t.contains("None"), regex_sub_compute(
+            without_marks(long), _QUOTED_OR_NONE, [0],
+            lambda piece: F.when(piece == "None", F.lit("null")).otherwise(piece), marks=False)).otherwise(long)
+
+    return let(text, rewritten)
 
 
 def parse_string_list(text: Column | str, strict: bool = False) -> Column:

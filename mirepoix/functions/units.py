@@ -23,6 +23,7 @@ from mirepoix.functions.core import (
     round_exact,
     single_spaced,
     whole_number,
+    without_marks,
 )
 
 UNITS = list(lookups.UNIT_CATEGORIES)
@@ -56,44 +57,46 @@ def _is_hot(number: Column) -> Column:
     return number.cast("double") > lookups.FAHRENHEIT_ABOVE
 
 
-def temp_explicit_c(text: Column | str) -> Column:
-    return regex_sub_compute(as_column(text), lookups.CELSIUS_EXPLICIT, [1], _truncated)
+def temp_explicit_c(text: Column | str, marks: bool = True) -> Column:
+    return regex_sub_compute(as_column(text), lookups.CELSIUS_EXPLICIT, [1], _truncated, marks)
 
 
-def temp_attached_c(text: Column | str) -> Column:
-    return regex_sub_compute(as_column(text), lookups.CELSIUS_ATTACHED, [1], _truncated)
+def temp_attached_c(text: Column | str, marks: bool = True) -> Column:
+    return regex_sub_compute(as_column(text), lookups.CELSIUS_ATTACHED, [1], _truncated, marks)
 
 
-def temp_explicit_f(text: Column | str) -> Column:
-    return regex_sub_compute(as_column(text), lookups.FAHRENHEIT_EXPLICIT, [1], _converted)
+def temp_explicit_f(text: Column | str, marks: bool = True) -> Column:
+    return regex_sub_compute(as_column(text), lookups.FAHRENHEIT_EXPLICIT, [1], _converted, marks)
 
 
-def temp_attached_f(text: Column | str) -> Column:
-    return regex_sub_compute(as_column(text), lookups.FAHRENHEIT_ATTACHED, [1], _converted)
+def temp_attached_f(text: Column | str, marks: bool = True) -> Column:
+    return regex_sub_compute(as_column(text), lookups.FAHRENHEIT_ATTACHED, [1], _converted, marks)
 
 
-def temp_bare_degrees(text: Column | str) -> Column:
+def temp_bare_degrees(text: Column | str, marks: bool = True) -> Column:
     return regex_sub_compute(
         as_column(text), lookups.BARE_DEGREES, [0, 1],
         lambda whole, n: F.when(_is_hot(n), _converted(n)).otherwise(whole),
+        marks,
     )
 
 
-def _temp_after(text: Column, pattern: str) -> Column:
+def _temp_after(text: Column, pattern: str, marks: bool) -> Column:
     return regex_sub_compute(
         text, pattern, [0, 1, 2],
         lambda whole, context, n: F.when(
             _is_hot(n), F.concat(context, F.lit(" "), _converted(n))
         ).otherwise(whole),
+        marks,
     )
 
 
-def temp_context(text: Column | str) -> Column:
-    return _temp_after(as_column(text), lookups.OVEN_CONTEXT)
+def temp_context(text: Column | str, marks: bool = True) -> Column:
+    return _temp_after(as_column(text), lookups.OVEN_CONTEXT, marks)
 
 
-def temp_bake_at(text: Column | str) -> Column:
-    return _temp_after(as_column(text), lookups.BAKE_CONTEXT)
+def temp_bake_at(text: Column | str, marks: bool = True) -> Column:
+    return _temp_after(as_column(text), lookups.BAKE_CONTEXT, marks)
 
 
 TEMPERATURE_RULES = (
@@ -107,8 +110,8 @@ def standardize_temperature(text: Column | str) -> Column:
     return let(
         as_column(text),
         lambda t: F.when(
-            t.rlike(r"\d"), reduce(lambda acc, rule: rule(acc), TEMPERATURE_RULES, t)
-        ).otherwise(t),
+            t.rlike(r"\d"), reduce(lambda acc, rule: rule(acc, marks=False), TEMPERATURE_RULES, without_marks(t))
+        ).otherwise(without_marks(t)),
     )
 
 
@@ -119,18 +122,20 @@ def _cm(inches: Column) -> Column:
     return plain_number(round_exact(inches.cast("double") * F.lit(lookups.INCH_IN_CM), 1))
 
 
-def dim_to_cm(text: Column | str) -> Column:
+def dim_to_cm(text: Column | str, marks: bool = True) -> Column:
     """``9x13`` as ``22.9x33.0 cm``."""
     return regex_sub_compute(
         as_column(text), lookups.DIMENSIONS, [1, 2],
         lambda a, b: F.concat(_cm(a), F.lit("x"), _cm(b), F.lit(" " + lookups.CM)),
+        marks,
     )
 
 
-def inch_to_cm(text: Column | str) -> Column:
+def inch_to_cm(text: Column | str, marks: bool = True) -> Column:
     return regex_sub_compute(
         as_column(text), lookups.INCHES, [1],
         lambda a: F.concat(_cm(a), F.lit(" " + lookups.CM)),
+        marks,
     )
 
 
@@ -357,28 +362,30 @@ def _measure(found: Column) -> Column:
             .otherwise(number(0))
         )
         # NULL value: a zero denominator, the words stay; NULL unit: a bare fraction
-        return let(value, lambda v: F.coalesce(
-            convert_unit(v, unit), plain_number(v), F.get(parts, 0)))
+        return F.coalesce(convert_unit(value, unit), plain_number(value), F.get(parts, 0))
 
     # the words before the first TAB, then the corrected unit if there is one
     return let(F.split(found, "\t"), written)
 
 
-def scan_measures(text: Column | str) -> Column:
+def scan_measures(text: Column | str, marks: bool = True) -> Column:
     """The token scan: fractions, ranges and numbers with units, corrected terms."""
     spaced = single_spaced(F.lower(as_column(text)))
-    marked = regex_sub_compute(spaced, CANDIDATE, [0], _mark)
-    measured = regex_sub_compute(marked, MEASURES, [0], _measure)
+    marked = regex_sub_compute(spaced, CANDIDATE, [0], _mark, marks)
+    measured = regex_sub_compute(marked, MEASURES, [0], _measure, marks=False)
     return F.translate(
         F.regexp_replace(measured, r"(?<![^ ])[^ \t]++\t([^\t]*+)\tU?", "$1"), "\n", " "
     )
 
 
+def _whole(text: Column | str) -> Column:
+    temperatures = standardize_temperature(text)
+    return scan_measures(inch_to_cm(dim_to_cm(temperatures, marks=False), marks=False), marks=False)
+
+
 @cache
 def _standardized(name: str, session: int) -> Column:
-    return let(
-        standardize_temperature(name), lambda t: scan_measures(inch_to_cm(dim_to_cm(t)))
-    )
+    return _whole(name)
 
 
 def standardize_units(text: Column | str) -> Column:
@@ -388,6 +395,4 @@ def standardize_units(text: Column | str) -> Column:
     """
     if isinstance(text, str):
         return _standardized(text, id(SparkContext._gateway))
-    return let(
-        standardize_temperature(text), lambda t: scan_measures(inch_to_cm(dim_to_cm(t)))
-    )
+    return _whole(text)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mirepoix.functions import prompts, scoring
+from mirepoix.functions.core import single_spaced, split_words
 
 CASES = [
     # case, reference, generated, (used, total), (valid, invalid), allergens, swaps, warned, allergen score, composite
@@ -220,3 +221,37 @@ def test_prompts_and_verdicts(spark):
     assert row.c5.score == 0 and row.c5.reasoning.startswith("Judge Error")
     assert tuple(row.c6) == (0, "no score")
     assert row.c7 == "Create a detailed recipe for pie."
+
+
+def test_fewer_passes_give_the_words_of_the_rules(spark):
+    draw = random.Random(1)
+    parts = ["a", "b1", "can", "not", "cannot", "gimme", "gonna", "got", "ta", "gotta", " ", "  ", " ", ".", "...", "!", "?", "'", "''",
+             "'s", "n't", "'ll", '"', "(", ")", "[", "]", "{", "}", "<", ">", "-", "--", ",", ":", ";", "&", "%", "1", "/", "é", "`"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(30_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rest = F.lower(single_spaced(F.col("t")))
+    for pattern, replacement in scoring.TREEBANK_RULES:
+        rest = F.regexp_replace(rest, pattern, replacement)
+    ruled = F.filter(F.split(rest, " +"), lambda w: w != "")
+    assert df.filter(ruled != scoring.bleu_tokens("t")).take(1) == []
+
+
+def test_whole_words_are_found_as_a_pattern_finds_them(spark):
+    draw = random.Random(2)
+    parts = ["a", "b", "ab", "1", "_", " ", " ", "-", ".", "é", "ß", "日", "(", "\\", "$"]
+    rows = [tuple("".join(draw.choice(parts) for _ in range(draw.randint(0, n))) for n in (4, 12)) for _ in range(20_000)]
+    rows += [("a a", "xa a a"), ("half-and-half", "with half-and-half."), ("", ""), ("", "a"), ("-", "a-b"), ("-", "a - b")]
+    df = spark.createDataFrame(rows, "name string, text string")
+    quoted = F.regexp_replace("name", r"([^\p{L}\p{N}_ ])", r"\\$1")
+    whole = F.rlike("text", F.concat(F.lit(r"\b"), quoted, F.lit(r"\b")))
+    long = F.filter(split_words(F.col("name")), lambda w: F.length(w) > 2)
+    told = F.exists(long, lambda w: F.rlike("text", F.concat(F.lit(r"\b"), F.regexp_replace(w, r"([^\p{L}\p{N}_ ])", r"\\$1"), F.lit(r"\b"))))
+    used = scoring.ingredient_is_used(F.col("name"), scoring._with_edges(F.col("text")))
+    assert df.filter((whole | told) != used).take(1) == []
+    assert df.filter(used).count() > 100
+
+
+def test_no_pattern_is_built_from_a_row(spark):
+    df = spark.createDataFrame([("['salt']", "some salt")], "a string, b string")
+    optimized = df.select(scoring.recipe_metrics("a", "b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"RLIKE\(?[^,]*concat", optimized, re.I)
