@@ -6,7 +6,8 @@ documents (its counts only shape the order, so they may be rough), and two sets
 enough must share a shingle of their prefixes. Units with the same prefix and size are one group.
 
 1. Star step: each group's members are paired with one member, each prefix list's groups (of like
-   size) with the one that has fewest rarer shingles, the most central. Pairs that pass the filters are verified; links are contracted.
+   size) with the one that has fewest rarer shingles, the most central. Pairs whose common prefix
+   shingles leave room for the similarity are verified; links are contracted.
 2. Exact step: what is left to compare are members of different components that share a prefix
    shingle. Groups outside a list's largest component are paired with all of the list, pairs meet
    by the sizes that their places allow, are filtered by their common prefix shingles, expanded to
@@ -40,7 +41,7 @@ TABLE_BITS = 21
 _PART_BITS = 15
 _FAN_IN = 64
 # Width of a slot of set sizes, as a logarithm.
-_SLOT = float(np.log(1.02))
+_SLOT = float(np.log(1.08))
 
 
 def digest(values: np.ndarray) -> int:
@@ -178,7 +179,10 @@ def _viable(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     known = groups.join(bounded_broadcast(wanted), "family", "left_semi")
     rows = pairs.join(known.select(F.col("family").alias("f"), "n", "prefix"), "f")
     rows = rows.join(known.select(F.col("family").alias("g"), F.col("n").alias("m"), F.col("prefix").alias("other")), "g")
-    return rows.filter(_enough(percent, F.size(F.array_intersect("prefix", "other")))).select("f", "g")
+    left = stored(rows.filter(_enough(percent, F.size(F.array_intersect("prefix", "other")))).select("f", "g"), "viable")
+    forget(pairs)
+    forget(wanted)
+    return left
 
 
 def held_sets(docs: DataFrame, units: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -213,26 +217,28 @@ def verified(docs: DataFrame, units: DataFrame, pairs: DataFrame, size: int, per
 
     joined = pairs.join(held.select(F.col("unit").alias("b"), F.col("held").alias("y")), "b")
     joined = joined.join(held.select(F.col("unit").alias("a"), F.col("held").alias("x")), "a").select("a", "b", "x", "y")
-    return stored(joined.mapInArrow(check, "a bigint, b bigint"), "links")
+    links = stored(joined.mapInArrow(check, "a bigint, b bigint"), "links")
+    forget(pairs)
+    return links
 
 
 def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _star_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of units: each group's members with its first, each list's groups with the first of like size."""
+def _star_pairs(lists: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of units: each group's members with its first, each list's groups with the first of like size.
+
+    The first is the most central: the group with fewest rarer shingles. A group meets the first of
+    each of its lists, so members of a family meet many of its central ones; no more pairs than rows.
+    """
     heads = members.groupBy("family").agg(F.min("unit").alias("head"), F.count("*").alias("size"))
     inside = members.join(heads.filter("size > 1"), "family").filter("unit <> head").select(*ordered("unit", "head"))
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
-    banded = lists.withColumn("band", band)
+    banded = lists.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))))
     first = banded.groupBy("shingle", "band").agg(F.min(F.struct("at", "family", "n")).alias("f"), F.count("*").alias("c")).filter("c > 1")
     first = first.select("shingle", "band", F.col("f.family").alias("to"), F.col("f.n").alias("to_n"), F.col("f.at").alias("to_at"))
     near = banded.join(first, ["shingle", "band"]).filter("family <> to").filter(_alike(percent, "", "to_"))
-    # few shared lists: too unlike, or left to the exact step
-    near = near.groupBy(F.col("family").alias("f"), F.col("to").alias("g")).agg(
-        F.count("*").alias("shared"), F.any_value("n").alias("n"), F.any_value("to_n").alias("m"))
-    near = near.filter(_enough(percent, F.col("shared"))).select("f", "g")
+    near = _viable(near.select(F.least("family", "to").alias("f"), F.greatest("family", "to").alias("g")).distinct(), groups, percent)
     by = heads.select("family", "head")
     across = near.join(by.withColumnRenamed("family", "f"), "f").join(by.select(F.col("family").alias("g"), F.col("head").alias("other")), "g")
     return inside.unionByName(across.select(*ordered("head", "other"))).distinct()
@@ -284,9 +290,11 @@ def link(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     groups = _groups(prefixed)
     forget(prefixed)
     lists = _lists(groups)
-    star = verified(docs, units, _star_pairs(lists, members, percent), size, percent)
+    star = verified(docs, units, _star_pairs(lists, groups, members, percent), size, percent)
     names = components(star)
     found = verified(docs, units, _cross_pairs(lists, groups, members, names, percent), size, percent)
+    for done in (lists, groups, members):
+        forget(done)
     names = components(star.unionByName(found))
     named = units.join(names, F.col("unit") == F.col("node"), "left").withColumn("component", F.coalesce("component", "unit"))
     named = stored(named.select("doc_id", "n", "component"), "named")
