@@ -135,10 +135,18 @@ def _groups(prefixed: DataFrame) -> DataFrame:
     return stored(prefixed.groupBy("family").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")), "groups")
 
 
-def _lists(groups: DataFrame) -> DataFrame:
-    """Stored rows (shingle, family, n, at) of the prefix shingles that at least two groups share."""
+def _lists(groups: DataFrame, percent: int) -> DataFrame:
+    """Stored rows (shingle, family, n, at) of the prefix shingles that at least two groups share.
+
+    A list of two groups is left out if they cannot be alike with this as their first common shingle.
+    """
     places = groups.select("family", "n", F.posexplode("prefix").alias("at", "shingle"))
-    shared = places.groupBy("shingle").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).filter("lo <> hi").select("shingle")
+    held = places.groupBy("shingle").agg(
+        F.min("family").alias("lo"), F.max("family").alias("hi"), F.count("*").alias("c"),
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min(F.col("n") - F.col("at")).alias("rest"))
+    fits = F.col("most") * percent <= F.col("least") * 100
+    fits &= F.col("rest") * (100 + percent) >= (F.col("least") + F.col("most")) * percent
+    shared = held.filter("lo <> hi").filter((F.col("c") > 2) | fits).select("shingle")
     return stored(places.join(shared, "shingle"), "lists")
 
 
@@ -270,8 +278,7 @@ def _cross_pairs(lists: DataFrame, groups: DataFrame, members: DataFrame, names:
     inside = cross_pairs(placed, "family", "unit", [], F.lit(True)).select(*ordered("x_unit", "y_unit"))
     # a group of several components is compared as one of its own
     parts = placed.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-    own = F.concat(F.lit("g"), F.col("family"))
-    parts = parts.select("family", F.when(F.col("lo") == F.col("hi"), F.concat(F.lit("c"), F.col("lo"))).otherwise(own).alias("part"))
+    parts = parts.select("family", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.bitwise_not("family")).alias("part"))
     near = cross_pairs(lists.join(parts, "family"), "shingle", "family", ["n", "at"], _alike(percent, "x_", "y_"), _slots(percent))
     near = near.select(F.least("x_family", "y_family").alias("f"), F.greatest("x_family", "y_family").alias("g")).distinct()
     near = _viable(near, groups, percent)
@@ -289,7 +296,7 @@ def link(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     members = stored(prefixed.select("unit", "family").distinct(), "members")
     groups = _groups(prefixed)
     forget(prefixed)
-    lists = _lists(groups)
+    lists = _lists(groups, percent)
     star = verified(docs, units, _star_pairs(lists, groups, members, percent), size, percent)
     names = components(star)
     found = verified(docs, units, _cross_pairs(lists, groups, members, names, percent), size, percent)
