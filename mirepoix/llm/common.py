@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a lookup that may be sent to every executor; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
+# Bytes of files of a stored lookup that may be sent to every executor; larger ones are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 # Bytes of text that one numpy step works on; a longer document is a step of its own.
 CHUNK_BYTES = 1 << 20
 
@@ -38,18 +38,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folders(df: DataFrame) -> list:
+    """(file system, path) of the folders that a stored table lies in."""
+    spark = df.sparkSession
+    conf, kind = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    paths = [kind(folder) for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}]
+    return [(path.getFileSystem(conf), path) for path in paths]
+
+
 def forget(df: DataFrame) -> None:
     """Delete a table written by ``stored`` that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    for files, path in _folders(df):
+        files.delete(path, True)
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint if the (stored) table has at most ``limit`` rows, else the table."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint if the files of the (stored) table take at most ``limit`` bytes, else the table."""
+    return F.broadcast(df) if sum(files.getContentSummary(path).getLength() for files, path in _folders(df)) <= limit else df
 
 
 def texts(docs: DataFrame) -> DataFrame:
