@@ -202,6 +202,18 @@ def src_recipes_csv(spark, sf_dir):
     return tables.read_recipes(spark, path)
 
 
+@query("src_recipes_csv_split", with_views("recipes_src", f"""
+SELECT {', '.join(c for c in _CSV_COLUMNS if c != 'description')}, description || chr(10) || '"so", he said,' || chr(10) || chr(10) || id AS description
+FROM recipes_src"""))
+def src_recipes_csv_split(spark, sf_dir):
+    """One file with line breaks and quotes inside its fields."""
+    path = fresh_path(spark, "recipes-csv")
+    said = F.concat("description", F.lit('\n"so", he said,\n\n'), F.col("id").cast("string"))
+    rows = recipes(spark, sf_dir).withColumn("description", said).select(*_CSV_COLUMNS)
+    tables.write_recipes_csv(rows.coalesce(1), path)
+    return tables.read_recipes_split(spark, path)
+
+
 @query("src_load_or_build", with_views("clean", f"SELECT {', '.join(CLEAN_COLUMNS)} FROM clean"))
 def src_load_or_build(spark, sf_dir):
     path = fresh_path(spark, "load-or-build")

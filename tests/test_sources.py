@@ -1,5 +1,6 @@
 """Sources, sinks and the file stream."""
 
+import random
 import json
 
 import pytest
@@ -121,3 +122,34 @@ def test_pairs_and_scores_stream(spark, sf_dir, tmp_path):
     streamed, batch = spark.read.parquet(target), transform(rows)
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+@pytest.mark.parametrize("end, size", [("\n", "700"), ("\r\n", "3000"), ("\n", "64")])
+def test_split_csv_equals_one_task(spark, tmp_path, end, size):
+    draw = random.Random(int(size))
+    pieces = ["a", "b,", '""', "\n", "\n\n", "é", " ", "name", "x" * 90]
+    lines = ["name,id,minutes,description"]
+    for i in range(300):
+        said = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 12)))
+        lines.append(f'"n{i}",{i},{draw.randint(0, 9)},' + ("" if i % 9 == 0 else f'"{said}"'))
+        if i % 50 == 0:
+            lines.append("")
+    lines.append(f'"long",999,1,"{"many lines" + chr(10) * 2000}"')
+    (tmp_path / "one").mkdir()
+    for k in range(2):
+        (tmp_path / "one" / f"{k}.csv").write_bytes(("﻿" * (k == 0) + end.join(x.replace("\n", end) for x in lines) + end * (1 - k)).encode())
+    path = str(tmp_path / "one")
+    want = sorted(map(tuple, tables.read_recipes(spark, path).collect()), key=str)
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1"}
+    kept = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        df = tables.read_recipes_split(spark, path)
+        assert df.columns == ["name", "id", "minutes", "description"]
+        assert df.rdd.getNumPartitions() > 8
+        got = sorted(map(tuple, df.collect()), key=str)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(got) == 602 and got == want
