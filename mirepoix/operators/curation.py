@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirepoix.functions import prompts
@@ -12,13 +12,16 @@ from mirepoix.operators.ordering import (
     lay_out,
     seeded_key,
     with_order_keys,
+    with_row_index,
 )
+from mirepoix.session import store
 
 MIN_STEP_CHARS = 10
 MIN_OUTPUT_CHARS = 200
 SUBSET_SIZE = 10_000
 TEST_SHARE = 0.05
 GOLDEN_SIZE = 5
+MEGA_BATCHES = 50
 SEED = 42
 
 
@@ -133,3 +136,39 @@ def group_by_length(df: DataFrame, column: str = "text") -> DataFrame:
     not end up in a single task.
     """
     return lay_out(df, F.size(split_words(F.col(column))))
+
+
+def length_grouped_batches(
+    df: DataFrame, batch_size: int = 8, seed: int = SEED, key: str = "id", column: str = "text"
+) -> DataFrame:
+    """Batches of texts of similar length in a seeded random order, as a trainer draws them.
+
+    The seeded order is cut into mega-batches of up to ``MEGA_BATCHES`` batches (fewer in a small
+    table), each sorted from long to short. The longest text of all changes places with the very
+    first one, so that a batch that does not fit in memory fails at once. Adds ``n_tokens``,
+    ``batch`` and ``slot``. A mega-batch is a window of fixed size; nothing else is brought together.
+    """
+    sized = df.withColumn("n_tokens", F.greatest(F.size(split_words(F.col(column))), F.lit(0)))
+    placed = with_row_index(sized.withColumn("_digest", seeded_key(seed, key)), ["_digest", key], "_place")
+    many = F.greatest(F.lit(1), F.least(F.lit(MEGA_BATCHES), F.floor(F.count(F.lit(1)) / (4 * batch_size))))
+    size = placed.agg((many * batch_size).alias("size")).select("size").scalar()
+    cut = placed.withColumn("_size", size).withColumn("_mega", F.floor(F.col("_place") / F.col("_size")))
+    inner = Window.partitionBy("_mega").orderBy(F.desc("n_tokens"), "_place")
+    ranked = store(cut.withColumn("_at", F.row_number().over(inner) - 1), "mega-batches")
+    longest = F.max_by("_mega", F.struct("n_tokens", -F.col("_mega")))
+    best = ranked.filter("_at = 0").agg(longest.alias("best")).select("best").scalar()
+    first, top = F.col("_at") == 0, F.col("_best")
+    swapped = F.when(first & (F.col("_mega") == 0), top).when(first & (F.col("_mega") == top), 0).otherwise(F.col("_mega"))
+    where = ranked.withColumn("_best", best).withColumn("_to", swapped)
+    batch = F.floor((F.col("_to") * F.col("_size") + F.col("_at")) / batch_size)
+    return where.select(*df.columns, "n_tokens", batch.alias("batch"), (F.col("_at") % batch_size).cast("int").alias("slot"))
+
+
+def padding_waste(batches: DataFrame) -> DataFrame:
+    """One row: texts, batches, tokens, and the padding that filling every batch to its longest text takes."""
+    each = batches.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").cast("long").alias("longest"))
+    return each.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_texts"), F.count(F.lit(1)).alias("n_batches"),
+        F.coalesce(F.sum("tokens"), F.lit(0)).alias("n_tokens"),
+        F.coalesce(F.sum(F.col("n") * F.col("longest") - F.col("tokens")), F.lit(0)).alias("n_padding"))

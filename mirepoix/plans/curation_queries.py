@@ -154,3 +154,28 @@ SELECT doc_id, CAST(len({_WORDS}) AS INT) AS n_tokens FROM documents""")
 def group_by_length(spark, sf_dir):
     docs = curation.group_by_length(documents(spark, sf_dir))
     return docs.select("doc_id", F.size(split_words(F.col("text"))).alias("n_tokens"))
+
+
+_BATCHES = f"""
+sized AS (SELECT doc_id, CAST(coalesce(len({_WORDS}), 0) AS INT) AS n_tokens,
+                 row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) - 1 AS place FROM documents),
+mega AS (SELECT *, size, place // size AS mega, row_number() OVER (PARTITION BY place // size ORDER BY n_tokens DESC, place) - 1 AS nth
+         FROM sized, (SELECT greatest(1, least(50, count(*) // 32)) * 8 AS size FROM documents)),
+top AS (SELECT mega AS top FROM mega WHERE nth = 0 ORDER BY n_tokens DESC, mega LIMIT 1),
+batches AS (SELECT doc_id, n_tokens,
+  ((CASE WHEN nth = 0 AND mega = 0 THEN top WHEN nth = 0 AND mega = top THEN 0 ELSE mega END) * size + nth) // 8 AS batch,
+  CAST(nth % 8 AS INT) AS slot FROM mega, top)"""
+
+
+@query("length_grouped_batches", f"WITH {_BATCHES} SELECT doc_id, n_tokens, batch, slot FROM batches")
+def length_grouped_batches(spark, sf_dir):
+    docs = curation.length_grouped_batches(documents(spark, sf_dir), 8, 7, "doc_id")
+    return docs.select("doc_id", "n_tokens", "batch", "slot")
+
+
+@query("padding_waste", f"""
+WITH {_BATCHES}, each AS (SELECT batch, count(*) AS n, sum(n_tokens) AS tokens, max(n_tokens) AS longest FROM batches GROUP BY batch)
+SELECT CAST(sum(n) AS BIGINT) AS n_texts, count(*) AS n_batches, CAST(sum(tokens) AS BIGINT) AS n_tokens,
+       CAST(sum(n * longest - tokens) AS BIGINT) AS n_padding FROM each""")
+def padding_waste(spark, sf_dir):
+    return curation.padding_waste(curation.length_grouped_batches(documents(spark, sf_dir), 8, 7, "doc_id"))

@@ -128,6 +128,19 @@ def histogram_ingredients(spark, sf_dir):
     return _rounded(exploration.histogram(eda(spark, sf_dir), "n_ingredients", 35), "bin_start")
 
 
+@query("density_curve", _sql("""
+SELECT point, round(lo + point * step, 9) AS x, round(sum(w * exp(-0.5 * power((point - k) * step / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density
+FROM (SELECT k, sum(w) AS w FROM (
+        SELECT least(floor((v - lo) / step), 198)::BIGINT + side AS k,
+               CASE WHEN side = 0 THEN 1 - ((v - lo) / step - least(floor((v - lo) / step), 198)) ELSE (v - lo) / step - least(floor((v - lo) / step), 198) END AS w
+        FROM (SELECT CAST(minutes AS DOUBLE) AS v FROM eda WHERE minutes IS NOT NULL), shape, (VALUES (0), (1)) sides(side)) GROUP BY k),
+     shape, (SELECT unnest(range(200)) AS point) GROUP BY point, lo, step""", shape="""
+SELECT min(minutes)::DOUBLE AS lo, (max(minutes) - min(minutes)) / 199.0::DOUBLE AS step, count(*) AS n,
+       stddev_samp(minutes) * power(count(*), -0.2) AS h FROM eda WHERE minutes IS NOT NULL"""))
+def density_curve(spark, sf_dir):
+    return _rounded(exploration.density_curve(eda(spark, sf_dir), "minutes"), "x", "density", digits=9)
+
+
 @query("explode_counts", _sql("""
 SELECT label, count(*) AS "count" FROM (SELECT unnest(list_concat([cuisine], string_split(p_name, ' '))) AS label
 FROM eda WHERE cuisine IS NOT NULL) AS l GROUP BY label"""))

@@ -70,3 +70,21 @@ def test_zero_divisor_and_swap(spark):
     ratios = exploration.ratio_columns(df)
     assert ratios.first().sugar_to_calories is None
     assert exploration.finite_only(ratios, "sugar_to_calories").count() == 1
+
+
+def test_density_curve_is_near_the_exact_estimate(spark):
+    import math
+    import random
+
+    draw = random.Random(5)
+    values = [draw.gauss(draw.choice([0, 6]), 1) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+    got = exploration.density_curve(df, "v").collect()
+    mean = sum(values) / len(values)
+    width = math.sqrt(sum((v - mean) ** 2 for v in values) / (len(values) - 1)) * len(values) ** -0.2
+    assert len(got) == 200
+    for r in got:
+        exact = sum(math.exp(-0.5 * ((r["x"] - v) / width) ** 2) for v in values) / (len(values) * width * math.sqrt(2 * math.pi))
+        assert abs(r["density"] - exact) < 2e-4
+    assert exploration.density_curve(df.filter("v is null"), "v").count() == 0
+    assert exploration.density_curve(spark.createDataFrame([(1.0,), (1.0,)], "v double"), "v").count() == 0

@@ -100,3 +100,26 @@ def test_group_by_length_orders_and_keeps_rows(spark):
     assert grouped.count() == 500
     lengths = [len(r.text.split()) for r in grouped.collect()]
     assert lengths == sorted(lengths)
+
+
+def test_length_grouped_batches_match_a_sampler_in_plain_python(spark):
+    import hashlib
+    import random
+
+    from mirepoix.operators import curation
+
+    draw = random.Random(3)
+    for n in (0, 1, 5, 40, 3000):
+        rows = [(i, " ".join("w" * draw.randint(0, 60))) for i in range(n)]
+        df = spark.createDataFrame(rows, "id long, text string")
+        got = curation.length_grouped_batches(df, 4, 9).collect()
+        order = sorted(rows, key=lambda r: (hashlib.md5(f"9:{r[0]}".encode()).hexdigest(), r[0]))
+        size = max(1, min(50, n // 16)) * 4
+        megas = [sorted(order[a:a + size], key=lambda r: -len(r[1].split())) for a in range(0, n, size)]
+        if megas:
+            best = max(range(len(megas)), key=lambda m: (len(megas[m][0][1].split()), -m))
+            megas[0][0], megas[best][0] = megas[best][0], megas[0][0]
+        want = {r[0]: (k // 4, k % 4, len(r[1].split())) for k, r in enumerate(r for m in megas for r in m)}
+        assert {r["id"]: (r["batch"], r["slot"], r["n_tokens"]) for r in got} == want
+        waste = curation.padding_waste(curation.length_grouped_batches(df, 4, 9)).first()
+        assert waste["n_texts"] == n and waste["n_batches"] == -(-n // 4)
