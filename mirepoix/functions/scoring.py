@@ -5,7 +5,6 @@ Every score is local to its row, so scoring a table needs no shuffle.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from mirepoix import lookups
+from mirepoix.functions import lcs
 from mirepoix.functions.core import (
     EDGE,
     as_column,
@@ -132,36 +132,10 @@ def bleu(reference: Column | str, generated: Column | str) -> Column:
 # --- character similarity ----------------------------------------------------
 
 
-def _indel_ratio(a: str, b: str) -> float:
-    """200 * LCS / (len(a) + len(b)), the LCS counted bit-parallel."""
-    if a == b:
-        return 100.0
-    size = len(a) + len(b)
-    if len(a) > len(b):
-        a, b = b, a
-    # a common beginning and end belong to some longest common subsequence
-    head = len(os.path.commonprefix([a, b]))
-    a, b = a[head:], b[head:]
-    tail = len(os.path.commonprefix([a[::-1], b[::-1]]))
-    a, b = a[:len(a) - tail], b[:len(b) - tail]
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    state = full
-    for c in b:
-        hit = state & places.get(c, 0)
-        state = (state + hit | state - hit) & full
-    return 200.0 * (head + tail + len(a) - state.bit_count()) / size
-
-
 @F.pandas_udf(DoubleType())
 def _similarity_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
-        yield pd.Series([
-            None if a is None or b is None else _indel_ratio(a, b)
-            for a, b in zip(left, right)
-        ], dtype="float64")
+        yield pd.Series(lcs.similarity(list(left), list(right)), dtype="float64")
 
 
 def similarity(reference: Column | str, generated: Column | str) -> Column:

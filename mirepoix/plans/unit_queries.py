@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import units
-from mirepoix.functions.core import regex_sub_compute
+from mirepoix.functions.core import regex_sub_compute, split_words
 from mirepoix.operators.evaluation import correct_vocabulary, vocabulary
+from mirepoix.operators.terms import correct_terms
 from mirepoix.plans.registry import query
 from mirepoix.plans.views import STEPS_STANDARD, STEPS_TEXT, documents, recipes, table, with_views
+from mirepoix.session import store
 
 _C = "CAST(CAST(round(({} - 32) * 5.0 / 9.0) AS INT) AS STRING)"
 _F_TEXT, _N_TEXT = "CAST(300 + 5 * p AS STRING)", "CAST(150 + 5 * p AS STRING)"
@@ -182,6 +184,45 @@ def correct_term_fuzzy(spark, sf_dir):
     return correct_vocabulary(_all_texts(spark, sf_dir), "t").select("token", "corrected")
 
 
+# The words of all documents against the frequent ones among them. A letter that only one side has is an
+# edit, and so is every byte by which levenshtein is short of the edits of an ASCII term.
+_TABLE_SQL = f"""
+WITH counted AS (
+  SELECT token, count(*) AS c FROM (
+    SELECT unnest(regexp_split_to_array(lower(text), '{_SPACE}')) AS token FROM documents) AS w
+  WHERE token <> '' GROUP BY token),
+spelt AS (
+  SELECT token, any_value(c) AS c, bit_or(1::BIGINT << (unicode(letter) % 62)::INT) AS mask, length(token) AS n,
+         strlen(token) - length(token) AS extra
+  FROM (SELECT token, c, unnest(string_split(token, '')) AS letter FROM counted) AS l GROUP BY token),
+terms AS (SELECT token AS term, mask, n AS m FROM spelt WHERE c >= 5 AND regexp_full_match(token, '[a-z]{{3,}}')),
+near AS (
+  SELECT token, term, n, m FROM spelt JOIN terms
+    ON n < 1.5 * m AND m < 1.5 * n AND 5 * bit_count(xor(spelt.mask, terms.mask)) < n + m
+  WHERE regexp_matches(token, '\\p{{L}}') AND 5 * (levenshtein(token, term) - extra) < n + m),
+folded AS (
+  SELECT token, term, n, m, list_reduce(
+           list_transform(string_split(token, ''), lambda c: list_sum(list_transform(
+             range(1, m + 1), lambda i: CASE WHEN substr(term, i, 1) = c THEN 1::BIGINT << (i - 1)
+                                             ELSE 0 END))::BIGINT),
+           lambda v, h: ((v + (v & h)) | (v - (v & h))) & ((1::BIGINT << m) - 1), (1::BIGINT << m) - 1) AS state
+  FROM near),
+ranked AS (
+  SELECT token, term, n + m - 2 * (m - bit_count(state)) AS edits, row_number() OVER (
+           PARTITION BY token ORDER BY (n + m - 2 * (m - bit_count(state)))::DOUBLE / (n + m), term) AS place
+  FROM folded WHERE 5 * (n + m - 2 * (m - bit_count(state))) < n + m)
+SELECT c.token, coalesce(r.term, c.token) AS corrected, r.edits::BIGINT AS edits
+FROM counted AS c LEFT JOIN ranked AS r ON c.token = r.token AND r.place = 1"""
+
+
+@query("correct_terms_table", _TABLE_SQL)
+def correct_terms_table(spark, sf_dir):
+    words = documents(spark, sf_dir).select(F.explode(split_words(F.lower("text"))).alias("token"))
+    counted = store(words.groupBy("token").agg(F.count("*").alias("c")), "word-counts")
+    terms = counted.filter((F.col("c") >= 5) & F.col("token").rlike(r"\A[a-z]{3,}\z"))
+    return correct_terms(counted, terms, "token", "token")
+
+
 # --- whole texts -------------------------------------------------------------
 
 
