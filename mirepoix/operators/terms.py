@@ -103,7 +103,10 @@ def similar_terms(words: DataFrame, terms: DataFrame, percent: int = 20, togethe
     """
     if not 0 < percent < 100:
         raise ValueError(f"percent is {percent}, not within 1 to 99")
-    words, terms = store(words, "words"), store(terms, "terms")
+    # a small file of words makes many lookups, so words are spread before they are cut
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = store(words, "words").repartition(tasks, _WORD)
+    terms = store(terms, "terms").repartition(tasks, _TERM)
     entries = _entries(terms, words, percent)
     asked = store(_lookups(words, terms, percent).join(entries.select("key").distinct(), "key", "left_semi"), "term-lookups")
     often = asked.groupBy("key").count().filter(F.col("count") > together)
