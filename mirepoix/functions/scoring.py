@@ -5,7 +5,7 @@ Every score is local to its row, so scoring a table needs no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -61,11 +61,37 @@ _PASSES = (
 )
 
 
-def bleu_tokens(text: Column | str) -> Column:
-    """Lower-cased Treebank tokens: decimals, fractions, hyphenated words and ``...`` stay whole."""
+# A noncharacter in place of the stop of an abbreviation.
+_KEPT_STOP = "\ufdd2"
+
+
+def _abbreviations_marked(text: Column, abbreviations: Sequence[str]) -> Column:
+    """Single-spaced text with the stops of abbreviations hidden, but for one that ends the text."""
+    def hidden(word: Column, place: Column, count: Column) -> Column:
+        bare = F.regexp_replace(word, r"""^["'`(\[{<]+|[,;:]+$""", "")
+        known = F.substring(bare, F.lit(1), F.length(bare) - 1).isin(list(abbreviations))
+        ends_text = (place == count - 1) & word.endswith(".")
+        return F.when(
+            bare.endswith(".") & known & ~ends_text, F.regexp_replace(word, r"\.([,;:]*)$", _KEPT_STOP + "$1")
+        ).otherwise(word)
+
+    words = F.split(F.translate(text, _KEPT_STOP, ""), " ")
+    return let(words, lambda w: F.array_join(F.transform(w, lambda x, i: hidden(x, i, F.size(w))), " "))
+
+
+def bleu_tokens(text: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """Lower-cased Treebank tokens: decimals, fractions, hyphenated words and ``...`` stay whole.
+
+    ``abbreviations`` are lower-cased words without their stop (see ``operators.abbreviations``): their stop
+    ends no sentence and stays on the word, unless it ends the text.
+    """
     rest = F.lower(single_spaced(as_column(text)))
+    if abbreviations:
+        rest = _abbreviations_marked(rest, abbreviations)
     for pattern, replacement in _PASSES:
         rest = F.regexp_replace(rest, pattern, replacement)
+    if abbreviations:
+        rest = F.translate(rest, _KEPT_STOP, ".")
     return F.filter(F.split(rest, " +"), lambda w: w != "")
 
 
@@ -94,8 +120,8 @@ def clipped_matches(reference: Column, generated: Column) -> Column:
     return F.zip_with(all_ngrams(generated), all_ngrams(reference), common_count)
 
 
-def bleu(reference: Column | str, generated: Column | str) -> Column:
-    """Sentence BLEU-4 with uniform weights.
+def bleu(reference: Column | str, generated: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """Sentence BLEU-4 with uniform weights, on ``bleu_tokens``.
 
     No unigram match gives 0; a higher order without match counts 0.1 matches.
     The multisets of n-grams, as 64-bit hashes, are intersected inside the row. A column
@@ -121,7 +147,7 @@ def bleu(reference: Column | str, generated: Column | str) -> Column:
         )
 
     def hashed(text: Column | str) -> Column:
-        return F.transform(bleu_tokens(text), lambda t: F.xxhash64(t))
+        return F.transform(bleu_tokens(text, abbreviations), lambda t: F.xxhash64(t))
 
     if isinstance(reference, str) and reference == generated:
         return let(hashed(reference), lambda t: score(t, t))

@@ -33,11 +33,11 @@ def with_recipe_metrics(
 
 
 def calculate_metrics(
-    df: DataFrame, reference: str = "reference", generated: str = "generated_text"
+    df: DataFrame, reference: str = "reference", generated: str = "generated_text", abbreviations: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``bleu``, ``similarity`` and ``recipe_metrics`` to each pair."""
     native = once(df, {
-        "bleu": scoring.bleu(reference, generated),
+        "bleu": scoring.bleu(reference, generated, abbreviations),
         "recipe_metrics": scoring.recipe_metrics(reference, generated),
     })
     return native.withColumn("similarity", scoring.similarity(reference, generated))

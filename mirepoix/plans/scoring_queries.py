@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import prompts, scoring, text
-from mirepoix.operators import evaluation
+from mirepoix.operators import abbreviations, evaluation
 from mirepoix.plans.registry import query
 from mirepoix.plans.views import JUDGES, documents, generations, replies, table, with_views
 
@@ -56,6 +56,56 @@ def bleu_tokens(spark, sf_dir):
     return rows.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
+# The abbreviations of all documents, by the formulas written out.
+_ABBREVIATIONS = dict(
+    word_stops=rf"""
+SELECT CASE WHEN stop THEN left(t, length(t) - 1) ELSE t END AS word,
+       count(*) FILTER (WHERE stop) AS with_stop, count(*) FILTER (WHERE NOT stop) AS without
+FROM (SELECT t, t LIKE '%.' AND t NOT LIKE '%..' AS stop FROM (
+        SELECT regexp_replace(unnest(regexp_split_to_array(lower(text), '{_BLANKS}')),
+                              '^["''`(\[{{<]+|[\])}}>"''`,;:!?]+$', '', 'g') AS t FROM documents) AS w WHERE t <> '') AS s
+GROUP BY 1""",
+    word_totals="SELECT sum(with_stop + without)::DOUBLE AS n, sum(with_stop)::DOUBLE AS stops FROM word_stops",
+    sized="""
+SELECT *, length(word) - length(replace(word, '.', '')) AS inner_stops, length(replace(word, '.', '')) AS size, stops / n AS p
+FROM word_stops, word_totals
+WHERE with_stop >= 5 AND regexp_matches(word, '\\p{L}') AND with_stop + without >= n * 1e-5""",
+    abbreviations="""
+SELECT * FROM (
+  SELECT word, with_stop, without,
+         -2 * ((with_stop * ln(p) + CASE WHEN without = 0 THEN 0 ELSE without * ln(1 - p) END)
+               - (with_stop * ln(0.99::DOUBLE) + CASE WHEN without = 0 THEN 0 ELSE without * ln(1 - 0.99::DOUBLE) END))
+         * exp(-size::DOUBLE) * (inner_stops + 1) * exp(-without * ln(size)) AS score
+  FROM sized) AS x WHERE score >= 0.3""",
+)
+# The stop of an abbreviation, but for one that ends the text, becomes a character that no rule knows.
+_MARKED = rf"""
+SELECT doc_id, array_to_string(list_transform(words, lambda w, i:
+         CASE WHEN list_contains(known, regexp_replace(w, '^["''`(\[{{<]+|[.][,;:]*$', '', 'g'))
+               AND regexp_matches(w, '[.][,;:]*$') AND NOT (i = len(words) AND w LIKE '%.')
+              THEN regexp_replace(w, '[.]([,;:]*)$', chr(64978) || '\1') ELSE w END), ' ') AS text
+FROM (SELECT doc_id, string_split(lower(trim(regexp_replace(text, '{_BLANKS}', ' ', 'g'))), ' ') AS words FROM documents) AS d,
+     (SELECT coalesce(list(word), []) AS known FROM abbreviations) AS a"""
+
+
+@query("learned_abbreviations", with_views(
+    "", "SELECT word, with_stop, without, round(score, 6) AS score FROM abbreviations", **_ABBREVIATIONS))
+def learned_abbreviations(spark, sf_dir):
+    found = abbreviations.learn_abbreviations(documents(spark, sf_dir), "text")
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("bleu_tokens_sentences", with_views("", f"""
+SELECT doc_id, CAST(len(t) AS INT) AS n_tokens, replace(array_to_string(t, ' '), chr(64978), '.') AS tokens
+FROM (SELECT doc_id, {treebank('text')} AS t FROM marked) AS m""", **_ABBREVIATIONS, marked=_MARKED))
+def bleu_tokens_sentences(spark, sf_dir):
+    """Words of the documents, with the stops of the corpus' own abbreviations kept on."""
+    docs = documents(spark, sf_dir)
+    known = abbreviations.as_list(abbreviations.learn_abbreviations(docs, "text"))
+    rows = docs.select("doc_id", scoring.bleu_tokens("text", known).alias("t"))
+    return rows.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
 # BLEU by exploding n-grams, counting them and joining the counts.
 BLEU_CTE = dict(
     tok=f"""
