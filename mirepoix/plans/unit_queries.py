@@ -155,7 +155,8 @@ def correct_term_dict(spark, sf_dir):
 _UNIT_ROWS = ", ".join(f"({_quoted(u)}, {i})" for i, u in enumerate(lookups.UNIT_CATEGORIES))
 
 
-# Longest common subsequence by folding the token over a bit per unit letter.
+# Longest common subsequence by folding the token over a bit per unit letter. Letters put in and taken out
+# are at least the edits, less the bytes that the token's letters have over one each: others cannot be alike.
 _FUZZY_SQL = with_views("recipes_src", """
 SELECT w.token, CASE WHEN NOT regexp_matches(w.token, '\\p{L}') THEN w.token
                      ELSE coalesce(t.corrected, b.unit, w.token) END AS corrected
@@ -165,7 +166,8 @@ WHERE w.token <> ''""",
     units=f"SELECT * FROM (VALUES {_UNIT_ROWS}) AS v(unit, place)",
     near="""
 SELECT token, unit, place, length(token) AS n, length(unit) AS m FROM words, units
-WHERE length(token) < 1.5 * length(unit) AND length(token) > 0.6 * length(unit)""",
+WHERE length(token) < 1.5 * length(unit) AND length(token) > 0.6 * length(unit)
+  AND 5 * (levenshtein(token, unit) - (strlen(token) - length(token))) < length(token) + length(unit)""",
     folded="""
 SELECT token, place, unit, n, m, list_reduce(
          list_transform(string_split(token, ''), lambda c: list_sum(list_transform(
