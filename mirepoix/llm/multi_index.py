@@ -11,7 +11,8 @@ Of equal vectors only the ``top`` + 1 with the smallest ids can ever be reported
 out of the blocks; they are queries all the same.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold a null or non-finite
-component take no part. A query is never its own neighbour; rows that repeat an id are one candidate.
+component take no part. A query is never its own neighbour; rows that repeat an id are one candidate, with the
+smallest of their vectors.
 Fewer candidates than ``top`` give fewer rows. Ties go to the smaller id. Further columns are not read.
 """
 
@@ -30,12 +31,13 @@ from mirepoix.llm.common import stored
 
 TOP = 20
 SAMPLE_ROWS = 20_000
-# Rows a query examines: a share of all, and at least so many. Vectors without clusters need a large share.
-PROBE_SHARE = 0.55
-PROBE_ROWS = 2_000
-MAX_CENTROIDS = 256
+# Rows a query examines, as a share of all. Vectors without clusters need a large share.
+PROBE_SHARE = 0.6
+# Centroids of a half: so many times the cube root of the number of rows, up to the most.
+CENTROIDS, MAX_CENTROIDS = 3, 256
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 2_048
+RERANK_ROWS = 1_024
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -94,12 +96,15 @@ def _best(x: np.ndarray, ids: np.ndarray, cells: np.ndarray, q: np.ndarray, q_id
     s1, s2 = q[:, :half] @ one.T, q[:, half:] @ two.T
     scores = np.full((len(q), len(x)), -np.inf)
     order = np.argsort(cells, kind="stable")
-    cuts = np.flatnonzero(np.append(True, np.diff(cells[order]) != 0))
+    cuts = np.flatnonzero(np.append(True, np.diff(cells[order] // len(two)) != 0))
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
-        i, j = divmod(int(cells[order[a]]), len(two))
-        visit = np.flatnonzero(s1[:, i] + s2[:, j] >= limits)
-        if len(visit):
-            scores[np.ix_(visit, order[a:b])] = q[visit] @ x[order[a:b]].T
+        i = int(cells[order[a]]) // len(two)
+        # the cells of one first centroid together, so many rows at a time
+        for c in range(a, b, RERANK_ROWS):
+            rows = order[c:min(b, c + RERANK_ROWS)]
+            visit = s1[:, i, None] + s2[:, cells[rows] % len(two)] >= limits[:, None]
+            some = np.flatnonzero(visit.any(1))
+            scores[np.ix_(some, rows)] = np.where(visit[some], q[some] @ x[rows].T, -np.inf)
     scores[q_ids[:, None] == ids[None]] = -np.inf
     k = min(top, len(x))
     floor = np.partition(scores, len(x) - k, axis=1)[:, len(x) - k]
@@ -112,13 +117,13 @@ def _best(x: np.ndarray, ids: np.ndarray, cells: np.ndarray, q: np.ndarray, q_id
     return a[place < top], b[place < top], exact[place < top]
 
 
-def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, share: float = PROBE_SHARE, probe_rows: int = PROBE_ROWS) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, share: float = PROBE_SHARE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``top`` nearest vectors found for each of ``queries``."""
     spark = vectors.sparkSession
-    rows = usable(vectors).dropDuplicates(["vec_id"])
+    rows = usable(vectors).groupBy("vec_id").agg(F.min("v").alias("v"))
     alike = Window.partitionBy(F.xxhash64("v"), F.xxhash64(F.lit(7), "v")).orderBy("vec_id")
     rows = stored(rows.withColumn("copy", F.row_number().over(alike)).filter(F.col("copy") <= top + 1).drop("copy"), "vectors")
-    asked = stored(usable(queries).dropDuplicates(["vec_id"]), "asked")
+    asked = stored(usable(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "asked")
     total, n_asked = rows.count(), asked.count()
     shape = "query_id bigint, rank int, vec_id bigint, score double"
     if not total or not n_asked:
@@ -126,7 +131,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, share: float
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
     points = _matrix(sample.column("v").combine_chunks())
     half = points.shape[1] // 2
-    k = max(1, min(MAX_CENTROIDS, len(points), int(total ** 0.5 / 4)))
+    k = max(1, min(MAX_CENTROIDS, len(points), int(CENTROIDS * total ** (1 / 3))))
     one, two = centroids(points[:, :half], k), centroids(points[:, half:], k)
     books = spark.sparkContext.broadcast((one, two))
 
@@ -157,7 +162,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, share: float
     first = F.floor(F.col("cell") / len(two)).cast("int")
     block = F.get(F.array(*map(F.lit, start)), first) + F.pmod(F.xxhash64("vec_id"), F.get(F.array(*map(F.lit, parts)), first)).cast("int")
     entries = entries.withColumn("block", block).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
-    wanted = max(share * total, probe_rows)
+    wanted = max(share * total, top + 1)  # no fewer than the report holds, and the query itself
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (one, two), (start, parts, counts) = books.value, blocks.value
@@ -176,6 +181,8 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, share: float
                 [batch.column("vec_id").take(at), batch.column("v").take(at), pa.array(block, pa.int32()), pa.array(limits, pa.float64())],
                 ["query_id", "q", "block", "limit"])
 
+    # the heaps are most of a query's work before the rerank: spread them, the file of queries is small
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id")
     routed = asked.mapInArrow(route, "query_id bigint, q array<double>, block int, limit double")
     routed = routed.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
 
