@@ -143,7 +143,7 @@ class Encoder:
         ids = self.library.encode(text, num_threads=1)
         sizes = self.sizes[ids] if ids else np.zeros(0, np.int64)
         if self.unknown in ids:
-            parts = self.library.encode(text, out_type="immutable_proto").pieces
+            parts = self.library.encode(text, return_type="proto").pieces
             sizes = np.array([1 if self.library.is_byte(p.id) else len(p.piece.encode()) for p in parts])
         ends = source[np.minimum(np.cumsum(sizes), len(data))] if len(ids) else np.zeros(0, np.int64)
         total = len(text.encode())

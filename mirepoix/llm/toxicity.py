@@ -1,6 +1,6 @@
 """Toxicity of texts whose words may be disguised: a noisy-channel decoder and a word scorer.
 
-Words that look disguised - look-alike signs before a letter, letters spaced or dotted out, letters
+Words that look disguised - look-alike signs among letters, letters spaced or dotted out, letters
 repeated - become lattices: a sign may stand for several letters or for nothing, a repeat for one
 letter or two, a gap for a word's end or for nothing. A Viterbi search under a character trigram
 model of all texts picks the likeliest reading. The words so restored join the text's own, and a
@@ -89,7 +89,9 @@ class Decoder:
         beams = {(0, 0): (0.0, "")}
         before = ""
         runs = [len(m) for m, _ in _RUN.findall(piece) for _ in m]
-        for c, alike in zip(piece, runs, strict=True):
+        # signs at the end may be no more than emphasis
+        body = len(piece.rstrip("".join(LOOK_ALIKES)))
+        for place, (c, alike) in enumerate(zip(piece, runs, strict=True)):
             arcs: list[tuple[str, float]] = []
             if c in _CODES:
                 arcs.append((c, 0.0))
@@ -99,7 +101,7 @@ class Decoder:
             elif c.isspace():
                 arcs += [("", 0.1), (" ", 1.5)]
             elif c not in _CODES:
-                arcs += [(" ", 7.0)] if c in LOOK_ALIKES else [("", 1.0), (" ", 3.0)]
+                arcs += [(" ", 7.0 if place < body else 4.0)] if c in LOOK_ALIKES else [("", 1.0), (" ", 3.0)]
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (u, v), (cost, text) in beams.items():
                 for x, step in arcs:
@@ -114,32 +116,48 @@ class Decoder:
         return min((cost + self.cost[u][v][0], text) for (u, v), (cost, text) in beams.items())[1]
 
 
+def _lone(core: np.ndarray, lead: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The first byte of every letter or sign that stands alone between other marks or the edges of its word."""
+    opens = np.zeros(len(core) + 1, bool)
+    opens[starts] = True
+    first = np.flatnonzero(core & (~np.append(False, core[:-1]) | opens[:-1]))
+    last = np.flatnonzero(core & (~np.append(core[1:], False) | opens[1:])) + 1
+    out = np.zeros(len(core), bool)
+    out[first[lead[last] - lead[first] == 1]] = True
+    return out
+
+
 def disguised(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
-    """(text, start, end) of the pieces of lower-case texts that look disguised."""
+    """(text, start, end) of the pieces of lower-case texts that the lattice can read in another way.
+
+    These are words of letters and signs, with a letter three times in a row or two doubled ones, or with three
+    letters or signs alone between other marks; and three or more words of one letter or sign each.
+    """
     starts, ends, owner = word_spans(data, offsets)
     if not len(starts):
         return []
     letter, sign = _IS_LETTER[data], _IS_SIGN[data]
-    flag = np.zeros(len(data), bool)
-    flag[:-1] = sign[:-1] & letter[1:]
-    mark = ~letter & ~sign & (data != 32)
-    # dotted-out letters: single letters between other marks, twice
-    flag[:-4] |= letter[:-4] & mark[1:-3] & letter[2:-2] & mark[3:-1] & letter[4:]
-    alike = (data[1:] == data[:-1]) & letter[1:] & (data[1:] < 128)
-    flag[:-2] |= alike[:-1] & alike[1:]
-    seen = np.append(0, np.cumsum(flag))
-    letters = np.append(0, np.cumsum(letter))
-    odd = (seen[ends] > seen[starts]) & (letters[ends] > letters[starts])
-    # the flag may look past its word: keep it if the word itself has it
-    out = [(int(owner[i]), int(starts[i]), int(ends[i])) for i in np.flatnonzero(odd)]
-    # spaced-out letters: at least four words of one character each
+
+    def held(flags: np.ndarray) -> np.ndarray:
+        seen = np.append(0, np.cumsum(flags))
+        return seen[ends] - seen[starts]
+
     lead = np.append(0, np.cumsum((data & 0xC0) != 0x80))
-    single = (lead[ends] - lead[starts] == 1) & (letters[ends] - letters[starts] + sign[starts] > 0)
+    # a doubled letter is noted at its second place, as no word ends between the two
+    alike = np.append(False, (data[1:] == data[:-1]) & letter[1:] & (data[1:] < 128))
+    alike[starts] = False
+    doubled = alike & ~np.append(False, alike[:-1])
+    letters, signs = held(letter), held(sign)
+    lone = held(_lone(letter | sign, lead, starts))
+    odd = (letters > 0) & ((signs > 0) | (held(alike) > held(doubled)) | (held(doubled) > 1) | (lone > 2))
+    out = [(int(owner[i]), int(starts[i]), int(ends[i])) for i in np.flatnonzero(odd)]
+    # spaced-out letters: at least three words of one character each, not all the same
+    single = (lead[ends] - lead[starts] == 1) & (letters + signs > 0)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single & True, [0]]).astype(np.int8)))
     for a, b in zip(edge[::2], edge[1::2], strict=True):
         for k in range(owner[a], owner[b - 1] + 1):
             i, j = max(a, int(np.searchsorted(owner, k))), min(b, int(np.searchsorted(owner, k, "right")))
-            if j - i >= 4 and len({bytes(data[starts[x]:ends[x]]) for x in range(i, j)}) > 2:
+            if j - i >= 3 and len({bytes(data[starts[x]:ends[x]]) for x in range(i, j)}) > 2:
                 out.append((k, int(starts[i]), int(ends[j - 1])))
     return out
 

@@ -1,6 +1,7 @@
 """Row-wise operators: pieces, packing, personal data, quality, toxicity, URLs, neighbours."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -19,6 +20,23 @@ def _texts(seed, n):
     return ["".join(draw.choice(PARTS) for _ in range(draw.randint(0, 25))) for _ in range(n)] + ["", " ", "  ", "a ", None]
 
 
+def test_pieces_of_a_model_without_bytes(tmp_path):
+    """A letter the model does not know is one unknown piece, whatever its bytes; spans as the library gives them."""
+    data = open(pieces.MODEL, "rb").read()
+    on = bytes([0x98, 0x02, 0x01])  # the model's flag for bytes, on
+    assert data.count(on) == 1
+    path = tmp_path / "no_bytes.model"
+    plain = re.sub(rb"(?s)(<0x[0-9A-F]{2}>\x15.{4}\x18)\x06", lambda m: m[1] + b"\x01", data)  # and its byte pieces as ordinary ones
+    path.write_bytes(plain.replace(on, bytes([0x98, 0x02, 0x00])))
+    encoder = pieces.encoder(str(path))
+    for text in [*_texts(3, 400), "a日😀b \U00012000\U00012000x", "\U00012000"]:
+        text = text or ""
+        ids, ends = encoder.one(text)
+        assert ids.tolist() == encoder.library.encode(text, add_eos=True)
+        assert ends[-1] == len(text.encode()) and (np.diff(ends) >= 0).all() and len(ends) == len(ids)
+    assert encoder.unknown in encoder.one("\U00012000 a")[0]
+
+
 def test_pieces_equal_the_library_and_tile_the_text(spark):
     texts = _texts(1, 400)
     got = {r["doc_id"]: r for r in pieces.encode(spark.createDataFrame(rows_of(texts), DOCS)).collect()}
@@ -166,6 +184,71 @@ def test_decoder_reads_disguises():
         assert read(disguise).strip() == word
 
 
+def _best_reading(decoder, piece):
+    """The cheapest of all readings of a short piece, one after the other."""
+    signs = "".join(toxicity.LOOK_ALIKES)
+    body = len(piece.rstrip(signs))
+
+    def run(i):
+        a, b = i, i
+        while a and piece[a - 1] == piece[i]:
+            a -= 1
+        while b + 1 < len(piece) and piece[b + 1] == piece[i]:
+            b += 1
+        return b - a + 1
+
+    def go(i, u, v, cost, text):
+        if i == len(piece):
+            yield cost + decoder.cost[u][v][0], text
+            return
+        c, arcs = piece[i], []
+        if c in toxicity._CODES:
+            arcs.append((c, 0.0))
+        arcs += [(x, 0.4) for x in toxicity.LOOK_ALIKES.get(c, "")]
+        if i and c == piece[i - 1] and (c in toxicity._CODES or c in signs):
+            arcs.append(("", 0.1 if run(i) > 2 else 1.5))
+        elif c == " ":
+            arcs += [("", 0.1), (" ", 1.5)]
+        elif c in signs:
+            arcs.append((" ", 7.0 if i < body else 4.0))
+        elif c not in toxicity._CODES:
+            arcs += [("", 1.0), (" ", 3.0)]
+        for x, step in arcs:
+            w = toxicity._CODES.get(x, 0)
+            yield from go(i + 1, v, w, cost + step + decoder.cost[u][v][w], text + x) if x else go(i + 1, u, v, cost + step, text)
+
+    return min(go(0, 0, 0, 0.0, ""))
+
+
+def test_decoder_finds_the_cheapest_reading():
+    draw = random.Random(8)
+    decoder = toxicity.Decoder(np.random.default_rng(8).integers(0, 30, toxicity._SIZE ** 3))
+    for _ in range(1_500):
+        piece = "".join(draw.choice("abis01$!|. -é") for _ in range(draw.randint(1, 6)))
+        assert decoder.read(piece) == _best_reading(decoder, piece)[1], piece
+
+
+def _flagged(*texts):
+    raw = [t.lower().encode() for t in texts]
+    offsets = np.append(0, np.cumsum([len(r) for r in raw]))
+    found = toxicity.disguised(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    return [(k, b"".join(raw)[a:b].decode()) for k, a, b in found]
+
+
+@pytest.mark.parametrize("piece", [
+    "idio7", "a$$", "sh17", "stup1d", "iiddiioott", "1.d.1.0.t", "i--d--i--o--t", "s.t.u.p.i.d", "ü.b.e.l", "mooron!", "tr@@@sh", "mooooron",
+    "i d i o t", "b a d", "1 d 1 0 t"])
+def test_all_disguises_reach_the_decoder(piece):
+    assert _flagged(f"the {piece} river", f"{piece}", "plain words") == [(0, piece), (1, piece)]
+
+
+def test_plain_words_do_not_reach_the_decoder():
+    plain = ["river stone", "book deal", "1999 2024", "!!! ... $$", "e.g. this", "half-and-half", "a b river", "a a a a", "don't", "naïve café", "", " "]
+    assert _flagged(*plain) == []
+    # a letter or a word does not go on in the next text
+    assert _flagged("rivera", "aalto", "a b", "c d") == []
+
+
 def test_toxicity_finds_disguised_words(spark, no_docs, awkward):
     draw = random.Random(4)
     plain = ["river", "stone", "cloud", "garden", "window", "music", "paper", "bread", "summer", "winter"]
@@ -177,10 +260,12 @@ def test_toxicity_finds_disguised_words(spark, no_docs, awkward):
         texts.append(" ".join(words))
         labels.append((i, 1, int(i % 4 == 0)))
     texts += ["river m0r0n stone", "cloud $tup1d bread", "paper i d i o t music", "river stone cloud", ""]
+    more = ["river idio7 stone", "cloud 1.d.1.0.t bread", "paper i--d--i--o--t music", "garden!! summer!!!"]
+    texts += more
     docs = spark.createDataFrame(rows_of(texts), DOCS)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r for r in toxicity.classify(docs, marks).collect()}
-    assert [got[400 + k]["predicted"] for k in range(5)] == [1, 1, 1, 0, 0]
+    assert [got[400 + k]["predicted"] for k in range(9)] == [1, 1, 1, 0, 0, 1, 1, 1, 0]
     assert all(got[i]["predicted"] == y for i, _, y in labels)
     assert toxicity.classify(no_docs, marks).count() == 0
     assert toxicity.classify(awkward, marks.limit(0)).count() == awkward.count()
