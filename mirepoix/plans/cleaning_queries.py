@@ -8,7 +8,7 @@ from mirepoix import lookups
 from mirepoix.functions import text, units
 from mirepoix.operators import cleaning, titles
 from mirepoix.plans.registry import query
-from mirepoix.plans.views import CELSIUS_OF_STEP, NUTRITION, STEPS_STANDARD, clean, documents, recipes, table, with_views
+from mirepoix.plans.views import CELSIUS_OF_STEP, NUTRITION, STEPS_STANDARD, clean, documents, parts, recipes, with_views
 
 CLEAN_COLUMNS = (
     "id", "name", "minutes", "n_steps", "description", "n_ingredients",
@@ -238,7 +238,7 @@ def title_lemmas(spark, sf_dir):
 SELECT p_partkey AS id, array_to_string(list_transform({_TOKENS.format('p_name')},
        lambda t: {_sql_lemma('t')}), ' ') AS lemmas FROM part""")
 def title_lemmas_joined(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select(
+    rows = parts(spark, sf_dir).select(
         F.col("p_partkey").alias("id"), text.title_tokens("p_name").alias("t"))
     return titles.title_lemmas(rows, "t", lemma_table(spark)).select(
         "id", F.array_join("t", " ").alias("lemmas"))
@@ -251,7 +251,7 @@ SELECT p_partkey AS id, array_to_string(list_filter(
 def title_stopwords(spark, sf_dir):
     tokens = F.split(F.concat(F.lit("the best "), "p_name", F.lit(" recipe for the best")), " ")
     words = [*titles.english_stop_words(), *HOUSE_WORDS]
-    return table(spark, sf_dir, "part").select(
+    return parts(spark, sf_dir).select(
         F.col("p_partkey").alias("id"),
         F.array_join(text.drop_stop_words(tokens, words), " ").alias("tokens"))
 

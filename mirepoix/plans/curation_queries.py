@@ -32,7 +32,7 @@ def filter_length(spark, sf_dir):
 @query("seeded_shuffle", with_views("pairs", """
 SELECT id, instruction, md5('42:' || id) AS sort_key FROM pairs"""))
 def seeded_shuffle(spark, sf_dir):
-    return curation.seeded_shuffle(pairs(spark, sf_dir)).select(
+    return curation.seeded_shuffle(stored_pairs(spark, sf_dir)).select(
         "id", "instruction", curation.seeded_key(42, "id").alias("sort_key"))
 
 

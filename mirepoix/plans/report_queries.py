@@ -23,7 +23,7 @@ from mirepoix.plans.views import (
     table,
     with_views,
 )
-from mirepoix.session import fresh_path
+from mirepoix.session import fresh_path, spread
 from mirepoix.sources import schemas, tables
 from mirepoix.streaming.files import process_available
 
@@ -295,7 +295,7 @@ def stream_clean(spark, sf_dir):
     columns = [f"{e} AS {n}" for n, e in RECIPE_COLUMNS.items()]
 
     def transform(part):
-        return cleaning.clean_recipes(part.selectExpr(*columns)).select(*CLEAN_COLUMNS)
+        return cleaning.clean_recipes(spread(part).selectExpr(*columns)).select(*CLEAN_COLUMNS)
 
     process_available(
         spark, sf_dir, table(spark, sf_dir, "part").schema, transform, target,

@@ -15,7 +15,7 @@ from mirepoix.functions.core import regex_sub_compute, split_words
 from mirepoix.operators.evaluation import correct_vocabulary, vocabulary
 from mirepoix.operators.terms import correct_terms
 from mirepoix.plans.registry import query
-from mirepoix.plans.views import STEPS_STANDARD, STEPS_TEXT, documents, recipes, table, with_views
+from mirepoix.plans.views import STEPS_STANDARD, STEPS_TEXT, documents, parts, recipes, table, with_views
 from mirepoix.session import store
 
 _C = "CAST(CAST(round(({} - 32) * 5.0 / 9.0) AS INT) AS STRING)"
@@ -27,7 +27,7 @@ _CM4 = "CAST(round(2.54 * (p + 4), 1)::DOUBLE AS STRING)"
 
 
 def _texts(spark, sf_dir, *texts: str):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    part = parts(spark, sf_dir).select("p_partkey", "p_size")
     rows = part.selectExpr("p_partkey AS id", "p_size AS p")
     return rows.selectExpr("id", "p", *texts)
 
@@ -85,7 +85,7 @@ _rule("convert_unit", "concat(CAST(p AS STRING), ' cups milk')",
 SELECT p_partkey AS id, concat('take ', CAST(p_size * 2 AS STRING), ' of ',
        CAST(p_partkey * 2 AS STRING), ' left') AS result FROM part""")
 def regex_sub_compute_query(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").selectExpr(
+    rows = parts(spark, sf_dir).selectExpr(
         "p_partkey AS id", "concat('take ', p_size, ' of ', p_partkey, ' left') AS t")
 
     def doubled(number: Column) -> Column:
@@ -109,7 +109,7 @@ def f_to_c(spark, sf_dir):
 SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size + 1.25::DOUBLE END AS mean
 FROM part""")
 def range_mean(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").selectExpr(
+    rows = parts(spark, sf_dir).selectExpr(
         "p_partkey AS id",
         "CASE WHEN p_partkey % 3 = 0 THEN concat(p_size, '-a') "
         "ELSE concat(p_size, '-', p_size + 2, '.5') END AS t")
@@ -139,7 +139,7 @@ SELECT DISTINCT unnest(regexp_split_to_array(lower(t), '{_SPACE}')) AS token FRO
 def _all_texts(spark, sf_dir):
     docs = documents(spark, sf_dir).select(F.col("text").alias("t"))
     steps = recipes(spark, sf_dir).selectExpr(f"{STEPS_TEXT} AS t")
-    return docs.union(steps).union(table(spark, sf_dir, "part").selectExpr(f"{_MISSPELT} AS t"))
+    return docs.union(steps).union(parts(spark, sf_dir).selectExpr(f"{_MISSPELT} AS t"))
 
 
 @query("correct_term_dict", with_views("recipes_src", f"""

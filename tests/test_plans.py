@@ -93,3 +93,16 @@ def test_column_functions_need_few_analyser_rounds(spark):
     finally:
         spark.conf.set("spark.sql.analyzer.maxIterations", rounds)
     assert analysed > 50
+
+
+def test_one_file_of_short_rows_is_worked_on_by_all_tasks(spark, tmp_path):
+    from mirepoix.plans import curation_queries, scoring_queries, unit_queries
+    from mirepoix.plans.views import clean, generations
+
+    rows = spark.range(2_000).selectExpr(
+        "id AS p_partkey", "concat('soup ', id) AS p_name", "'Brand#1' AS p_brand", "'ECO TIN' AS p_type",
+        "CAST(id % 50 + 1 AS INT) AS p_size", "CAST(id AS DOUBLE) AS p_retailprice")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for made in (clean, generations, unit_queries.standardize_units, scoring_queries.bleu, curation_queries.render_prompt):
+        sizes = [r["count"] for r in made(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 8 and max(sizes) < sum(sizes) / 4
