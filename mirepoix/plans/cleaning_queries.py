@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import text, units
+from mirepoix.functions.core import once
 from mirepoix.operators import cleaning, titles
 from mirepoix.plans.registry import query
 from mirepoix.plans.views import CELSIUS_OF_STEP, NUTRITION, STEPS_STANDARD, clean, documents, parts, recipes, with_views
@@ -221,7 +222,7 @@ def title_strip(spark, sf_dir):
 SELECT doc_id, len({_TOKENS.format('text')})::INT AS n_tokens,
        array_to_string({_TOKENS.format('text')}, '|') AS tokens FROM documents""")
 def title_tokens(spark, sf_dir):
-    rows = documents(spark, sf_dir).select("doc_id", text.title_tokens("text").alias("t"))
+    rows = once(documents(spark, sf_dir), {"t": text.title_tokens("text")})
     return rows.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", "|").alias("tokens"))
 
 

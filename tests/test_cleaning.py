@@ -125,3 +125,12 @@ def test_verdict_priority(spark):
     got = {r.id: (r.score, r.judge_model) for r in
            evaluation.resolve_verdicts(df, ["a", "b", "c"], generated="generated").collect()}
     assert got == {1: (4, "b"), 2: (0, "None"), 3: (0, "None"), 4: (0, "None")}
+
+
+def test_title_tokens_with_every_kind_of_white_space(spark):
+    blanks = "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+    texts = [*[f"Don't{b}STOP{b}{b}\u00e9t\u00e9 \U0001f600x" for b in blanks], "a\u200bb", "", " ", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        text.strip_title("t").alias("s"), text.title_tokens("t").alias("w")).collect()
+    assert [r.s for r in found] == [*[f"dont{b}stop{b}{b}t x" for b in blanks], "ab", "", " ", None]
+    assert [r.w for r in found] == [*[["dont", "stop", "t", "x"]] * len(blanks), ["ab"], [], [], None]

@@ -106,3 +106,10 @@ def test_one_file_of_short_rows_is_worked_on_by_all_tasks(spark, tmp_path):
     for made in (clean, generations, unit_queries.standardize_units, scoring_queries.bleu, curation_queries.render_prompt):
         sizes = [r["count"] for r in made(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) >= 8 and max(sizes) < sum(sizes) / 4
+
+
+def test_titles_are_cut_into_tokens_once_per_row(spark, sf_dir):
+    from mirepoix.plans import cleaning_queries
+
+    found = cleaning_queries.title_tokens(spark, sf_dir)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
