@@ -1,16 +1,20 @@
 """Correct words against a table of terms: the most similar term, if it is similar enough.
 
 Similarity is that of ``units.correct_term``: letters put in and taken out over the letters of both.
-Its bound says how many edits a word of n letters may be away from a term of m. The term is cut into
-one piece more than that: an edit spoils one piece at most, so one piece stands in the word as it is,
-and no further from its place than the edits reach. Terms are listed by their pieces, words look up the
-pieces they may hold, and only pairs that meet are compared. No list of terms is brought together, neither
+Its bound says how many edits a word of n letters may be away from a term of m, and so how many letters
+each of the two has to drop at most until both read the same. Where there are few ways to drop them, terms are
+listed by what is left of them, and words look up what is left of theirs: only pairs alike enough meet. For
+longer texts the term is cut into one piece more than the edits: an edit spoils one piece at most, so one
+piece stands in the word as it is, and no further from its place than the edits reach. Terms are listed by
+their pieces, words look up the pieces they may hold, and only pairs that meet are compared. No list of terms is brought together, neither
 on the driver nor in a plan, and nothing is broadcast by hint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +27,10 @@ from mirepoix.session import store
 
 # Looked-up entries of one piece that are kept together; a piece with more is spread over tasks.
 TOGETHER = 20_000
+# Ways to drop letters from a text up to which all of them are listed; with more, it is cut into pieces.
+WAYS = 300
+# Shortened texts of one step in a task.
+CELLS = 1 << 18
 _WORD, _TERM = "_word", "_term"
 
 
@@ -57,14 +65,72 @@ def _key(text: str, at) -> F.Column:
     return F.xxhash64("n", "m", "i", F.substring(text, at + 1, F.col("size")))
 
 
+def _dropped(own: str, other: str) -> F.Column:
+    """How many letters a text drops until no more than the longest common subsequence is left."""
+    return ((F.col("edits") + F.col(own) - F.col(other)) / 2).cast("int")
+
+
+def _ways(size: str, dropped: F.Column) -> F.Column:
+    """In how many ways the letters can be chosen."""
+    each = F.aggregate(
+        F.sequence(F.lit(1), dropped), F.lit(1.0), lambda ways, i: ways * (F.col(size) - dropped + i) / i)
+    return F.when(dropped > 0, each).otherwise(F.lit(1.0))
+
+
+def _few_ways() -> F.Column:
+    return (_ways("n", _dropped("n", "m")) <= WAYS) & (_ways("m", _dropped("m", "n")) <= WAYS)
+
+
+@lru_cache(maxsize=256)
+def _kept(size: int, dropped: int) -> np.ndarray:
+    """The places of the letters that stay, one row per way."""
+    return np.array(list(combinations(range(size), size - dropped)), dtype=np.int64).reshape(-1, size - dropped)
+
+
+def _mixed(letters: np.ndarray) -> np.ndarray:
+    """64 scattered bits per code point."""
+    bits = (letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    bits = (bits ^ (bits >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return bits ^ (bits >> np.uint64(27))
+
+
+def _shortened_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash of every way to drop letters from each text, with both lengths in it."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column("text").to_pylist()
+        sizes = np.stack([batch.column(c).to_numpy() for c in ("size", "dropped", "n", "m")], axis=1)
+        groups, member = np.unique(sizes, axis=0, return_inverse=True)
+        for g, (size, dropped, n, m) in enumerate(groups.tolist()):
+            rows, kept = np.flatnonzero(member.ravel() == g), _kept(size, dropped)
+            step = max(1, CELLS // len(kept))
+            for chosen in (rows[i:i + step] for i in range(0, len(rows), step)):
+                joined = "".join(texts[i] for i in chosen).encode("utf-32-le")
+                letters = _mixed(np.frombuffer(joined, np.uint32).reshape(len(chosen), size))
+                keys = np.full((len(chosen), len(kept)), n << 32 | m, dtype=np.uint64)
+                for place in kept.T:
+                    keys = keys * np.uint64(0x2545F4914F6CDD1D) + letters[:, place]
+                whole = batch.column("text").take(pa.array(np.repeat(chosen, len(kept))))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), whole], ["key", "text"])
+
+
+def _shortened(sized: DataFrame, text: str, own: str, other: str) -> DataFrame:
+    """``(key, text)`` of what may be left of each text, for partners with that many letters."""
+    rows = sized.select(
+        F.col(text).alias("text"), F.col(own).alias("size"), _dropped(own, other).alias("dropped"), "n", "m")
+    return rows.mapInArrow(_shortened_keys, "key bigint, text string").withColumnRenamed("text", text)
+
+
 def _entries(terms: DataFrame, words: DataFrame, percent: int) -> DataFrame:
-    """Every piece of every term, per length of the word: ``(key, term)``."""
+    """What may be left of every term, or every piece of it, per length of the word: ``(key, term)``."""
     sized = _lengths(terms, _TERM, percent, "m", words, "n")
-    return _pieces(sized).select(_key(_TERM, F.col("begin")).alias("key"), _TERM)
+    pieces = _pieces(sized.filter(~_few_ways())).select(_key(_TERM, F.col("begin")).alias("key"), _TERM)
+    return _shortened(sized.filter(_few_ways()), _TERM, "m", "n").union(pieces)
 
 
 def _lookups(words: DataFrame, terms: DataFrame, percent: int) -> DataFrame:
-    """Every piece a word may share, per length of the term: ``(key, word)``.
+    """What may be left of a word, or every piece it may share, per length of the term: ``(key, word)``.
 
     A piece that is moved by s takes |s| edits before it and |n - m - s| behind it.
     """
@@ -72,9 +138,10 @@ def _lookups(words: DataFrame, terms: DataFrame, percent: int) -> DataFrame:
     gap = F.col("n") - F.col("m")
     low = F.ceil((gap - F.col("edits")) / F.lit(2.0)).cast("int")
     high = F.floor((gap + F.col("edits")) / F.lit(2.0)).cast("int")
-    moved = _pieces(sized).withColumn("at", F.explode(F.sequence(low + F.col("begin"), high + F.col("begin"))))
+    moved = _pieces(sized.filter(~_few_ways())).withColumn("at", F.explode(F.sequence(low + F.col("begin"), high + F.col("begin"))))
     inside = moved.filter((F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("n")))
-    return inside.select(_key(_WORD, F.col("at")).alias("key"), _WORD)
+    pieces = inside.select(_key(_WORD, F.col("at")).alias("key"), _WORD)
+    return _shortened(sized.filter(_few_ways()), _WORD, "n", "m").union(pieces)
 
 
 def _letter_bits(text: str) -> F.Column:
@@ -107,7 +174,7 @@ def similar_terms(words: DataFrame, terms: DataFrame, percent: int = 20, togethe
     tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = store(words, "words").repartition(tasks, _WORD)
     terms = store(terms, "terms").repartition(tasks, _TERM)
-    entries = _entries(terms, words, percent)
+    entries = store(_entries(terms, words, percent), "term-entries")
     asked = store(_lookups(words, terms, percent).join(entries.select("key").distinct(), "key", "left_semi"), "term-lookups")
     often = asked.groupBy("key").count().filter(F.col("count") > together)
     parts = often.select("key", F.ceil(F.col("count") / F.lit(together)).cast("int").alias("parts"))

@@ -98,3 +98,27 @@ def test_term_join_has_no_cross_join(spark):
     table = spark.createDataFrame([("teaspoon",)], "term string")
     text = terms.correct_terms(df, table)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_only_similar_pairs_meet(spark):
+    """Words of few syllables share pieces with most terms, but what is left of them only with similar ones."""
+    draw = random.Random(5)
+    made = sorted({"".join(draw.choices(["an", "he", "ti", "on", "er", "s"], k=draw.randint(3, 6))) for _ in range(400)})
+    words = spark.createDataFrame([(w,) for w in made], "_word string")
+    known = spark.createDataFrame([(t,) for t in made[::4]], "_term string")
+    met = terms._lookups(words, known, 20).join(terms._entries(known, words, 20), "key").select("_word", "_term").distinct()
+    alike = {(a, b) for a in made for b in made[::4] if 100 * (len(a) + len(b) - 2 * shared(a, b)) < 20 * (len(a) + len(b))}
+    got = [tuple(r) for r in met.collect()]
+    assert len(alike) > len(made[::4]) and len(got) == len(set(got)) and set(got) == alike
+
+
+@pytest.mark.parametrize("ways", [0, 1, 8])
+def test_short_and_long_way_find_the_same(spark, monkeypatch, ways):
+    monkeypatch.setattr(terms, "WAYS", ways)
+    monkeypatch.setattr(terms, "CELLS", 3)
+    draw = random.Random(ways)
+    known = ["".join(draw.choice("abé日😀") for _ in range(draw.randint(1, 14))) for _ in range(40)]
+    words = [spoilt(draw, draw.choice(known), draw.randint(0, 3)) for _ in range(80)]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    rows = terms.correct_terms(df, spark.createDataFrame([(t,) for t in known], "term string"), percent=33).collect()
+    assert {r.word: (r.corrected, r.edits) for r in rows} == brute(words, known, 33)
