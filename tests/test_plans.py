@@ -113,3 +113,12 @@ def test_titles_are_cut_into_tokens_once_per_row(spark, sf_dir):
 
     found = cleaning_queries.title_tokens(spark, sf_dir)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+
+
+def test_steps_are_parsed_once_and_after_the_rows_are_dealt(spark, sf_dir):
+    from mirepoix.plans.views import clean
+
+    text = clean(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("Repartition", 1)
+    assert "from_json" not in below and "< 300" in below
+    assert above.count("from_json(ArrayType(StringType") == 3  # tags, steps and ingredients
