@@ -255,3 +255,17 @@ def test_no_pattern_is_built_from_a_row(spark):
     df = spark.createDataFrame([("['salt']", "some salt")], "a string, b string")
     optimized = df.select(scoring.recipe_metrics("a", "b"))._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"RLIKE\(?[^,]*concat", optimized, re.I)
+
+
+def test_texts_without_quotes_skip_the_quote_rules(spark):
+    draw = random.Random(4)
+    parts = ["a", "b1", "cannot", "gimme", "lemme", "wanna", "gotta", " ", "  ", " ", ".", "...", "!", "?", "(", ")", "[", "<", "--", ",", ":", ";",
+             "&", "1", "/", "é", "`", "\n"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(10_000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "t string")
+    rest = F.lower(single_spaced(F.col("t")))
+    for pattern, replacement in scoring.TREEBANK_RULES:
+        rest = F.regexp_replace(rest, pattern, replacement)
+    ruled = F.filter(F.split(rest, " +"), lambda w: w != "")
+    assert df.filter(~ruled.eqNullSafe(scoring.bleu_tokens("t"))).take(1) == []
+    assert len(scoring._PASSES) - len(scoring._UNQUOTED_PASSES) == 4
