@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mirepoix import lookups
 from mirepoix.functions import units
+from mirepoix.functions import core
 from mirepoix.functions.core import plain_number, round_exact
 
 TEXTS = [
@@ -153,3 +154,24 @@ def test_no_break_spaces_are_blanks(spark):
     text = "preheat\u00a0oven\u00a0to\u00a0350\u00a0degrees\u00a0f and hold at 400\u00a0degrees"
     row = spark.range(1).select(F.lit(text).alias("t")).select(units.standardize_units("t").alias("s")).first()
     assert row.s == "preheat oven to 177.0 celsius and hold at 204.0 celsius"
+
+
+def test_only_units_few_edits_away_are_aligned(spark):
+    assert "levenshtein" in str(units.closest_unit(F.col("w")))
+    # one letter less, one replaced (an edit, but two of the share), none near, longer than any unit
+    words = {"secnd": "second", "mknutes": "minutes", "flour": None, "s" * 40: None, "": None}
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r.w: r.u for r in df.select("w", units.closest_unit(F.col("w")).alias("u")).collect()}
+    assert got == words
+
+
+def test_single_blanks_are_passed_over(spark):
+    texts = ["a b c", " a  b ", "a\tb\n c", "a \u00a0b\u2003c", "\x85a\x1cb\u3000", "  ", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(
+        core.single_spaced(F.col("t")), F.regexp_count("t", F.lit(core._WIDE_SPACE))).collect()]
+    assert got == [(" ".join(t.split()), n) for t, n in zip(texts, (0, 1, 2, 2, 3, 1, 0))]
+
+
+def test_a_measures_words_are_cut_once(spark):
+    assert str(units._measure(F.col("m"))).count("split(substring_index") == 1
