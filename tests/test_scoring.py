@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from mirepoix import lookups
 from mirepoix.functions import prompts, scoring
 from mirepoix.functions.core import single_spaced, split_words
 
@@ -269,3 +270,25 @@ def test_texts_without_quotes_skip_the_quote_rules(spark):
     ruled = F.filter(F.split(rest, " +"), lambda w: w != "")
     assert df.filter(~ruled.eqNullSafe(scoring.bleu_tokens("t"))).take(1) == []
     assert len(scoring._PASSES) - len(scoring._UNQUOTED_PASSES) == 4
+
+
+def test_long_texts_are_searched_once_a_pattern(spark):
+    text = F.col("t")
+    assert str(scoring.extract_temperatures(text)).count("regexp_extract_all") == len(lookups.TEMPERATURE_MENTIONS)
+    assert str(scoring.ingredient_is_used(F.col("i"), text)).count(r"\b") == 2
+    assert str(scoring.substitution_count(text)).count("contains(") == len(lookups.SUBSTITUTION_PATTERNS)
+
+
+def test_mentions_and_substitutions_of_odd_texts(spark):
+    texts = {
+        "5.C and 12.5 degrees F, 20c": ([(5.0, "C"), (12.5, "F"), (20.0, "C")], 0),
+        "350 fahrenheit 180cups": ([(350.0, "F")], 0),
+        "Alternatively, IF YOU are allergic, you can use a substitute instead of it": ([], 5),
+        "salt, or used": ([], 0),
+        "": ([], 0),
+    }
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    rows = df.select(
+        "t", scoring.extract_temperatures("t").alias("found"), scoring.substitution_count("t").alias("n")).collect()
+    got = {r.t: (None if r.found is None else sorted((m.value, m.unit) for m in r.found), r.n) for r in rows}
+    assert got == {t: (sorted(m), n) for t, (m, n) in texts.items()} | {None: (None, None)}
