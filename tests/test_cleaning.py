@@ -35,6 +35,14 @@ def test_list_text_reads_back(spark):
     assert got == [str(v) for v in lists]
 
 
+def test_blank_test_ends_at_the_first_sign(spark):
+    values = [None, "", " ", "\t\r\n", "\x1c\x1f\x85\u00a0\u2003\u2028\u3000", "  \n\u00a0x", "x  ", "\u200b", "\x00", "\U0001f370"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", text.is_non_blank("v").alias("x"))
+    assert [r.x for r in df.collect()] == [None if v is None else v.strip() != "" for v in values]
+    # no copy of the text is made for it
+    assert "regexp_replace" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_malformed_lists(spark):
     df = raw(spark, {}, {"tags": "['a', None"}, {"tags": None})
     counts = cleaning.count_malformed(df).first()

@@ -175,3 +175,30 @@ def test_single_blanks_are_passed_over(spark):
 
 def test_a_measures_words_are_cut_once(spark):
     assert str(units._measure(F.col("m"))).count("split(substring_index") == 1
+
+
+def test_candidates_by_length(spark):
+    """The length of a token is halved down to; the tokens found are those of one look per length."""
+    by_length = {}
+    for unit, _ in units._FUZZY_UNITS:
+        for n in units._lengths(unit):
+            by_length.setdefault(n, set()).update(units._like(unit, n))
+    plain = "|".join(f"(?=[^ ]{{{n}}}(?![^ ]))(?:{'|'.join(sorted(p))})" for n, p in sorted(by_length.items()))
+    rng = random.Random(7)
+    tokens = {"", "a", "\U0001f370up", "cu\U0001f370p", "cup\tx", "cup\nx", "x" * 40}
+    for unit in units.UNITS:
+        for edits in (1, 2, 3, 6) * 30:
+            letters = list(unit)
+            for _ in range(edits):
+                at = rng.randrange(len(letters) + 1)
+                letters[at:at + rng.randrange(2)] = rng.choice(["", rng.choice("acehimnoprstu\u00e9")])
+            tokens.add("".join(letters))
+    df = spark.createDataFrame([(t, f"on {t} of") for t in sorted(tokens)], "token string, inside string")
+    got = df.select("token", *[
+        F.regexp_replace(c, rf"(?<![^ ])(?:{p})[^ ]*", "<$0>").alias(f"{c}_{n}")
+        for c in ("token", "inside") for n, p in (("old", plain), ("new", units._unit_like()))
+    ]).collect()
+    assert [(r.token_new, r.inside_new) for r in got] == [(r.token_old, r.inside_old) for r in got]
+    found = {r.token for r in got if r.token_new != r.token}
+    assert 100 < len(found) < len(tokens)
+    assert "(?=[^ ]{8}(?![^ ]))" in plain and "(?=[^ ]{8}(?![^ ]))" not in units.CANDIDATE
