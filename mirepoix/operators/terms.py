@@ -1,194 +1,146 @@
 """Correct words against a table of terms: the most similar term, if it is similar enough.
 
 Similarity is that of ``units.correct_term``: letters put in and taken out over the letters of both.
-Its bound says how many edits a word of n letters may be away from a term of m, and so how many letters
-each of the two has to drop at most until both read the same. Where there are few ways to drop them, terms are
-listed by what is left of them, and words look up what is left of theirs: only pairs alike enough meet. For
-longer texts the term is cut into one piece more than the edits: an edit spoils one piece at most, so one
-piece stands in the word as it is, and no further from its place than the edits reach. Terms are listed by
-their pieces, words look up the pieces they may hold, and only pairs that meet are compared. No list of terms is brought together, neither
+Words and terms are packed into blocks of one length, a text of its own, and a block of words meets one after the other
+the blocks of terms whose length allows a similar one: what is listed of each text to find the pairs
+that are alike (``functions.near``) never becomes a row. No list of terms is brought together, neither
 on the driver nor in a plan, and nothing is broadcast by hint.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-from itertools import combinations
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirepoix.functions import lcs
-from mirepoix.functions.core import once
+from mirepoix.functions import near
 from mirepoix.session import store
 
-# Looked-up entries of one piece that are kept together; a piece with more is spread over tasks.
-TOGETHER = 20_000
+# Texts of one length that are kept together in a block, and letters of a block.
+TOGETHER, LETTERS = 100_000, 1 << 20
 # Ways to drop letters from a text up to which all of them are listed; with more, it is cut into pieces.
-WAYS = 300
-# Shortened texts of one step in a task.
+WAYS = 10_000
+# Hashes that are looked up in one step of a task.
 CELLS = 1 << 18
 _WORD, _TERM = "_word", "_term"
+_FOUND = f"{_WORD} string, {_TERM} string, edits bigint"
 
 
-def _edits(n, m, percent: int):
-    """The most edits with edits / (n + m) below ``percent``, as lengths n and m allow: n + m - 2 * shared."""
-    most = F.ceil((n + m) * percent / F.lit(100.0)).cast("int") - 1
-    return most - (most + n + m) % 2
-
-
-def _lengths(df: DataFrame, text: str, percent: int, own: str, partners: DataFrame, other: str) -> DataFrame:
-    """One row per text and length its partner may have, of the lengths there are."""
+def _alike_lengths(words: DataFrame, terms: DataFrame, percent: int) -> DataFrame:
+    """``(n, m)``: lengths of words beside lengths of terms of which some may be similar."""
     # |n - m| edits are the fewest there are: 100 * (n - m) < percent * (n + m)
-    size = F.length(text)
-    least = F.floor(size * (100 - percent) / (100.0 + percent)).cast("int")
-    most = F.ceil(size * (100 + percent) / (100.0 - percent)).cast("int")
-    near = df.select(text, size.alias(own), F.explode(F.sequence(F.greatest(F.lit(1), least), F.greatest(F.lit(1), most))).alias(other))
-    some = partners.select(F.length(partners.columns[0]).alias(other)).distinct()
-    within = F.abs(F.col("n") - F.col("m")) * 100 < (F.col("n") + F.col("m")) * percent
-    return near.filter(within).join(some, other, "left_semi").withColumn("edits", _edits(F.col("n"), F.col("m"), percent))
-
-
-def _pieces(df: DataFrame) -> DataFrame:
-    """Per piece ``i`` of ``edits + 1``: where it begins in the term, and its size; none is empty."""
-    count = F.least(F.col("edits") + 1, F.col("m"))
-    cut = df.withColumn("i", F.explode(F.sequence(F.lit(0), count - 1))).withColumn("pieces", count)
-    begin = F.floor(F.col("i") * F.col("m") / F.col("pieces")).cast("int")
-    end = F.floor((F.col("i") + 1) * F.col("m") / F.col("pieces")).cast("int")
-    return cut.withColumn("begin", begin).withColumn("size", end - begin)
-
-
-def _key(text: str, at) -> F.Column:
-    return F.xxhash64("n", "m", "i", F.substring(text, at + 1, F.col("size")))
-
-
-def _dropped(own: str, other: str) -> F.Column:
-    """How many letters a text drops until no more than the longest common subsequence is left."""
-    return ((F.col("edits") + F.col(own) - F.col(other)) / 2).cast("int")
-
-
-def _ways(size: str, dropped: F.Column) -> F.Column:
-    """In how many ways the letters can be chosen."""
-    each = F.aggregate(
-        F.sequence(F.lit(1), dropped), F.lit(1.0), lambda ways, i: ways * (F.col(size) - dropped + i) / i)
-    return F.when(dropped > 0, each).otherwise(F.lit(1.0))
-
-
-def _few_ways() -> F.Column:
-    return (_ways("n", _dropped("n", "m")) <= WAYS) & (_ways("m", _dropped("m", "n")) <= WAYS)
-
-
-@lru_cache(maxsize=256)
-def _kept(size: int, dropped: int) -> np.ndarray:
-    """The places of the letters that stay, one row per way."""
-    return np.array(list(combinations(range(size), size - dropped)), dtype=np.int64).reshape(-1, size - dropped)
-
-
-def _mixed(letters: np.ndarray) -> np.ndarray:
-    """64 scattered bits per code point."""
-    bits = (letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    bits = (bits ^ (bits >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    return bits ^ (bits >> np.uint64(27))
-
-
-def _shortened_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A hash of every way to drop letters from each text, with both lengths in it."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = batch.column("text").to_pylist()
-        sizes = np.stack([batch.column(c).to_numpy() for c in ("size", "dropped", "n", "m")], axis=1)
-        groups, member = np.unique(sizes, axis=0, return_inverse=True)
-        for g, (size, dropped, n, m) in enumerate(groups.tolist()):
-            rows, kept = np.flatnonzero(member.ravel() == g), _kept(size, dropped)
-            step = max(1, CELLS // len(kept))
-            for chosen in (rows[i:i + step] for i in range(0, len(rows), step)):
-                joined = "".join(texts[i] for i in chosen).encode("utf-32-le")
-                letters = _mixed(np.frombuffer(joined, np.uint32).reshape(len(chosen), size))
-                keys = np.full((len(chosen), len(kept)), n << 32 | m, dtype=np.uint64)
-                for place in kept.T:
-                    keys = keys * np.uint64(0x2545F4914F6CDD1D) + letters[:, place]
-                whole = batch.column("text").take(pa.array(np.repeat(chosen, len(kept))))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), whole], ["key", "text"])
-
-
-def _shortened(sized: DataFrame, text: str, own: str, other: str) -> DataFrame:
-    """``(key, text)`` of what may be left of each text, for partners with that many letters."""
-    rows = sized.select(
-        F.col(text).alias("text"), F.col(own).alias("size"), _dropped(own, other).alias("dropped"), "n", "m")
-    return rows.mapInArrow(_shortened_keys, "key bigint, text string").withColumnRenamed("text", text)
+    n, m = F.col("n"), F.col("m")
+    least = F.floor(n * (100 - percent) / (100.0 + percent)).cast("int")
+    most = F.ceil(n * (100 + percent) / (100.0 - percent)).cast("int")
+    own = words.select(F.length(_WORD).alias("n")).distinct()
+    each = own.withColumn("m", F.explode(F.sequence(F.greatest(F.lit(1), least), F.greatest(F.lit(1), most))))
+    return each.filter(F.abs(n - m) * 100 < (n + m) * percent).join(
+        terms.select(F.length(_TERM).alias("m")).distinct(), "m", "left_semi")
+
+
+def _keyed(df: DataFrame, text: str, own: str, lengths: DataFrame, percent: int) -> DataFrame:
+    """``(key, text)`` of all that is listed of each text, for partners of every length there is."""
+    ways, word = WAYS, own == "n"
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text).to_pylist()
+            sizes = np.stack([batch.column(c).to_numpy() for c in ("n", "m")], axis=1)
+            for n, m in np.unique(sizes, axis=0).tolist():
+                rows = np.flatnonzero((sizes == (n, m)).all(axis=1))
+                by = near.level(n, m, near.most_edits(n, m, percent), ways)
+                found = near.keys(near.Texts("".join(texts[i] for i in rows), n if word else m).letters, by, word)
+                keys = (found + np.uint64(near.salt(n, m))).ravel().view(np.int64)
+                whole = batch.column(text).take(pa.array(np.tile(rows, len(found))))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), whole], ["key", text])
+
+    sized = df.select(text, F.length(text).alias(own)).join(lengths, own)
+    return sized.mapInArrow(listed, f"key bigint, {text} string")
 
 
 def _entries(terms: DataFrame, words: DataFrame, percent: int) -> DataFrame:
     """What may be left of every term, or every piece of it, per length of the word: ``(key, term)``."""
-    sized = _lengths(terms, _TERM, percent, "m", words, "n")
-    pieces = _pieces(sized.filter(~_few_ways())).select(_key(_TERM, F.col("begin")).alias("key"), _TERM)
-    return _shortened(sized.filter(_few_ways()), _TERM, "m", "n").union(pieces)
+    return _keyed(terms, _TERM, "m", _alike_lengths(words, terms, percent), percent)
 
 
 def _lookups(words: DataFrame, terms: DataFrame, percent: int) -> DataFrame:
-    """What may be left of a word, or every piece it may share, per length of the term: ``(key, word)``.
+    """What may be left of a word, or every piece it may share, per length of the term: ``(key, word)``."""
+    return _keyed(words, _WORD, "n", _alike_lengths(words, terms, percent), percent)
 
-    A piece that is moved by s takes |s| edits before it and |n - m - s| behind it.
-    """
-    sized = _lengths(words, _WORD, percent, "n", terms, "m")
-    gap = F.col("n") - F.col("m")
-    low = F.ceil((gap - F.col("edits")) / F.lit(2.0)).cast("int")
-    high = F.floor((gap + F.col("edits")) / F.lit(2.0)).cast("int")
-    moved = _pieces(sized.filter(~_few_ways())).withColumn("at", F.explode(F.sequence(low + F.col("begin"), high + F.col("begin"))))
-    inside = moved.filter((F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("n")))
-    pieces = inside.select(_key(_WORD, F.col("at")).alias("key"), _WORD)
-    return _shortened(sized.filter(_few_ways()), _WORD, "n", "m").union(pieces)
-
-
-def _letter_bits(text: str) -> F.Column:
-    """Which letters a text has, as 64 bits; two letters may share a bit."""
-    return F.aggregate(
-        F.array_distinct(F.split(text, "")), F.lit(0).cast("bigint"),
-        lambda bits, c: bits.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(c), F.lit(62)).cast("int"))),
-    )
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edits of each pair, from its longest common subsequence."""
-    for batch in batches:
-        word, term = (batch.column(c).to_pylist() for c in (_WORD, _TERM))
-        sizes = np.array([len(a) + len(b) for a, b in zip(word, term)], dtype=np.int64)
-        edits = pa.array(sizes - 2 * lcs.lengths(word, term), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(_WORD), batch.column(_TERM), edits], [_WORD, _TERM, "edits"])
-
-
-def similar_terms(words: DataFrame, terms: DataFrame, percent: int = 20, together: int = TOGETHER) -> DataFrame:
+
+def _parts(df: DataFrame, text: str, together: int) -> Callable[[Column], Column]:
+    """Into how many blocks the texts of a length go. Only lengths of more than one block come to the driver."""
+    size = F.length(text)
+    most = F.least(F.lit(together), F.greatest(F.lit(1), F.floor(F.lit(LETTERS) / F.col("size"))))
+    often = df.groupBy(size.alias("size")).count().select("size", F.ceil(F.col("count") / most).cast("int").alias("parts"))
+    many = often.filter("parts > 1").collect()
+    return lambda length: F.coalesce(*[F.when(length == r["size"], F.lit(r["parts"])) for r in many], F.lit(1))
+
+
+def _blocks(df: DataFrame, text: str, parts: Callable[[Column], Column]) -> DataFrame:
+    """``(size, block, texts)``: texts of one length in order, one behind the other."""
+    block = F.pmod(F.xxhash64(text), parts(F.length(text))).cast("int")
+    grouped = df.groupBy(F.length(text).alias("size"), block.alias("block"))
+    return grouped.agg(F.array_join(F.sort_array(F.collect_list(text)), "").alias("texts"))
+
+
+def _rows(word: list[str], term: list[str], edits: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(word, pa.string()), pa.array(term, pa.string()), pa.array(edits, pa.int64())], [_WORD, _TERM, "edits"])
+
+
+def _compared(percent: int, nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Takes each block of words, then the blocks of terms that it meets; gives the pairs that are alike."""
+    ways, cells = WAYS, CELLS
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = best = None
+        for batch in batches:
+            for n, m, texts in zip(*(batch.column(c) for c in ("n", "m", "texts"))):
+                if m.as_py() == 0:
+                    if best:
+                        yield _rows(*best.found())
+                    words = near.Texts(texts.as_py(), n.as_py())
+                    best = near.Nearest(words, percent, ways, cells) if nearest else None
+                    continue
+                terms = near.Texts(texts.as_py(), m.as_py())
+                if best:
+                    best.see(terms)
+                    continue
+                for word, term, edits in near.pairs(words, terms, percent, ways, cells):
+                    yield _rows(words.at(word), terms.at(term), edits)
+        if best:
+            yield _rows(*best.found())
+
+    return compared
+
+
+def similar_terms(
+    words: DataFrame, terms: DataFrame, percent: int = 20, together: int = TOGETHER, nearest: bool = False
+) -> DataFrame:
     """All pairs of ``(_word, _term)`` with 100 * edits < ``percent`` * letters of both, each once, with ``edits``.
 
+    With ``nearest`` only the pair of each word that has the least share of edits, the first term by name on a tie.
     Both inputs hold distinct, non-empty texts in a column of that name. ``percent`` is 1 to 99.
-    Lookups of a piece that many words share are spread over tasks, with the piece's terms beside each part.
+    At most about ``together`` texts of one length are kept together; more are spread over tasks.
     """
     if not 0 < percent < 100:
         raise ValueError(f"percent is {percent}, not within 1 to 99")
-    # a small file of words makes many lookups, so words are spread before they are cut
+    words, terms = store(words, "words"), store(terms, "terms")
+    word_parts, term_parts = _parts(words, _WORD, together), _parts(terms, _TERM, together)
+    asked = _blocks(words, _WORD, word_parts).select(
+        F.col("size").alias("n"), "block", F.lit(0).alias("m"), F.lit(0).alias("turn"), "texts")
+    listed = _blocks(terms, _TERM, term_parts).select(F.col("size").alias("m"), F.col("block").alias("turn"), "texts")
+    beside = listed.join(_alike_lengths(words, terms, percent), "m")
+    each = beside.withColumn("block", F.explode(F.sequence(F.lit(0), word_parts(F.col("n")) - 1)))
     tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = store(words, "words").repartition(tasks, _WORD)
-    terms = store(terms, "terms").repartition(tasks, _TERM)
-    entries = store(_entries(terms, words, percent), "term-entries")
-    asked = store(_lookups(words, terms, percent).join(entries.select("key").distinct(), "key", "left_semi"), "term-lookups")
-    often = asked.groupBy("key").count().filter(F.col("count") > together)
-    parts = often.select("key", F.ceil(F.col("count") / F.lit(together)).cast("int").alias("parts"))
-    listed = entries.join(parts, "key", "left").select(
-        "key", _TERM, F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
-    spread = asked.join(parts, "key", "left").select(
-        "key", _WORD, F.pmod(F.xxhash64(_WORD), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
-    sizes = F.length(_WORD) + F.length(_TERM)
-    met = once(spread, {"has": _letter_bits(_WORD)}).join(once(listed, {"holds": _letter_bits(_TERM)}), ["key", "part"])
-    # a letter that only one of the two has is an edit at least
-    unlike = F.bit_count(F.col("has").bitwiseXOR(F.col("holds")))
-    pairs = met.filter(unlike * 100 < sizes * percent).select(_WORD, _TERM).distinct()
-    judged = pairs.mapInArrow(_compared, f"{_WORD} string, {_TERM} string, edits bigint")
-    return judged.filter(F.col("edits") * 100 < sizes * percent)
+    met = asked.unionByName(each.select(*asked.columns)).repartition(tasks, "n", "block")
+    # the words, then terms by how far their length lies off: near ones spare most lookups
+    away = F.when(F.col("m") == 0, F.lit(-1)).otherwise(F.abs(F.col("n") - F.col("m")))
+    return met.sortWithinPartitions("n", "block", away, "m", "turn").mapInArrow(_compared(percent, nearest), _FOUND)
 
 
 def correct_terms(
@@ -202,9 +154,6 @@ def correct_terms(
     """
     all_words = words.select(F.col(word).alias(_WORD)).filter(F.col(_WORD).isNotNull()).distinct()
     known = terms.select(F.col(term).alias(_TERM)).filter(F.col(_TERM) != "").distinct()
-    found = similar_terms(all_words.filter(F.col(_WORD).rlike(r"\p{L}")), known, percent, together)
-    share = F.col("edits") / (F.length(_WORD) + F.length(_TERM))
-    best = found.groupBy(_WORD).agg(F.min(F.struct(share.alias("share"), F.col(_TERM), F.col("edits"))).alias("best"))
+    best = similar_terms(all_words.filter(F.col(_WORD).rlike(r"\p{L}")), known, percent, together, nearest=True)
     return all_words.join(best, _WORD, "left").select(
-        F.col(_WORD).alias(word), F.coalesce(F.col(f"best.{_TERM}"), F.col(_WORD)).alias("corrected"),
-        F.col("best.edits").alias("edits"))
+        F.col(_WORD).alias(word), F.coalesce(_TERM, _WORD).alias("corrected"), "edits")

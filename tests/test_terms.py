@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from mirepoix.functions import lcs
+from mirepoix.functions import lcs, near
 from mirepoix.operators import terms
 
 
@@ -122,3 +123,81 @@ def test_short_and_long_way_find_the_same(spark, monkeypatch, ways):
     df = spark.createDataFrame([(w,) for w in words], "word string")
     rows = terms.correct_terms(df, spark.createDataFrame([(t,) for t in known], "term string"), percent=33).collect()
     assert {r.word: (r.corrected, r.edits) for r in rows} == brute(words, known, 33)
+
+
+def test_lookups_never_become_rows(spark, monkeypatch):
+    """What is stored and dealt out are the words and terms, not the ways to drop letters from each."""
+    draw = random.Random(8)
+    made = sorted({"".join(draw.choices(["an", "he", "ti", "on", "er", "s"], k=draw.randint(3, 7))) for _ in range(500)})
+    words = spark.createDataFrame([(w,) for w in made], "word string")
+    known = spark.createDataFrame([(t,) for t in made[::4]], "term string")
+    stored = []
+    monkeypatch.setattr(terms, "store", lambda df, label, put=terms.store: stored.append(put(df, label)) or stored[-1])
+    out = terms.correct_terms(words, known)
+    assert out.count() == len(made)
+    assert sum(df.count() for df in stored) <= len(made) + len(made[::4])
+    seen = spark.sparkContext.accumulator(0)
+    compared = terms._compared
+
+    def counted(percent, nearest):
+        each = compared(percent, nearest)
+
+        def run(batches):
+            def noted():
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+            yield from each(noted())
+        return run
+
+    monkeypatch.setattr(terms, "_compared", counted)
+    terms.correct_terms(words, known).write.format("noop").mode("overwrite").save()
+    lengths = {len(w) for w in made}
+    assert 0 < seen.value <= len(lengths) + len(lengths) ** 2
+
+
+@pytest.mark.parametrize("percent, together", [(20, 100), (45, 7)])
+def test_all_similar_pairs(spark, percent, together):
+    draw = random.Random(percent)
+    known = sorted({"".join(draw.choice("abé日") for _ in range(draw.randint(1, 14))) for _ in range(50)})
+    made = sorted({w for w in (spoilt(draw, draw.choice(known), draw.randint(0, 3)) for _ in range(90)) if w})
+    found = terms.similar_terms(
+        spark.createDataFrame([(w,) for w in made], "_word string"),
+        spark.createDataFrame([(t,) for t in known], "_term string"), percent, together).collect()
+    edits = {(w, t): len(w) + len(t) - 2 * shared(w, t) for w in made for t in known}
+    alike = {(*pair, e) for pair, e in edits.items() if 100 * e < percent * len("".join(pair))}
+    assert len(found) == len(alike) and {tuple(r) for r in found} == alike
+
+
+def by_length(texts):
+    out = {}
+    for t in sorted(set(texts)):
+        out.setdefault(len(t), []).append(t)
+    return [near.Texts("".join(v), n) for n, v in out.items()]
+
+
+@pytest.mark.parametrize("few", [0, 1, 8, 10_000])
+@pytest.mark.parametrize("letters, cells", [("ab", 1 << 18), ("abé日𐐷", 3), ("abé日𐐷", 500)])
+@pytest.mark.parametrize("equal_hashes", [False, True])
+def test_blocks_against_brute_force(monkeypatch, few, letters, cells, equal_hashes):
+    if equal_hashes:
+        # hashes only propose pairs: unlike texts may have the same
+        monkeypatch.setattr(near, "_mixed", lambda c: np.zeros(len(c), dtype=np.uint64))
+    draw = random.Random(few)
+    known = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 12))) for _ in range(25)] + ["a" * 17, "a" * 18]
+    words = [w for w in (spoilt(draw, draw.choice(known), draw.randint(0, 3)) for _ in range(40)) if w] + ["a" * 16, "a" * 20]
+    blocks = by_length(known)
+    for percent in (20, 60):
+        got, all_pairs = {}, []
+        for block in by_length(words):
+            best = near.Nearest(block, percent, few, cells)
+            for some in draw.sample(blocks, len(blocks)):
+                best.see(some)
+                for w, t, e in near.pairs(block, some, percent, few, cells):
+                    all_pairs += zip(block.at(w), some.at(t), e.tolist())
+            got |= {w: (t, e) for w, t, e in zip(*best.found())}
+        want = {w: v for w, v in brute(words, known, percent).items() if v[1] is not None}
+        assert got == want
+        edits = {(w, t): len(w) + len(t) - 2 * shared(w, t) for w in set(words) for t in set(known)}
+        alike = [(*pair, e) for pair, e in edits.items() if 100 * e < percent * len("".join(pair))]
+        assert sorted(all_pairs) == sorted(alike)
