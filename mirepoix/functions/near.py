@@ -67,9 +67,6 @@ class Texts:
         self.letters = np.frombuffer(joined.encode("utf-32-le"), np.uint32).reshape(self.count, size)
         self._signs: np.ndarray | None = None
 
-    def __getitem__(self, i: int) -> str:
-        return self.joined[i * self.size:(i + 1) * self.size]
-
     def at(self, places: np.ndarray) -> list[str]:
         size = self.size
         return [self.joined[i:i + size] for i in (places * size).tolist()]
